@@ -52,10 +52,10 @@ def reduce_by(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataF
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct values; use it in update or complete mode on a stream.
 
-    ``distinct`` is planned as an aggregate, which drops repeats in each task before the
-    shuffle. ``dropDuplicates`` on a stream would send every repeated row.
+    Written as a grouping, which drops repeats in each task before the shuffle. ``distinct``
+    on a stream would shuffle every repeated row.
     """
-    return df.select(*columns).distinct()
+    return count_by(df, *columns).select(*columns)
 
 
 def approx_distinct(df: DataFrame, column: str, *keys: str, name: str = "distinct") -> DataFrame:

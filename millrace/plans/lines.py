@@ -64,7 +64,7 @@ def stream_names(spark, sf_dir):
 )
 def parse_delimited(spark, sf_dir):
     # Orders written as text lines; the amount of finished orders is not a number.
-    amount = F.when(F.col("o_orderstatus") == "F", "none").otherwise(F.col("o_custkey"))
+    amount = F.when(F.col("o_orderstatus") == "F", "none").otherwise(F.col("o_custkey").cast("string"))
     date = F.date_format("o_orderdate", "MMM d yyyy")
     written = table_stream(spark, sf_dir, "orders").select(
         F.concat_ws(":", "o_orderkey", "o_orderpriority", date, amount).alias("value")

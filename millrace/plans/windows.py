@@ -137,10 +137,10 @@ def processing_time_chars(spark, sf_dir):
 
 
 @query(
-    """SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
-        event_type, count(*) AS count FROM events GROUP BY ALL
-    HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
-        <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
+    """SELECT start, start + INTERVAL 1 HOUR AS "end", event_type, count(*) AS count
+    FROM (SELECT date_trunc('hour', ts) AS start, event_type FROM events)
+    WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+    GROUP BY start, event_type"""
 )
 def watermark_window_count(spark, sf_dir):
     events = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
