@@ -32,13 +32,15 @@ def heavy_keys(
         F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"),
         F.count(F.lit(1)).alias("rows"),
     )
-    found = sketches.agg(
+    # Combining no sketches at all is an error in Spark, so the merge is grouped too: an
+    # empty table then gives no row.
+    found = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {limit})").alias(
             "top"
         ),
         F.sum("rows").alias("rows"),
     ).first()
-    if not found["rows"]:
+    if found is None:
         return []
     least = max(min_rows, min_share * found["rows"])
     return [entry["item"] for entry in found["top"] if entry["count"] >= least]

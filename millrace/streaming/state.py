@@ -14,6 +14,24 @@ from millrace.operators.rolling import last_rows, rolling_mean
 from millrace.sinks.batches import BatchWriter
 
 
+def keyed_state(
+    df: DataFrame,
+    keys: Sequence[str],
+    update: Callable,
+    output: str,
+    state: str,
+    ttl: bool = False,
+    mode: str = "append",
+) -> DataFrame:
+    """Run ``update(key, chunks, state)`` once per key and micro-batch.
+
+    It gets the rows of the key as an iterator of pandas frames and may yield any number of
+    output frames. With ``ttl`` it may set a processing-time timeout on the state.
+    """
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl else GroupStateTimeout.NoTimeout
+    return df.groupBy(*keys).applyInPandasWithState(update, output, state, mode, timeout)
+
+
 def rolling_means_by_state(
     df: DataFrame, key: str, value: str, n: int, name: str = "mean", ttl_ms: int | None = None
 ) -> DataFrame:
@@ -25,16 +43,9 @@ def rolling_means_by_state(
     """
     key_type = df.schema[key].dataType.simpleString()
     update = _state_update(key, value, n, name, ttl_ms)
-    timeout = (
-        GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    )
-    return (
-        df.select(key, F.col(value).cast("double").alias(value))
-        .groupBy(key)
-        .applyInPandasWithState(
-            update, f"{key} {key_type}, {name} double", "recent array<double>", "append", timeout
-        )
-    )
+    values = df.select(key, F.col(value).cast("double").alias(value))
+    output = f"`{key}` {key_type}, `{name}` double"
+    return keyed_state(values, [key], update, output, "recent array<double>", ttl_ms is not None)
 
 
 def _state_update(key: str, value: str, n: int, name: str, ttl_ms: int | None) -> Callable:
