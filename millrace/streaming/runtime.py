@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -63,12 +64,20 @@ def start(
         return stream.start()
 
 
-def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
-    """Wait for the query; after ``timeout`` seconds stop it once its trigger is done."""
+def finish(
+    query: StreamingQuery, timeout: float | None = None, grace: float = 60
+) -> StreamingQuery:
+    """Wait for the query; after ``timeout`` seconds stop it between two micro-batches.
+
+    A batch that still runs after ``grace`` more seconds is interrupted. It is run again
+    when the query is restarted from its checkpoint.
+    """
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
-        query.processAllAvailable()
+        deadline = time.monotonic() + grace
+        while query.status["isTriggerActive"] and time.monotonic() < deadline:
+            time.sleep(0.05)
         query.stop()
     return query
 

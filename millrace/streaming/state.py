@@ -26,7 +26,8 @@ def keyed_state(
     """Run ``update(key, chunks, state)`` once per key and micro-batch.
 
     It gets the rows of the key as an iterator of pandas frames and may yield any number of
-    output frames. With ``ttl`` it may set a processing-time timeout on the state.
+    output frames. With ``ttl`` it may set a processing-time timeout on the state; such a
+    query always has a next batch to run, so give it an interval trigger.
     """
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl else GroupStateTimeout.NoTimeout
     return df.groupBy(*keys).applyInPandasWithState(update, output, state, mode, timeout)
