@@ -7,7 +7,9 @@ static joins. Stateful stream joins have no such help, so hot keys are salted he
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +20,18 @@ MERGE_GROUPS = 512
 
 
 def heavy_keys(
-    df: DataFrame, key: str, min_share: float = 0.01, min_rows: int = 1_000_000
-) -> list:
-    """Values of ``key`` that hold at least ``min_share`` of a static table's rows.
+    df: DataFrame, key: str, min_share: float | None = None, min_rows: int = 1_000_000
+) -> dict:
+    """Values of ``key`` in a static table that are too large for one task, with their share.
 
-    One pass over one column with a frequent-items sketch per task, merged in two levels.
-    At most ``1 / min_share`` values can qualify. The result steers parallelism only: a
-    value missed or listed needlessly changes no query result.
+    By default that is more than one core's fair share of the rows. One pass over one column
+    makes a frequent-items sketch per task; the sketches are merged in two levels, and at
+    most ``1 / min_share`` values come back. The result steers parallelism only: a value
+    missed or listed needlessly changes no query result.
     """
+    if min_share is None:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        min_share = 1 / min(2000, max(100, cores))
     limit = max(1, round(1 / min_share))
     tracked = 10 * limit
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")).agg(
@@ -41,9 +47,28 @@ def heavy_keys(
         F.sum("rows").alias("rows"),
     ).first()
     if found is None:
-        return []
+        return {}
     least = max(min_rows, min_share * found["rows"])
-    return [entry["item"] for entry in found["top"] if entry["count"] >= least]
+    return {
+        entry["item"]: entry["count"] / found["rows"]
+        for entry in found["top"]
+        if entry["count"] >= least
+    }
+
+
+def _salt_count(key: Column, hot: Mapping, partitions: int) -> Column:
+    """Tasks to use for a key: the share of all partitions that its rows are of all rows.
+
+    Rounded up to a power of two, so that keys fall into few groups. The counts of all hot
+    keys add up to a small multiple of ``partitions``, however many keys there are.
+    """
+    groups = defaultdict(list)
+    for value, share in hot.items():
+        groups[2 ** max(1, math.ceil(math.log2(max(2.0, share * partitions))))].append(value)
+    count = F.lit(1)
+    for salts, values in groups.items():
+        count = F.when(key.isin(values), F.lit(salts)).otherwise(count)
+    return count
 
 
 def spread_join(
@@ -52,16 +77,17 @@ def spread_join(
     left_key: str,
     right_key: str,
     how: str = "inner",
-    hot: Sequence = (),
+    hot: Mapping | None = None,
     row_id: Sequence[str] = (),
-    salts: int = 64,
+    partitions: int | None = None,
     within: Column | None = None,
 ) -> DataFrame:
-    """Join on one key; rows of the ``hot`` left keys are divided over ``salts`` tasks.
+    """Join on one key; the left rows of ``hot`` keys are divided over several tasks.
 
-    The right rows of those keys are repeated once per salt, so each left row still meets
-    all its partners exactly once. Pick the side that is unique, or nearly so, on the key
-    as the right one. ``row_id`` names left columns that differ between the rows of a key.
+    ``hot`` maps a key to its share of the left rows, as :func:`heavy_keys` returns it. The
+    right rows of those keys are repeated once per salt, so each left row still meets all
+    its partners exactly once. Pick the side that is unique, or nearly so, on the key as
+    the right one. ``row_id`` names left columns that differ between the rows of a key.
     ``within`` adds a condition such as a time range.
     """
     matches = F.col(left_key) == F.col(right_key)
@@ -70,14 +96,14 @@ def spread_join(
             raise ValueError(f"hot keys cannot be spread in a {how} join")
         if not row_id:
             raise ValueError("name the columns that tell the rows of a hot key apart")
-        spread = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-        left = left.withColumn(
-            "_left_salt", F.when(F.col(left_key).isin(*hot), spread).otherwise(F.lit(0))
+        if partitions is None:
+            partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        left_count = _salt_count(F.col(left_key), hot, partitions)
+        left = left.withColumn("_left_salt", F.pmod(F.xxhash64(*row_id), left_count).cast("int"))
+        right_count = _salt_count(F.col(right_key), hot, partitions)
+        right = right.withColumn(
+            "_right_salt", F.explode(F.sequence(F.lit(0), right_count - 1))
         )
-        copies = F.when(
-            F.col(right_key).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))
-        ).otherwise(F.array(F.lit(0)))
-        right = right.withColumn("_right_salt", F.explode(copies))
         matches = matches & (F.col("_left_salt") == F.col("_right_salt"))
     if within is not None:
         matches = matches & within

@@ -1,17 +1,18 @@
 """Mean over the last n rows of each key.
 
 A plain window function sends every row of a key to one task. Keys listed as hot are cut
-into time segments instead; each segment also receives the n - 1 rows before its start, so
-every row still sees its full frame.
+into ranges of their order instead; each range also receives the n - 1 rows before its start,
+so every row still sees its full frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import stored
 
 def last_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The newest n rows per key. Spark cuts each task's rows to n before the shuffle."""
@@ -33,24 +34,27 @@ def _full_frame_means(
 
 
 def _segments(
-    df: DataFrame, key: str, order: Sequence[str], segments: int
+    df: DataFrame, key: str, order: Sequence[str], segments: int | None
 ) -> DataFrame:
-    """Number the time segments of each key, with about equal row counts per segment."""
-    steps = [i / segments for i in range(1, segments)]
-    bounds = df.groupBy(key).agg(
-        F.percentile_approx(order[0], steps, 20 * segments).alias("_bounds")
+    """Cut the rows, in key and row order, into consecutive segments of about equal size.
+
+    Range partitioning samples the data for its bounds, so the numbered rows are written
+    out once and every later step sees the same segments.
+    """
+    columns = [key, *order]
+    ranged = (
+        df.repartitionByRange(*columns)
+        if segments is None
+        else df.repartitionByRange(segments, *columns)
     )
-    # bounds has one row per hot key, a list that is short by construction.
-    placed = df.join(F.broadcast(bounds), key)
-    below = F.size(F.filter("_bounds", lambda bound: bound < F.col(order[0])))
-    return placed.withColumn("_segment", below).drop("_bounds")
+    return stored(ranged.withColumn("_segment", F.spark_partition_id()), "segments")
 
 
 def _carried_rows(segmented: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
     """For every segment the n - 1 rows of the same key that come before it.
 
     Those rows are among the last n - 1 rows of the earlier segments, a set whose size
-    depends on the number of segments only.
+    depends on the number of segments and not on the number of rows.
     """
     tails = last_rows(segmented, [key, "_segment"], order, n - 1).withColumn(
         "_position",
@@ -74,18 +78,20 @@ def rolling_mean(
     value: str,
     n: int,
     name: str = "mean",
-    hot: Sequence = (),
-    segments: int = 256,
+    hot: Collection = (),
+    segments: int | None = None,
 ) -> DataFrame:
     """Mean of the last ``n`` values per key, for rows that have n - 1 earlier ones.
 
     ``order`` must be a total order within a key. ``hot`` lists keys too large for one
-    task, for instance from :func:`millrace.operators.joins.heavy_keys`.
+    task, for instance from :func:`millrace.operators.joins.heavy_keys`; they are cut into
+    ``segments`` pieces, by default as many as there are shuffle partitions.
     """
     if not hot:
         return _full_frame_means(df, [key], order, value, n, name)
-    is_hot = F.col(key).isin(*hot)
-    ordinary = _full_frame_means(df.filter(~is_hot | F.col(key).isNull()), [key], order, value, n, name)
+    is_hot = F.col(key).isin(list(hot))
+    others = df.filter(~is_hot | F.col(key).isNull())
+    ordinary = _full_frame_means(others, [key], order, value, n, name)
     segmented = _segments(df.filter(is_hot), key, order, segments).withColumn(
         "_carried", F.lit(False)
     )

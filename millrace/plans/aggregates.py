@@ -165,11 +165,10 @@ def rolling_mean_state(spark, sf_dir):
     """
     hot = heavy_keys(table(spark, sf_dir, "events"), "user_id")
     events = table_stream(spark, sf_dir, "events").select("user_id", *ORDER, "value")
-    is_hot = F.col("user_id").isin(*hot)
-    ordinary = rolling_means_by_state(events.filter(~is_hot), "user_id", "value", 3)
-    means = run_to_table(ordinary).select("user_id")
+    is_hot = F.col("user_id").isin(list(hot))
+    ordinary = events.filter(~is_hot) if hot else events
+    means = run_to_table(rolling_means_by_state(ordinary, "user_id", "value", 3)).select("user_id")
     if hot:
-        means = means.unionByName(
-            means_in_batches(spark, events.filter(is_hot), hot).select("user_id")
-        )
+        split = means_in_batches(spark, events.filter(is_hot), hot)
+        means = means.unionByName(split.select("user_id"))
     return count_by(means, "user_id", name="means")

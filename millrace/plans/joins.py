@@ -93,7 +93,7 @@ def shipped_in_time(spark, sf_dir, how):
     """Items matched to orders placed up to 90 days before shipping, both watermarked."""
     shipped = items(spark, sf_dir).withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
     placed = orders(spark, sf_dir).withColumn("placed", F.col("o_orderdate").cast("timestamp"))
-    hot = []
+    hot = {}
     if how in ("inner", "left", "left_semi"):
         hot = heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
     joined = spread_join(

@@ -37,10 +37,12 @@ def start(
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     options: Mapping[str, str] | None = None,
     name: str | None = None,
+    count_state: bool = False,
 ) -> StreamingQuery:
     """Start a query on exactly one sink: a format, a batch writer or a row writer.
 
     Two queries must not share a checkpoint; without one given a new folder is used.
+    ``count_state`` makes the progress report show how many rows the state holds.
     """
     if sum(sink is not None for sink in (format, writer, rows)) != 1:
         raise ValueError("give one of format, writer or rows")
@@ -60,7 +62,7 @@ def start(
     else:
         stream = stream.foreach(rows)
     # A query copies the session settings when it starts.
-    with scoped_conf(spark, state_settings(spark)):
+    with scoped_conf(spark, state_settings(spark, count_state)):
         return stream.start()
 
 

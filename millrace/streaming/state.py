@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -78,7 +78,8 @@ def rolling_means_by_batch(
     value: str,
     n: int,
     name: str = "mean",
-    hot: Sequence = (),
+    hot: Collection = (),
+    segments: int | None = None,
 ) -> BatchWriter:
     """The same means in event order, as a batch writer built on :func:`rolling_mean`.
 
@@ -95,7 +96,7 @@ def rolling_means_by_batch(
                 f"{tails}/slot={(batch_id - 1) % 2}"
             )
             rows = rows.unionByName(earlier.withColumn("_earlier", F.lit(True)))
-        means = rolling_mean(rows, key, order, value, n, name, hot)
+        means = rolling_mean(rows, key, order, value, n, name, hot, segments)
         means.filter(~F.col("_earlier")).drop("_earlier").write.mode("overwrite").parquet(
             f"{path}/batch={batch_id}"
         )

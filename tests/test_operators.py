@@ -39,14 +39,14 @@ def skewed(spark):
 def test_spread_join_equals_plain_join(skewed, how):
     left, right = skewed
     plain = left.join(right, F.col("k") == F.col("rk"), how)
-    spread = spread_join(left, right, "k", "rk", how, hot=[7, 10], row_id=["id"], salts=8)
+    spread = spread_join(left, right, "k", "rk", how, hot={7: 0.39, 10: 0.06}, row_id=["id"], partitions=16)
     assert rows(spread) == rows(plain)
 
 
 def test_spread_join_uses_several_tasks_for_a_hot_key(spark, skewed):
     left, right = skewed
     hint = right.hint("merge")
-    joined = spread_join(left, hint, "k", "rk", hot=[7], row_id=["id"], salts=32)
+    joined = spread_join(left, hint, "k", "rk", hot={7: 0.39}, row_id=["id"], partitions=64)
     with_task = joined.filter("k = 7").select(F.spark_partition_id().alias("task"))
     setting = "spark.sql.adaptive.enabled"
     before = spark.conf.get(setting)
@@ -60,23 +60,26 @@ def test_spread_join_uses_several_tasks_for_a_hot_key(spark, skewed):
 def test_spread_join_refuses_what_it_cannot_do(skewed):
     left, right = skewed
     with pytest.raises(ValueError):
-        spread_join(left, right, "k", "rk", "full", hot=[7], row_id=["id"])
+        spread_join(left, right, "k", "rk", "full", hot={7: 0.5}, row_id=["id"])
     with pytest.raises(ValueError):
-        spread_join(left, right, "k", "rk", hot=[7])
+        spread_join(left, right, "k", "rk", hot={7: 0.5})
 
 
 def test_heavy_keys(skewed, spark):
     left, _ = skewed
-    assert heavy_keys(left, "k", min_share=0.3, min_rows=1) == [7]
-    assert heavy_keys(left, "k") == []
-    assert heavy_keys(left.filter("k < 0"), "k") == []
+    count = left.filter("k = 7").count()
+    assert heavy_keys(left, "k", min_share=0.3, min_rows=1) == {7: count / 300}
+    assert set(heavy_keys(left, "k", min_rows=1)) == set(range(11))
+    assert heavy_keys(left, "k") == {}
+    assert heavy_keys(left.filter("k < 0"), "k") == {}
 
 
 def test_spread_stream_join(spark):
     plain = spread_join(
         table_stream(spark, SF, "lineitem").select("l_orderkey", "l_linenumber"),
         table_stream(spark, SF, "orders").select("o_orderkey"),
-        "l_orderkey", "o_orderkey", hot=[1, 2, 3], row_id=["l_linenumber"], salts=4,
+        "l_orderkey", "o_orderkey", hot={1: 0.4, 2: 0.1, 3: 0.1},
+        row_id=["l_linenumber"], partitions=8,
     )
     assert run_to_table(plain).count() == table(spark, SF, "lineitem").count()
 
@@ -132,7 +135,7 @@ def brute_means(data, n):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7])
-@pytest.mark.parametrize("segments", [2, 5, 40])
+@pytest.mark.parametrize("segments", [2, 9, 60])
 def test_split_keys_give_the_same_means(spark, n, segments):
     rng = random.Random(n * 100 + segments)
     data = [

@@ -220,7 +220,7 @@ def test_rolling_sum_by_state(spark, tmp_path):
 def test_idle_state_is_forgotten(spark, tmp_path):
     rows = replay_batches(spark, [[("a", 1.0)]], "s string, v double", str(tmp_path / "q"))
     means = rolling_means_by_state(rows, "s", "v", 2, ttl_ms=1000)
-    query = start(means, format="noop", trigger=every("500 milliseconds"))
+    query = start(means, format="noop", trigger=every("500 milliseconds"), count_state=True)
     finish(query, timeout=6)
     held = [r.state_rows for r in progress_report(spark, query).orderBy("batch").collect()]
     assert max(held) == 1 and held[-1] == 0
@@ -230,7 +230,7 @@ def test_idle_state_is_forgotten(spark, tmp_path):
 def test_rolling_mean_by_batch(spark, tmp_path, cut, hot):
     stream = replay_batches(spark, CUTS[cut], "s string, t long, v double", str(tmp_path / "q"))
     out = str(tmp_path / "out")
-    writer = rolling_means_by_batch(out, str(tmp_path / "tails"), "s", ["t"], "v", 3, hot=hot)
+    writer = rolling_means_by_batch(out, str(tmp_path / "tails"), "s", ["t"], "v", 3, hot=hot, segments=3)
     run_batches(stream, writer)
     means = read_batches(spark, out, "parquet", _with_mean(stream))
     assert sorted((r.t, r["mean"]) for r in means.collect()) == [
