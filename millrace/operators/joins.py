@@ -56,6 +56,14 @@ def heavy_keys(
     }
 
 
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Measure a static table: is it small enough to send to every executor?"""
+    if df.count() > max_rows:
+        return False
+    row_bytes = F.octet_length(F.to_json(F.struct("*")))
+    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= max_bytes
+
+
 def _salt_count(key: Column, hot: Mapping, partitions: int) -> Column:
     """Tasks to use for a key: the share of all partitions that its rows are of all rows.
 

@@ -102,12 +102,38 @@ def top_per_window(totals: DataFrame, item: str, total: str) -> DataFrame:
     )
 
 
-def watermarked_counts(
-    df: DataFrame, time: str, delay: str, width: str, keys: Sequence[str]
+def closed_windows(
+    df: DataFrame,
+    time: str,
+    delay: str,
+    width: str,
+    measures: Mapping[str, Measure],
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Counts per closed window and key for append mode; rows behind the watermark drop out."""
-    counts = df.withWatermark(time, delay).groupBy(F.window(time, width), *keys)
-    return _flat(counts.agg(F.count(F.lit(1)).alias("count")), keys, ["count"])
+    """Totals per window for append mode: each window comes out once, when it is closed.
+
+    The watermark trails the newest ``time`` by ``delay``. Rows behind it are dropped and
+    windows behind it leave the state, which therefore stays bounded.
+    """
+    return window_totals(df.withWatermark(time, delay), time, width, measures, keys)
+
+
+def closed_sliding_windows(
+    df: DataFrame,
+    time: str,
+    delay: str,
+    width: str,
+    slide: str,
+    measures: Mapping[str, Measure],
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """The two steps of a sliding window as chained streaming aggregates, for append mode."""
+    first = [COMBINE[how](value).alias(name) for name, (how, value) in measures.items()]
+    second = [RECOMBINE[how](name).alias(name) for name, (how, _) in measures.items()]
+    marked = df.withWatermark(time, delay)
+    buckets = marked.groupBy(F.window(time, slide).alias("bucket"), *keys).agg(*first)
+    windowed = buckets.groupBy(F.window("bucket", width, slide), *keys).agg(*second)
+    return _flat(windowed, keys, list(measures))
 
 
 def with_arrival(df: DataFrame, name: str = "arrived") -> DataFrame:

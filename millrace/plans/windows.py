@@ -143,12 +143,31 @@ def processing_time_chars(spark, sf_dir):
     GROUP BY start, event_type"""
 )
 def watermark_window_count(spark, sf_dir):
-    events = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = windows.watermarked_counts(events, "ts", "2 hours", "1 hour", ["event_type"])
-    closed = counts.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")}
+    counts = windows.closed_windows(
+        zoned_events(spark, sf_dir), "ts", "2 hours", "1 hour", row_count(), ["event_type"]
     )
-    return run_to_table(closed)
+    return run_to_table(without_zone(counts))
+
+
+def zoned_events(spark, sf_dir):
+    """Watermarks need time stamps with a zone; the session is in UTC."""
+    events = table_stream(spark, sf_dir, "events")
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def without_zone(totals):
+    return totals.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query(
+    f"""SELECT * FROM ({SLIDING_TOTALS_SQL})
+    WHERE "end" <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
+)
+def window_sliding_closed(spark, sf_dir):
+    totals = windows.closed_sliding_windows(
+        zoned_events(spark, sf_dir), "ts", "2 hours", "1 day", "1 hour", value_total()
+    )
+    return rounded(run_to_table(without_zone(totals)))
 
 
 @query(sliding_sql("sum(length(value)) AS chars", ARRIVALS_SQL, "arrived", 10, 5))

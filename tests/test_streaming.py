@@ -7,7 +7,7 @@ from pyspark.sql.utils import AnalysisException
 from millrace import schemas
 from millrace.functions import dates, text
 from millrace.operators.aggregates import average, count_by, distinct_rows, running_count
-from millrace.operators.windows import watermarked_counts, window_totals, with_arrival
+from millrace.operators.windows import closed_windows, window_totals, with_arrival
 from millrace.plans import windows as window_plans
 from millrace.session import scoped_conf, shared_dir, state_partitions, utc
 from millrace.sinks.batches import read_batches
@@ -76,7 +76,9 @@ def test_late_rows(spark, tmp_path, case, several_operators):
     setting = "spark.sql.streaming.statefulOperator.allowMultiple"
     with utc(spark), scoped_conf(spark, {setting: str(several_operators).lower()}):
         events = colours(spark, str(tmp_path / "in"), LATE[case])
-        counts = watermarked_counts(events, "created", "2 seconds", "2 seconds", ["color"])
+        counts = closed_windows(
+            events, "created", "2 seconds", "2 seconds", window_plans.row_count(), ["color"]
+        )
         closed = run_to_table(
             counts.select(F.unix_seconds("start"), F.unix_seconds("end"), "color", "count")
             .toDF("start", "end", "color", "count")
@@ -89,7 +91,9 @@ def test_late_rows(spark, tmp_path, case, several_operators):
 def test_progress_shows_the_watermark(spark, tmp_path):
     with utc(spark):
         events = colours(spark, str(tmp_path / "in"), LATE["second"])
-        counts = watermarked_counts(events, "created", "2 seconds", "2 seconds", ["color"])
+        counts = closed_windows(
+            events, "created", "2 seconds", "2 seconds", window_plans.row_count(), ["color"]
+        )
         query = finish(start(counts, format="noop"))
     report = progress_report(spark, query)
     marks = {r.batch: r.watermark for r in report.collect()}
