@@ -55,7 +55,7 @@ def priority_parts(spark, sf_dir):
     return text.explode_parts(orders, "o_orderpriority", "-", "value")
 
 
-@query(f"SELECT sum(n) AS result {PRIORITY_NUMBERS_SQL}")
+@query(f"SELECT CAST(sum(n) AS BIGINT) AS result {PRIORITY_NUMBERS_SQL}")
 def stream_numeric_agg(spark, sf_dir):
     return run_to_table(numeric_aggregate(priority_parts(spark, sf_dir), F.sum), mode="complete")
 

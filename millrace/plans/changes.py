@@ -54,14 +54,17 @@ def flat(df):
     return df.select("Op", *[F.col(f"value.{c}").alias(c) for c in fields])
 
 
-@query(f"""WITH {FEED_SQL} SELECT {COLUMNS_SQL}, op = 'D' AS deleted, op IS NOT NULL AS changed
+@query(f"""WITH {FEED_SQL} SELECT {COLUMNS_SQL},
+        coalesce(CAST(op = 'D' AS VARCHAR), 'unknown') AS deleted, op IS NOT NULL AS changed
     FROM feed""")
 def cdc_split(spark, sf_dir):
     load, changed = changes.split_feed(feed(spark, sf_dir), KEYS)
     both = load.withColumn("changed", F.lit(False)).unionByName(
         changed.withColumn("changed", F.lit(True))
     )
-    return both.select("Op", "value.*", "changed")
+    # The flag has three values: true, false, and NULL where there is no operation.
+    flag = F.coalesce(F.col("deleted").cast("string"), F.lit("unknown"))
+    return both.select("Op", "value.*", "changed").withColumn("deleted", flag)
 
 
 @query(f"""WITH {FEED_SQL} SELECT {COLUMNS_SQL} FROM feed WHERE op = 'U' QUALIFY row_number()

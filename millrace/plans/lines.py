@@ -57,7 +57,7 @@ def stream_names(spark, sf_dir):
 
 @query(
     """SELECT o_orderkey AS id, o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS placed,
-        CAST(NULL AS INTEGER) AS amount, false AS valid FROM orders WHERE o_orderstatus = 'F'
+        CAST(-1 AS INTEGER) AS amount, false AS valid FROM orders WHERE o_orderstatus = 'F'
     UNION ALL
     SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE), CAST(o_custkey AS INTEGER), true
     FROM orders WHERE o_orderstatus <> 'F'"""
@@ -71,7 +71,7 @@ def parse_delimited(spark, sf_dir):
     )
     schema = "id long, priority string, placed date, amount int"
     parsed = text.parse_delimited(written, schema, ":", date_format="MMM d yyyy", valid="valid")
-    return run_to_table(parsed)
+    return run_to_table(parsed.fillna(-1, ["amount"]))
 
 
 @query(

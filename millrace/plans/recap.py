@@ -39,13 +39,14 @@ def range_double(spark, sf_dir):
 
 
 @query(
-    """SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    """SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     WHERE coalesce(l.quality, 0) < 1"""
 )
 def filter_null_default(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return documents.join(labels, "doc_id", "left").filter(F.coalesce("quality", F.lit(0)) < 1)
+    labelled = documents.join(labels, "doc_id", "left")
+    return labelled.filter(F.coalesce("quality", F.lit(0)) < 1).select("doc_id")
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 8000")

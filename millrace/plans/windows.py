@@ -127,7 +127,7 @@ def window_top1_24h(spark, sf_dir):
     return windows.top_per_window(sliding_items(spark, sf_dir), "event_type", "total")
 
 
-@query("SELECT sum(length(text)) AS total_chars FROM documents")
+@query("SELECT CAST(sum(length(text)) AS BIGINT) AS total_chars FROM documents")
 def processing_time_chars(spark, sf_dir):
     """Line lengths per ten seconds of processing time, added up to be comparable."""
     documents = windows.with_arrival(table_stream(spark, sf_dir, "documents").select("text"))
@@ -170,7 +170,7 @@ def window_sliding_closed(spark, sf_dir):
     return rounded(run_to_table(without_zone(totals)))
 
 
-@query(sliding_sql("sum(length(value)) AS chars", ARRIVALS_SQL, "arrived", 10, 5))
+@query(sliding_sql("CAST(sum(length(value)) AS BIGINT) AS chars", ARRIVALS_SQL, "arrived", 10, 5))
 def window_text_sum(spark, sf_dir):
     length = {"chars": ("sum", F.length("value"))}
     return sliding_stream(arrivals(spark, sf_dir), "arrived", "10 seconds", "5 seconds", length)
