@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +64,13 @@ def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= max_bytes
 
 
+def listed(key: Column, values: Collection) -> Column:
+    """Is the key among the values? Never NULL; a ``None`` in the list stands for NULL keys."""
+    present = [value for value in values if value is not None]
+    found = F.coalesce(key.isin(present), F.lit(False)) if present else F.lit(False)
+    return found | key.isNull() if None in values else found
+
+
 def _salt_count(key: Column, hot: Mapping, partitions: int) -> Column:
     """Tasks to use for a key: the share of all partitions that its rows are of all rows.
 
@@ -75,7 +82,7 @@ def _salt_count(key: Column, hot: Mapping, partitions: int) -> Column:
         groups[2 ** max(1, math.ceil(math.log2(max(2.0, share * partitions))))].append(value)
     count = F.lit(1)
     for salts, values in groups.items():
-        count = F.when(key.isin(values), F.lit(salts)).otherwise(count)
+        count = F.when(listed(key, values), F.lit(salts)).otherwise(count)
     return count
 
 

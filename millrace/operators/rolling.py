@@ -12,6 +12,7 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import listed
 from millrace.sources.tables import stored
 
 def last_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -68,7 +69,11 @@ def _carried_rows(segmented: DataFrame, key: str, order: Sequence[str], n: int)
             F.sequence(F.greatest(F.lit(1), F.col("_first") - (n - 1)), F.col("_first") - 1)
         ).alias("_position"),
     )
-    return wanted.join(tails.drop("_segment"), [key, "_position"]).drop("_position")
+    same = F.col(f"t.{key}").eqNullSafe(F.col(f"w.{key}")) & (
+        F.col("t._position") == F.col("w._position")
+    )
+    joined = wanted.alias("w").join(tails.drop("_segment").alias("t"), same)
+    return joined.select("w._segment", "t.*").drop("_position")
 
 
 def rolling_mean(
@@ -89,9 +94,8 @@ def rolling_mean(
     """
     if not hot:
         return _full_frame_means(df, [key], order, value, n, name)
-    is_hot = F.col(key).isin(list(hot))
-    others = df.filter(~is_hot | F.col(key).isNull())
-    ordinary = _full_frame_means(others, [key], order, value, n, name)
+    is_hot = listed(F.col(key), hot)
+    ordinary = _full_frame_means(df.filter(~is_hot), [key], order, value, n, name)
     segmented = _segments(df.filter(is_hot), key, order, segments).withColumn(
         "_carried", F.lit(False)
     )

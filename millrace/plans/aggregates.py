@@ -16,7 +16,7 @@ from millrace.operators.aggregates import (
     reduce_by,
     running_count,
 )
-from millrace.operators.joins import heavy_keys
+from millrace.operators.joins import heavy_keys, listed
 from millrace.operators.rolling import rolling_mean
 from millrace.operators.windows import window_totals
 from millrace.plans.registry import query
@@ -165,9 +165,9 @@ def rolling_mean_state(spark, sf_dir):
     """
     hot = heavy_keys(table(spark, sf_dir, "events"), "user_id")
     events = table_stream(spark, sf_dir, "events").select("user_id", *ORDER, "value")
-    is_hot = F.col("user_id").isin(list(hot))
-    ordinary = events.filter(~is_hot) if hot else events
-    means = run_to_table(rolling_means_by_state(ordinary, "user_id", "value", 3)).select("user_id")
+    is_hot = listed(F.col("user_id"), hot)
+    ordinary = rolling_means_by_state(events.filter(~is_hot), "user_id", "value", 3)
+    means = run_to_table(ordinary).select("user_id")
     if hot:
         split = means_in_batches(spark, events.filter(is_hot), hot)
         means = means.unionByName(split.select("user_id"))

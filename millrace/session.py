@@ -9,13 +9,15 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# State lives in RocksDB: it spills to local disk instead of filling executor heap, and
-# the changelog keeps each commit proportional to the rows that changed.
+# State lives in RocksDB: it spills to local disk instead of filling executor heap, all
+# stores of an executor share one memory budget, and the changelog keeps each commit
+# proportional to the rows that changed.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -111,7 +112,13 @@ def run_to_table(
     else:
         run_batches(df, folder_per_batch(path, "parquet"), mode=mode, checkpoint=checkpoint)
         schema = StructType(schema.fields).add("batch", "long")
-    return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # No input, so no batch has run and nothing was written.
+        return spark.createDataFrame([], schema)
 
 
 def show_stream(df: DataFrame, mode: str = "append", rows: int = 20, **kwargs) -> StreamingQuery:

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from millrace.operators import changes, windows
 from millrace.operators.aggregates import approx_distinct, numeric_aggregate, ratio_of_sums
@@ -74,6 +74,16 @@ def test_heavy_keys(skewed, spark):
     assert heavy_keys(left.filter("k < 0"), "k") == {}
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_rows_without_a_key_are_spread_too(spark, how):
+    left = spark.createDataFrame([(i, None if i % 2 else i % 5) for i in range(40)], "id int, k int")
+    right = spark.createDataFrame([(0, "a"), (2, "b"), (None, "c")], "rk int, name string")
+    hot = heavy_keys(left, "k", min_share=0.3, min_rows=1)
+    assert hot == {None: 0.5}
+    spread = spread_join(left, right, "k", "rk", how, hot=hot, row_id=["id"], partitions=8)
+    assert rows(spread) == rows(left.join(right, F.col("k") == F.col("rk"), how))
+
+
 def test_spread_stream_join(spark):
     plain = spread_join(
         table_stream(spark, SF, "lineitem").select("l_orderkey", "l_linenumber"),
@@ -131,7 +141,7 @@ def brute_means(data, n):
         for j in range(n - 1, len(entries)):
             frame = [v for _, _, v in entries[j - n + 1: j + 1]]
             out.append((key, entries[j][1], round(sum(frame) / n, 6)))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7])
@@ -139,12 +149,12 @@ def brute_means(data, n):
 def test_split_keys_give_the_same_means(spark, n, segments):
     rng = random.Random(n * 100 + segments)
     data = [
-        (rng.choice(["hot", "hot", "a", "b"]), rng.randint(0, 60), i, float(rng.randint(0, 99)))
+        (rng.choice(["hot", "hot", "a", "b", None]), rng.randint(0, 60), i, float(rng.randint(0, 99)))
         for i in range(200)
     ] + [("few", i, 1000 + i, 1.0) for i in range(3)]
     df = spark.createDataFrame(data, "k string, t long, id long, v double")
-    found = rolling_mean(df, "k", ["t", "id"], "v", n, hot=["hot", "few"], segments=segments)
-    got = sorted((r.k, r.id, round(r["mean"], 6)) for r in found.collect())
+    found = rolling_mean(df, "k", ["t", "id"], "v", n, hot=["hot", "few", None], segments=segments)
+    got = sorted(((r.k, r.id, round(r["mean"], 6)) for r in found.collect()), key=repr)
     assert got == brute_means(data, n)
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from millrace import schemas
 from millrace.functions import dates, text
@@ -11,6 +11,7 @@ from millrace.operators.windows import closed_windows, window_totals, with_arriv
 from millrace.plans import windows as window_plans
 from millrace.session import scoped_conf, shared_dir, state_partitions, utc
 from millrace.sinks.batches import read_batches
+from millrace.sources.files import json_stream
 from millrace.sources.replay import replay_batches
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.progress import progress_report
@@ -127,6 +128,14 @@ def test_update_mode_keeps_one_folder_per_batch(spark, tmp_path):
     assert sorted(tuple(r) for r in counts.collect()) == [("a", 1, 0), ("a", 2, 1), ("b", 1, 1)]
 
 
+@pytest.mark.parametrize("mode", ["append", "update", "complete"])
+def test_empty_input_gives_an_empty_table(spark, tmp_path, mode):
+    (tmp_path / "none").mkdir()
+    stream = json_stream(spark, str(tmp_path / "none"), "v string")
+    result = run_to_table(stream if mode == "append" else count_by(stream, "v"), mode)
+    assert result.count() == 0 and result.columns[0] == "v"
+
+
 def test_distinct_drops_repeats_across_batches(spark, tmp_path):
     stream = replay_batches(spark, [[("a",)], [("a",), ("b",)]], "v string", str(tmp_path / "q"))
     found = run_to_table(distinct_rows(stream, "v"), "complete")
