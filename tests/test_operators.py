@@ -315,6 +315,7 @@ def test_feed_without_operations_is_all_load(spark):
 
 def test_largest_struct_compares_left_to_right(spark):
     df = spark.createDataFrame([(1, 9), (2, 1), (None, 99)], "a int, b int")
-    packed = df.select(F.lit("U").alias("Op"), F.lit(1).alias("key"), F.struct("a", "b").alias("value"))
+    key = F.struct(F.lit(1).alias("ID")).alias("key")
+    packed = df.select(F.lit("U").alias("Op"), key, F.struct("a", "b").alias("value"))
     assert tuple(changes.latest_by_struct(packed).first().value) == (2, 1)
     assert tuple(changes.latest_by(packed, ["b"]).first().value) == (None, 99)
