@@ -93,9 +93,7 @@ def shipped_in_time(spark, sf_dir, how):
     """Items matched to orders placed up to 90 days before shipping, both watermarked."""
     shipped = items(spark, sf_dir).withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
     placed = orders(spark, sf_dir).withColumn("placed", F.col("o_orderdate").cast("timestamp"))
-    hot = {}
-    if how in ("inner", "left", "left_semi"):
-        hot = heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    hot = heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
     joined = spread_join(
         shipped.drop("l_shipdate").withWatermark("shipped", "10 days"),
         placed.drop("o_orderdate").withWatermark("placed", "10 days"),
@@ -107,7 +105,8 @@ def shipped_in_time(spark, sf_dir, how):
         within=F.expr("shipped BETWEEN placed AND placed + INTERVAL 90 DAYS"),
     )
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("shipped", "placed") if c in joined.columns}
-    return run_to_table(joined.withColumns(times))
+    keeps_unmatched = how == "left"
+    return run_to_table(joined.withColumns(times), idle_batches=keeps_unmatched)
 
 
 IN_TIME = "l_orderkey = o_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 90 DAY"

@@ -54,9 +54,12 @@ def state_partitions(spark: SparkSession) -> int:
     return current if chosen else spark.sparkContext.defaultParallelism
 
 
-def state_settings(spark: SparkSession, count_rows: bool = False) -> dict[str, str]:
+def state_settings(
+    spark: SparkSession, count_rows: bool = False, idle_batches: bool = True
+) -> dict[str, str]:
     """Settings for a stateful query. Counting state rows costs a read before each write."""
     return STATE_STORE | {
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower(),
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": str(count_rows).lower(),
         "spark.sql.shuffle.partitions": str(state_partitions(spark)),
     }

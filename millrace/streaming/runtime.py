@@ -39,11 +39,14 @@ def start(
     options: Mapping[str, str] | None = None,
     name: str | None = None,
     count_state: bool = False,
+    idle_batches: bool = True,
 ) -> StreamingQuery:
     """Start a query on exactly one sink: a format, a batch writer or a row writer.
 
     Two queries must not share a checkpoint; without one given a new folder is used.
     ``count_state`` makes the progress report show how many rows the state holds.
+    ``idle_batches`` lets a moved watermark close windows and expire state without new
+    input; a query that outputs nothing on expiry, such as an inner join, can do without.
     """
     if sum(sink is not None for sink in (format, writer, rows)) != 1:
         raise ValueError("give one of format, writer or rows")
@@ -63,7 +66,7 @@ def start(
     else:
         stream = stream.foreach(rows)
     # A query copies the session settings when it starts.
-    with scoped_conf(spark, state_settings(spark, count_state)):
+    with scoped_conf(spark, state_settings(spark, count_state, idle_batches)):
         return stream.start()
 
 
@@ -94,6 +97,7 @@ def run_to_table(
     mode: str = "append",
     path: str | None = None,
     checkpoint: str | None = None,
+    **kwargs,
 ) -> DataFrame:
     """Process everything available and return the result as a table in shared storage.
 
@@ -106,11 +110,12 @@ def run_to_table(
     checkpoint = checkpoint or f"{base}/checkpoint"
     schema = df.schema
     if mode == "append":
-        finish(start(df, format="parquet", options={"path": path}, checkpoint=checkpoint))
+        finish(start(df, format="parquet", options={"path": path}, checkpoint=checkpoint, **kwargs))
     elif mode == "complete":
-        run_batches(df, replace_table(path), mode=mode, checkpoint=checkpoint)
+        run_batches(df, replace_table(path), mode=mode, checkpoint=checkpoint, **kwargs)
     else:
-        run_batches(df, folder_per_batch(path, "parquet"), mode=mode, checkpoint=checkpoint)
+        writer = folder_per_batch(path, "parquet")
+        run_batches(df, writer, mode=mode, checkpoint=checkpoint, **kwargs)
         schema = StructType(schema.fields).add("batch", "long")
     try:
         return spark.read.schema(schema).parquet(path)
