@@ -156,8 +156,8 @@ def test_snapshot_versions_do_not_overwrite(spark, tmp_path):
 
 
 def test_message_envelope(spark):
-    messages = rows_table(spark, [("science", bytearray(b"abc,120"))], "topic string, value binary")
-    assert rows(decode_messages(messages)) == [("science", "abc,120")]
+    messages = rows_table(spark, [("clicks", bytearray(b"abc,120"))], "topic string, value binary")
+    assert rows(decode_messages(messages)) == [("clicks", "abc,120")]
     assert message_options("broker:9092", "clicks") == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "clicks",
