@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -68,13 +67,14 @@ def state_settings(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary folder.
+    Without that setting a local-mode session uses its warehouse folder; a cluster must be
+    told, since no folder of the driver's machine is known to be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] == "local":
+        named = spark.conf.get("spark.sql.warehouse.dir")
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="millrace-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
