@@ -127,7 +127,11 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     bits = F.lit(0).cast("long")
     for rule in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(rule.mask)).otherwise(F.lit(0)).cast("long"))
-    return measured.withColumn("failed_bits", bits)
+    entry = measured.select("row", *MEASURES, bits.alias("failed_bits"))
+    # A generator of one row: filters on the ledger stay above it. Without it they would be
+    # moved below the measurements, each of which would then be computed many times.
+    names = [*MEASURES, "failed_bits"]
+    return entry.select("row", F.stack(F.lit(1), *names).alias(*names))
 
 
 def passes(policy: Policy, bits: str = "failed_bits") -> Column:
