@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, pfair, quality, simhash, toxicity, url_rules
+from millrace.llm import cover_tree, packing, pfair, quality, simhash, toxicity, url_rules
 from millrace.llm.common import crc_remainder, read
 from millrace.plans.registry import query
 
@@ -71,6 +71,39 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+#: Rounding apart, the links are those of all pairs; the components are a recursive query.
+EMBEDDING_SQL = """
+with recursive valid as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b
+  from valid a join valid b
+    on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+   and list_dot_product(a.v, b.v)
+       >= 0.95 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))
+), reach(node, least) as (
+  select vec_id, vec_id from embeddings
+  union
+  select links.b, reach.least from reach join links on reach.node = links.a
+   where reach.least < links.b
+), counts as (
+  select a, count(*) as n from links group by a
+)
+select vec_id, coalesce(any_value(n), 0)::bigint as n_links, min(least)::bigint as component_id,
+       vec_id = min(least) as kept
+from embeddings join reach on node = vec_id left join counts on a = vec_id
+group by vec_id
+"""
+
+
+@query(EMBEDDING_SQL)
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked(read(spark, sf_dir, "embeddings"))
+
+
 URL_SQL = r"""
 with rules(rule_host, rule_path, rule_verdict) as (
   values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
