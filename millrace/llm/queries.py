@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import cover_tree, packing, pfair, quality, simhash, toxicity, url_rules
+from millrace.llm import cover_tree, language_model, packing, pfair, quality, simhash, toxicity, url_rules
 from millrace.llm.common import crc_remainder, read
 from millrace.plans.registry import query
 
@@ -104,6 +104,11 @@ def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.linked(read(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(read(spark, sf_dir, "documents"))
+
+
 URL_SQL = r"""
 with rules(rule_host, rule_path, rule_verdict) as (
   values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
