@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import cover_tree, language_model, packing, pfair, quality, simhash, toxicity, url_rules
+from millrace.llm import (
+    cover_tree, language_model, licenses, packing, pfair, quality, quotations, simhash, toxicity,
+    url_rules,
+)
 from millrace.llm.common import crc_remainder, read
 from millrace.plans.registry import query
 
@@ -71,6 +74,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query()
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(read(spark, sf_dir, "documents"), licenses.train())
+
+
 #: Rounding apart, the links are those of all pairs; the components are a recursive query.
 EMBEDDING_SQL = """
 with recursive valid as (
@@ -104,6 +112,11 @@ def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.linked(read(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op4_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.conversations(read(spark, sf_dir, "conversations"))
+
+
 @query()
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(read(spark, sf_dir, "documents"))
