@@ -31,6 +31,8 @@ CHAR_ROWS = 1 << 14
 #: this many characters each, which bounds what the driver holds. Scoring reads whole texts.
 SAMPLE, SAMPLE_CHARS = (2400, 800), 6000
 EPOCHS, BATCH, RATE = 8, 64, 0.01
+#: A small sample is gone through more often, until there were so many steps.
+UPDATES = 200
 #: A word has a vector of its own if so many sampled documents have it; in training the vector
 #: is left out at this rate, so that the trigrams learn too.
 SPREAD, DROPOUT = 6, 0.3
@@ -266,7 +268,7 @@ def _slices(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, list[np.ndarr
         yield np.array(group), some
 
 
-def train(samples: list[tuple[str | None, int]], epochs: int = EPOCHS, seed: int = 7) -> Model:
+def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
     """Fit the network to (text, label) pairs.
 
     Each epoch looks for the highest window of every text and learns from those windows: the
@@ -300,6 +302,7 @@ def train(samples: list[tuple[str | None, int]], epochs: int = EPOCHS, seed: int
     begins = np.cumsum(sizes) - sizes
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
     random, count = np.random.default_rng(seed), 0
+    epochs = max(EPOCHS, UPDATES // max(1, -(-int(fit.sum()) // BATCH)))
     for epoch in range(epochs):
         inputs = word_inputs(model.weights, words.known, words.chars)
         got = np.concatenate(
