@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import fits_broadcast
 from millrace.sources.tables import stored
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
@@ -73,14 +72,16 @@ def _same_key(names: Sequence[str]) -> Column:
     return same
 
 
-def change_set(changes: DataFrame, updates: DataFrame, order: Sequence[str]) -> DataFrame:
-    """All inserts and deletes with the latest updates, in feed order.
+def change_set(
+    changes: DataFrame, updates: DataFrame, order: Sequence[str], ordered: bool = False
+) -> DataFrame:
+    """All inserts and deletes with the latest updates, sorted in feed order if asked for.
 
-    The key is part of the sort so that rows sharing one time stamp can still be divided
-    between range partitions.
+    A merge does not need the sort. The key is part of it so that rows sharing one time stamp
+    can still be divided between range partitions.
     """
-    others = changes.filter(F.col("Op").isin(INSERT, DELETE))
-    return others.unionByName(updates).orderBy(*[F.col(f"value.{c}") for c in order], "key")
+    rows = changes.filter(F.col("Op").isin(INSERT, DELETE)).unionByName(updates)
+    return rows.orderBy(*[F.col(f"value.{c}") for c in order], "key") if ordered else rows
 
 
 def _ordered(order: Sequence[str], *payload: str) -> Column:
@@ -91,91 +92,83 @@ def _ordered(order: Sequence[str], *payload: str) -> Column:
     return F.struct(*[F.col(f"value.{c}").alias(f"_{c}") for c in order], *payload)
 
 
+# At equal order fields a delete comes first, then an insert, then an update.
+RANKS = ((DELETE, 0), (INSERT, 1), (UPDATE, 2))
+
+
 def resolve(changes: DataFrame, order: Sequence[str], on_conflict: str = "error") -> DataFrame:
-    """One row per key: the insert to use if the key is new, the change if it is not.
+    """One row per changed key: what its changes, taken in feed order, leave to be done.
 
-    Several updates or deletes of a key, or several inserts, conflict. ``"error"`` fails the
-    query; ``"latest"`` keeps the last by ``order``, a delete before an update of equal
-    time. The check is part of the same aggregation, so the feed is read once.
+    Rows up to the last delete do not matter, so ``deleted`` says that there was one. Of the
+    rows after it (all rows without one), ``insert`` is the first insert, ``update`` the last
+    update, and ``update_later`` whether that update follows the insert.
+
+    Several updates or deletes of a key, or several inserts, are a conflict. ``"error"``
+    fails the query then; ``"latest"`` goes by ``order``.
     """
     if on_conflict not in ("error", "latest"):
         raise ValueError(f"unknown on_conflict: {on_conflict}")
-    modifies = F.col("Op").isin(UPDATE, DELETE)
-    inserts = ~modifies
-    flagged = changes.withColumn("_is_delete", F.col("Op") == DELETE)
-    row = _ordered(order, "_is_delete", "Op", "value")
-    resolved = _per_key(
-        flagged,
-        F.max(F.when(modifies, row)).alias("change"),
-        F.max(F.when(inserts, row)).alias("insert"),
-        F.count(F.when(modifies, 1)).alias("_changes"),
-        F.count(F.when(inserts, 1)).alias("_inserts"),
+    names = changes.schema["key"].dataType.names
+    rank = F.lit(None).cast("int")
+    for operation, number in RANKS:
+        rank = F.when(F.col("Op") == operation, number).otherwise(rank)
+    at = F.struct(*[F.col(f"value.{c}").alias(f"_{c}") for c in order], rank.alias("_rank"))
+    placed = changes.filter(rank.isNotNull()).select("Op", "key", "value", at.alias("_at"))
+
+    deletes = _per_key(
+        placed,
+        F.max(F.when(F.col("Op") == DELETE, F.col("_at"))).alias("_deleted"),
+        F.count(F.when(F.col("Op") == INSERT, 1)).alias("_inserts"),
+        F.count(F.when(F.col("Op") != INSERT, 1)).alias("_changes"),
     )
     if on_conflict == "error":
         clash = (F.col("_changes") > 1) | (F.col("_inserts") > 1)
         message = F.concat(F.lit("several changes for key "), F.to_json("key"))
-        resolved = resolved.filter(F.when(clash, F.raise_error(message)).otherwise(F.lit(True)))
-    return resolved.select("key", _payload("change"), _payload("insert"))
-
-
-def _payload(column: str) -> Column:
-    picked = F.struct(F.col(f"{column}.Op"), F.col(f"{column}.value"))
-    return F.when(F.col(column).isNotNull(), picked).alias(column)
+        deletes = deletes.filter(F.when(clash, F.raise_error(message)).otherwise(F.lit(True)))
+    later = (
+        placed.alias("t").join(deletes.alias("c"), _same_key(names), "left")
+        .filter(F.col("_deleted").isNull() | (F.col("_at") >= F.col("_deleted")))
+        .select("t.Op", "t.key", "t.value", "_at", F.col("_deleted").isNotNull().alias("_gone"))
+    )
+    row = F.struct("_at", "value")
+    # The last delete itself is among the rows, so that its key is not lost.
+    resolved = _per_key(
+        later,
+        F.max("_gone").alias("deleted"),
+        F.min(F.when(F.col("Op") == INSERT, row)).alias("_insert"),
+        F.max(F.when(F.col("Op") == UPDATE, row)).alias("_update"),
+    )
+    return resolved.select(
+        "key",
+        "deleted",
+        F.col("_insert.value").alias("insert"),
+        F.col("_update.value").alias("update"),
+        (F.col("_update._at") > F.col("_insert._at")).alias("update_later"),
+    )
 
 
 def merge_changes(
-    target: DataFrame,
-    changes: DataFrame,
-    order: Sequence[str],
-    on_conflict: str = "error",
-    broadcast_rows: int = 200_000,
-    broadcast_bytes: int = 64 << 20,
+    target: DataFrame, changes: DataFrame, order: Sequence[str], on_conflict: str = "error"
 ) -> DataFrame:
-    """The next version of ``target``, whose keys are unique.
-
-    Key present: the last change deletes the row or replaces its value (``Op`` stays as it
-    was); inserts are ignored. Key absent: an insert adds the row; updates and deletes are
-    ignored.
+    """The next version of ``target``, whose keys are unique, after all changes in feed order.
 
-    The resolved change set is written to shared storage once and measured there. One
-    within ``broadcast_rows`` and ``broadcast_bytes`` is sent to every executor and the
-    target is not shuffled; a larger one is joined by key.
+    Key present: a delete removes the row, an update replaces its value (``Op`` stays as it
+    was), an insert is ignored. Key absent: an insert adds the row, anything else is
+    ignored. Keys with a NULL field match nothing in the target. How the two sides are
+    joined is left to Spark.
     """
     resolved = stored(resolve(changes, order, on_conflict), "changes")
-    if fits_broadcast(resolved, broadcast_rows, broadcast_bytes):
-        return _merge_small(target, F.broadcast(resolved))
     same = _same_key(target.schema["key"].dataType.names)
     both = target.alias("t").join(resolved.alias("c"), same, "full")
-    present = F.col("t.key").isNotNull()
-    kept = present & ~F.col("c.change.Op").eqNullSafe(DELETE)
-    added = ~present & F.col("c.insert").isNotNull()
-    return both.filter(kept | added).select(
-        F.when(present, F.col("t.Op")).otherwise(F.col("c.insert.Op")).alias("Op"),
+    # The row is still there, as opposed to never there or deleted.
+    present = F.col("t.key").isNotNull() & ~F.coalesce(F.col("c.deleted"), F.lit(False))
+    added = F.col("c.insert").isNotNull()
+    changed = F.when(F.col("c.update_later"), F.col("c.update")).otherwise(F.col("c.insert"))
+    return both.filter(present | added).select(
+        F.when(present, F.col("t.Op")).otherwise(F.lit(INSERT)).alias("Op"),
         F.coalesce("t.key", "c.key").alias("key"),
-        F.when(present, _new_value()).otherwise(F.col("c.insert.value")).alias("value"),
-    )
-
-
-def _new_value() -> Column:
-    replaced = F.col("c.change.Op") == UPDATE
-    return F.when(replaced, F.col("c.change.value")).otherwise(F.col("t.value"))
-
-
-def _merge_small(target: DataFrame, resolved: DataFrame) -> DataFrame:
-    same = _same_key(target.schema["key"].dataType.names)
-    matched = target.alias("t").join(resolved.alias("c"), same, "left")
-    kept = matched.filter(~F.col("c.change.Op").eqNullSafe(DELETE)).select(
-        F.col("t.Op").alias("Op"), F.col("t.key").alias("key"), _new_value().alias("value")
-    )
-    candidates = resolved.filter(F.col("insert").isNotNull())
-    # Target keys that the change set touches: no more rows than the change set has.
-    touched = target.select("key").alias("t").join(
-        F.broadcast(candidates.select("key")).alias("c"), same, "left_semi"
-    )
-    added = candidates.alias("c").join(F.broadcast(touched).alias("t"), same, "left_anti").select(
-        F.col("insert.Op").alias("Op"), "key", F.col("insert.value").alias("value")
+        F.when(present, F.coalesce("c.update", "t.value")).otherwise(changed).alias("value"),
     )
-    return kept.unionByName(added)
 
 
 def newest_first(table: DataFrame, order: str, condition: Column | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Change feeds and merges.
 
-The feed is made of the given tables. Settled orders are the full load. Each line item is a
-change to its order: returned items delete it, accepted ones update its price, new ones
-insert it.
+The feed is made of the given tables. Orders are the full load, but those in progress arrive
+as inserts on their day. Each line item is a change to its order: returned items delete it,
+accepted ones update its price, new ones insert it.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from millrace.operators import changes
 from millrace.operators.aggregates import count_by
 from millrace.plans.registry import query
-from millrace.sources.tables import table
+from millrace.sources.tables import stored, table
 
 KEYS = ["ID"]
 ORDER = ["cdcTime", "seq"]
 
 
 def feed(spark, sf_dir):
-    loaded = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
-        F.lit(None).cast("string").alias("Op"),
+    loaded = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", "I").alias("Op"),
         F.col("o_orderkey").alias("ID"),
         F.col("o_orderdate").alias("cdcTime"),
         F.lit(0).alias("seq"),
@@ -40,9 +40,9 @@ def feed(spark, sf_dir):
 
 
 FEED_SQL = """feed AS (
-    SELECT CAST(NULL AS VARCHAR) AS op, o_orderkey AS id, o_orderdate AS cdctime, 0 AS seq,
-        o_orderpriority AS akey, o_totalprice AS price
-    FROM orders WHERE o_orderstatus <> 'P'
+    SELECT CASE WHEN o_orderstatus = 'P' THEN 'I' END AS op, o_orderkey AS id,
+        o_orderdate AS cdctime, 0 AS seq, o_orderpriority AS akey, o_totalprice AS price
+    FROM orders
     UNION ALL
     SELECT CASE l_returnflag WHEN 'R' THEN 'D' WHEN 'A' THEN 'U' ELSE 'I' END, l_orderkey,
         l_shipdate, l_linenumber, l_linestatus, l_extendedprice FROM lineitem)"""
@@ -91,7 +91,7 @@ def cdc_latest_by_time(spark, sf_dir):
 def change_rows(spark, sf_dir):
     _, changed = changes.split_feed(feed(spark, sf_dir), KEYS)
     newest = changes.latest_by(changed.filter(F.col("Op") == "U"), ORDER)
-    return changes.change_set(changed, newest, ORDER)
+    return changes.change_set(changed, newest, ORDER, ordered=True)
 
 
 @query(f"""WITH {FEED_SQL}, {LATEST_UPDATES_SQL} SELECT {COLUMNS_SQL} FROM
@@ -100,24 +100,35 @@ def cdc_changes(spark, sf_dir):
     return flat(change_rows(spark, sf_dir))
 
 
-def merged(spark, sf_dir, **options):
+def merged(spark, sf_dir):
     load, changed = changes.split_feed(feed(spark, sf_dir), KEYS)
-    return changes.merge_changes(load, changed, ORDER, on_conflict="latest", **options)
-
-
-MERGED_SQL = f"""{FEED_SQL},
-    target AS (SELECT * FROM feed WHERE op IS NULL),
-    last_change AS (SELECT * FROM feed WHERE op IN ('U', 'D') QUALIFY row_number()
-        OVER (PARTITION BY id ORDER BY cdctime DESC, seq DESC, op, akey DESC, price DESC) = 1),
-    last_insert AS (SELECT * FROM feed WHERE op = 'I' QUALIFY row_number()
-        OVER (PARTITION BY id ORDER BY cdctime DESC, seq DESC, akey DESC, price DESC) = 1),
-    merged AS (
-        SELECT * FROM target WHERE id NOT IN (SELECT id FROM last_change)
+    return changes.merge_changes(load, changed, ORDER, on_conflict="latest")
+
+
+# The changes of a key in feed order: nothing up to its last delete matters. Afterwards a row
+# that is there takes its last update; a row that is not there starts with the first insert
+# and takes the last update that follows it.
+MERGE_STEPS_SQL = """
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cdctime, seq) AS pos
+        FROM feed WHERE op IS NOT NULL),
+    marked AS (SELECT *, coalesce(max(pos) FILTER (WHERE op = 'D') OVER (PARTITION BY id), 0)
+        AS gone FROM ordered),
+    rest AS (SELECT * FROM marked WHERE pos > gone),
+    start AS (
+        SELECT op, id, cdctime, seq, akey, price, 0 AS pos FROM feed
+        WHERE op IS NULL AND id NOT IN (SELECT id FROM marked WHERE gone > 0)
         UNION ALL
-        SELECT NULL, id, cdctime, seq, akey, price FROM last_change
-        WHERE op = 'U' AND id IN (SELECT id FROM target)
+        SELECT op, id, cdctime, seq, akey, price, pos FROM rest
+        WHERE op = 'I' AND (gone > 0 OR id NOT IN (SELECT id FROM feed WHERE op IS NULL))
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos) = 1),
+    final_update AS (SELECT r.* FROM rest r JOIN start s ON r.id = s.id AND r.pos > s.pos
+        WHERE r.op = 'U' QUALIFY row_number() OVER (PARTITION BY r.id ORDER BY r.pos DESC) = 1),
+    merged AS (
+        SELECT * EXCLUDE pos FROM start WHERE id NOT IN (SELECT id FROM final_update)
         UNION ALL
-        SELECT * FROM last_insert WHERE id NOT IN (SELECT id FROM target))"""
+        SELECT s.op, u.id, u.cdctime, u.seq, u.akey, u.price
+        FROM start s JOIN final_update u ON s.id = u.id)"""
+MERGED_SQL = f"{FEED_SQL}, {MERGE_STEPS_SQL}"
 
 
 @query(f"WITH {MERGED_SQL} SELECT {COLUMNS_SQL} FROM merged")
@@ -125,10 +136,40 @@ def cdc_merge(spark, sf_dir):
     return flat(merged(spark, sf_dir))
 
 
-@query(f"WITH {MERGED_SQL} SELECT {COLUMNS_SQL} FROM merged")
+SUPPLIER_FEED_SQL = """feed AS (
+    SELECT CAST(NULL AS VARCHAR) AS op, s_suppkey AS id, TIMESTAMP '1970-01-01' AS cdctime,
+        0::BIGINT AS seq, s_name AS akey, s_acctbal AS price
+    FROM supplier WHERE s_suppkey % 3 <> 0
+    UNION ALL
+    SELECT CASE l_returnflag WHEN 'R' THEN 'D' WHEN 'A' THEN 'U' ELSE 'I' END, l_suppkey,
+        l_shipdate, l_orderkey * 8 + l_linenumber, l_linestatus, l_extendedprice FROM lineitem)"""
+
+
+@query(f"WITH {SUPPLIER_FEED_SQL}, {MERGE_STEPS_SQL} SELECT {COLUMNS_SQL} FROM merged")
 def cdc_merge_by_key(spark, sf_dir):
-    """The same merge for a change set too large to broadcast."""
-    return flat(merged(spark, sf_dir, broadcast_rows=0))
+    """Few keys with many changes each: every line item changes its supplier.
+
+    Each third supplier is not in the target, so that its first insert adds it.
+    """
+    loaded = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 3 != 0).select(
+        F.lit(None).cast("string").alias("Op"),
+        F.col("s_suppkey").alias("ID"),
+        F.lit("1970-01-01").cast("timestamp_ntz").alias("cdcTime"),
+        F.lit(0).cast("long").alias("seq"),
+        F.col("s_name").alias("AKEY"),
+        F.col("s_acctbal").alias("price"),
+    )
+    flag = F.col("l_returnflag")
+    changed = table(spark, sf_dir, "lineitem").select(
+        F.when(flag == "R", "D").when(flag == "A", "U").otherwise("I").alias("Op"),
+        F.col("l_suppkey").alias("ID"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("cdcTime"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("seq"),
+        F.col("l_linestatus").alias("AKEY"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    load, rows = changes.split_feed(loaded.unionByName(changed), KEYS)
+    return flat(changes.merge_changes(load, rows, ORDER, on_conflict="latest"))
 
 
 @query(f"WITH {MERGED_SQL} SELECT {COLUMNS_SQL} FROM merged WHERE akey = 'F'")
@@ -140,3 +181,14 @@ def cdc_view(spark, sf_dir):
 @query(f"""WITH {MERGED_SQL} SELECT op AS "Op", count(*) AS count FROM merged GROUP BY op""")
 def cdc_op_counts(spark, sf_dir):
     return count_by(merged(spark, sf_dir), "Op")
+
+
+@query(
+    """SELECT o_orderkey AS "ID", o_orderdate AS "cdcTime", o_orderpriority AS "AKEY" FROM orders"""
+)
+def feed_without_op(spark, sf_dir):
+    """A feed without operations is a full load; it becomes the first snapshot."""
+    plain = feed(spark, sf_dir).filter("seq = 0").select("ID", "cdcTime", "AKEY")
+    load, changed = changes.split_feed(plain, KEYS)
+    assert changed is None
+    return stored(load, "snapshot")

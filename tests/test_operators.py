@@ -231,42 +231,57 @@ def feed(spark, entries):
 
 
 def brute_merge(target, change_rows):
+    """Apply the changes one after another; of equal times a delete, an insert, an update."""
     merged = dict(target)
-    for key in {c[1] for c in change_rows}:
-        mine = [c for c in change_rows if c[1] == key]
-        modifying = [c for c in mine if c[0] in ("U", "D")]
-        inserts = [c for c in mine if c[0] not in ("U", "D", None)]
-        if key in target:
-            if modifying:
-                last = max(modifying, key=lambda c: (c[2], c[0] == "D", c[3]))
-                if last[0] == "D":
-                    del merged[key]
-                else:
-                    merged[key] = (target[key][0], last[2], last[3])
-        elif inserts:
-            last = max(inserts, key=lambda c: (c[2], c[3]))
-            merged[key] = (last[0], last[2], last[3])
+    for op, key, t, value in sorted(change_rows, key=lambda c: (c[2], "DIU".index(c[0]), c[3])):
+        if op == "D":
+            merged.pop(key, None)
+        elif op == "I":
+            merged.setdefault(key, ("I", t, value))
+        elif key in merged:
+            merged[key] = (merged[key][0], t, value)
     return sorted(((k, *v) for k, v in merged.items()), key=repr)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-@pytest.mark.parametrize("seed", range(3))
-def test_merge_equals_brute_force(spark, seed, broadcast_rows):
+@pytest.mark.parametrize("seed", range(4))
+def test_merge_equals_brute_force(spark, seed):
     rng = random.Random(seed)
     target = {k: (None, 0, "old") for k in range(0, 30, 2)}
     change_rows = [
-        (rng.choice("IUD"), rng.randrange(30), rng.randrange(6), rng.choice("xyz"))
-        for _ in range(80)
+        (rng.choice("IUD"), rng.randrange(30), rng.randrange(9), rng.choice("xyz"))
+        for _ in range(110)
     ]
     loaded = feed(spark, [(op, k, t, a) for k, (op, t, a) in target.items()])
     load, changed = changes.split_feed(
         loaded.unionByName(feed(spark, change_rows)), ["ID"]
     )
-    merged = changes.merge_changes(load, changed, ["t"], "latest", broadcast_rows)
+    merged = changes.merge_changes(load, changed, ["t"], "latest")
     got = rows(merged.select("value.ID", "Op", "value.t", "value.AKEY"))
     assert got == brute_merge(target, change_rows)
 
 
+@pytest.mark.parametrize(
+    "present, operations, expected",
+    [
+        (False, "ID", []),
+        (False, "IU", [("I", 2)]),
+        (True, "DI", [("I", 2)]),
+        (False, "UI", [("I", 2)]),
+        (True, "UIU", [(None, 3)]),
+        (True, "DIUD", []),
+        (True, "DU", []),
+        (False, "II", [("I", 1)]),
+        (True, "DIIU", [("I", 4)]),
+    ],
+)
+def test_changes_apply_in_feed_order(spark, present, operations, expected):
+    entries = [(op, 1, t, "new") for t, op in enumerate(operations, 1)]
+    loaded = [(None, 1, 0, "old")] if present else []
+    load, changed = changes.split_feed(feed(spark, [*loaded, *entries]), ["ID"])
+    merged = changes.merge_changes(load, changed, ["t"], "latest")
+    assert rows(merged.select("Op", "value.t")) == expected
+
+
 SINGLE_CHANGES = {
     ("U", True): [(None, 1, 5, "new")],
     ("D", True): [],
@@ -277,12 +292,11 @@ SINGLE_CHANGES = {
 }
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
 @pytest.mark.parametrize("op, present", SINGLE_CHANGES)
-def test_merge_rules(spark, op, present, broadcast_rows):
+def test_merge_rules(spark, op, present):
     loaded = [(None, 1, 0, "old")] if present else []
     load, changed = changes.split_feed(feed(spark, [*loaded, (op, 1, 5, "new")]), ["ID"])
-    merged = changes.merge_changes(load, changed, ["t"], broadcast_rows=broadcast_rows)
+    merged = changes.merge_changes(load, changed, ["t"])
     got = rows(merged.select("Op", "value.ID", "value.t", "value.AKEY"))
     assert got == SINGLE_CHANGES[op, present]
 
@@ -291,15 +305,18 @@ def test_conflicting_changes_fail_unless_resolved(spark):
     _, changed = changes.split_feed(feed(spark, [("U", 1, 1, "a"), ("D", 1, 2, "a")]), ["ID"])
     with pytest.raises(Exception, match="several changes for key"):
         changes.resolve(changed, ["t"]).collect()
-    assert changes.resolve(changed, ["t"], "latest").first().change.Op == "D"
+    resolved = changes.resolve(changed, ["t"], "latest").first()
+    assert resolved.deleted and resolved.update is None
     with pytest.raises(ValueError):
         changes.resolve(changed, ["t"], "newest")
 
 
-def test_delete_wins_a_tie(spark):
-    for order in itertools.permutations([("U", 1, 1, "z"), ("D", 1, 1, "a")]):
+def test_a_delete_comes_first_in_a_tie(spark):
+    for order in itertools.permutations([("I", 1, 1, "z"), ("D", 1, 1, "a"), ("U", 1, 1, "u")]):
         _, changed = changes.split_feed(feed(spark, list(order)), ["ID"])
-        assert changes.resolve(changed, ["t"], "latest").first().change.Op == "D"
+        resolved = changes.resolve(changed, ["t"], "latest").first()
+        assert resolved.deleted and resolved.insert.AKEY == "z"
+        assert resolved.update.AKEY == "u" and resolved.update_later
 
 
 def test_deleted_flag_is_three_valued(spark):
