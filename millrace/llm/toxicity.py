@@ -80,6 +80,25 @@ class Words:
     rows: dict[bytes, int] = field(default_factory=dict)
     known: list[int] = field(default_factory=list)
     chars: list[list[int]] = field(default_factory=list)
+    gates: dict[str, np.ndarray] = field(default_factory=dict)
+    done: int = 0
+
+    def projected(self) -> dict[str, np.ndarray]:
+        """Gate inputs of all words so far; each word's are computed once."""
+        n = len(self.known)
+        if not self.gates or n > len(self.gates["f"]):
+            for d in "fb":
+                grown = np.zeros((max(1024, 2 * n), GATES), np.float32)
+                if d in self.gates:
+                    grown[: self.done] = self.gates[d][: self.done]
+                self.gates[d] = grown
+        if n > self.done:
+            weights = self.model.weights
+            fresh = project(weights, word_inputs(weights, self.known[self.done :], self.chars[self.done :]))
+            for d in "fb":
+                self.gates[d][self.done : n] = fresh[d]
+            self.done = n
+        return self.gates
 
     def number(self, words: list[bytes]) -> np.ndarray:
         out = np.empty(len(words), np.int64)
@@ -103,6 +122,11 @@ def word_inputs(weights: dict, known: list[int], chars: list[list[int]]) -> np.n
     return np.concatenate([weights["word"][known], sums / sizes[:, None]], axis=1, dtype=np.float32)
 
 
+def project(weights: dict, inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """Gate inputs of words for both directions."""
+    return {d: inputs @ weights[f"w{d}"] + weights[f"b{d}"] for d in "fb"}
+
+
 # --- network --------------------------------------------------------------------------------
 
 
@@ -135,18 +159,14 @@ def run_direction(
 
 
 def forward(
-    weights: dict, inputs: np.ndarray, steps: np.ndarray, live: np.ndarray, trace: dict | None = None
+    weights: dict, gates: dict[str, np.ndarray], steps: np.ndarray, live: np.ndarray,
+    trace: dict | None = None,
 ) -> np.ndarray:
-    """Logit of each window. ``inputs``: one row per distinct word; ``steps``: (time, window)."""
+    """Logit of each window. ``gates``: a row per distinct word and direction; ``steps``: (time,
+    window) rows."""
     kept = {d: None if trace is None else [] for d in "fb"}
     states = np.concatenate(
-        [
-            run_direction(
-                weights, d, inputs @ weights[f"w{d}"] + weights[f"b{d}"], steps, live, kept[d]
-            )
-            for d in "fb"
-        ],
-        axis=2,
+        [run_direction(weights, d, gates[d], steps, live, kept[d]) for d in "fb"], axis=2
     )
     focus = np.tanh(states @ weights["aw"] + weights["ab"])
     marks = np.where(live, focus @ weights["av"], -1e9)
@@ -232,16 +252,14 @@ def _grid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def logits_of(model: Model, words: Words, texts: list[np.ndarray]) -> np.ndarray:
     """Highest window logit of each text."""
-    inputs = word_inputs(model.weights, words.known, words.chars)
-    if not len(inputs):
-        inputs = np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)
+    gates = words.projected()
     best = np.full(len(texts), -np.inf)
     # Windows are made for a few texts at a time; a very long text comes in slices of its own.
     for group, some in _slices(texts):
         steps, live, owner = _grid(some)
         for at in range(0, steps.shape[1], STEP):
             to = at + STEP
-            got = forward(model.weights, inputs, steps[:, at:to], live[:, at:to])
+            got = forward(model.weights, gates, steps[:, at:to], live[:, at:to])
             np.maximum.at(best, group[owner[at:to]], got)
     return best
 
@@ -304,9 +322,9 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
     random, count = np.random.default_rng(seed), 0
     epochs = max(EPOCHS, UPDATES // max(1, -(-int(fit.sum()) // BATCH)))
     for epoch in range(epochs):
-        inputs = word_inputs(model.weights, words.known, words.chars)
+        gates = project(model.weights, word_inputs(model.weights, words.known, words.chars))
         got = np.concatenate(
-            [forward(model.weights, inputs, steps[:, a : a + STEP], live[:, a : a + STEP])
+            [forward(model.weights, gates, steps[:, a : a + STEP], live[:, a : a + STEP])
              for a in range(0, steps.shape[1], STEP)]
         )
         order = np.lexsort((-got, owner))
@@ -318,7 +336,7 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
             own = word_inputs(model.weights, known.tolist(), [words.chars[i] for i in used])
             trace: dict = {}
             part, on = at.reshape(steps[:, pick].shape), live[:, pick]
-            logit = forward(model.weights, own, part, on, trace)
+            logit = forward(model.weights, project(model.weights, own), part, on, trace)
             error = ((sigmoid(logit) - y[owner[pick]]) / len(pick)).astype(np.float32)
             grads, word_error = backward(model.weights, own, part, on, trace, error)
             grads["word"] = DECAY * model.weights["word"]
@@ -372,22 +390,33 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on at most SAMPLE documents of the labels whose id is not held out.
 
-    The sample is the first rows by a hash of the id, so that it is the same for the same
-    table. Longer documents than SAMPLE_CHARS are left to scoring. Null labels and labels
-    without a document are ignored; without any labelled row all scores are one half.
+    The sample is the first ids by their hash, so that it is the same for the same table.
+    Documents longer than SAMPLE_CHARS are left to scoring. Other labels than 0 and 1 and
+    labels without a document are ignored; without any labelled row all scores are one half.
+    Rows that share a sampled id all belong to the sample, up to its size.
     """
-    known = labels.where("toxic is not null").select(F.col("doc_id").alias("l_key"), F.col("toxic").alias("l_toxic"))
+    spark = docs.sparkSession
+    known = (
+        labels.where(F.col("toxic").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
+        .select(F.xxhash64("doc_id").alias("order"), F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+        .where("doc_id is not null")
+    )
+    # Ids first: twice the wanted number, since some have no text or a longer one. Texts of
+    # chosen ids only come to the driver, and only ids go out to the tasks.
+    chosen = []
+    for y in (0, 1):
+        chosen += known.where(F.col("toxic") == y).orderBy("order", "doc_id").limit(2 * SAMPLE[y]).collect()
+    picked = spark.createDataFrame([tuple(r) for r in chosen], "place long, l_key long, y int").distinct()
     rows = (
-        docs.where((crc_remainder(F.col(key), 3) != 1) & F.col(text).isNotNull())
-        .where(F.length(text) <= SAMPLE_CHARS)
-        .select(F.col(key).alias("key"), F.col(text).alias("body"))
-        .join(known, F.col("key") == F.col("l_key"))
-        .select("body", F.col("l_toxic").cast("int").alias("y"), F.xxhash64("key", "body").alias("order"))
+        docs.where(F.length(text) <= SAMPLE_CHARS)
+        .select(F.col(key).cast("long").alias("l_key"), F.col(text).cast("string").alias("body"))
+        .join(F.broadcast(picked), "l_key")
+        .select("y", "place", "body")
+        .collect()
     )
-    samples: list[tuple[int, str, int]] = []
+    samples = []
     for y in (0, 1):
-        first = rows.where(F.col("y") == y).select("order", "body").orderBy("order", "body")
-        samples += [(r[0], r[1], y) for r in first.limit(SAMPLE[y]).collect()]
+        samples += sorted((r["place"], r["body"], y) for r in rows if r["y"] == y)[: SAMPLE[y]]
     return train([(text, y) for _, text, y in sorted(samples)])
 
 

@@ -373,11 +373,12 @@ def test_gradients_are_right():
     y = np.array([1.0, 0.0, 1.0, 0.0])
 
     def loss():
-        z = toxicity.forward(weights, inputs, steps, live).astype(np.float64)
+        gates = toxicity.project(weights, inputs)
+        z = toxicity.forward(weights, gates, steps, live).astype(np.float64)
         return float(np.sum(np.log1p(np.exp(z)) - y * z))
 
     trace = {}
-    z = toxicity.forward(weights, inputs, steps, live, trace)
+    z = toxicity.forward(weights, toxicity.project(weights, inputs), steps, live, trace)
     grads, word_error = toxicity.backward(weights, inputs, steps, live, trace, toxicity.sigmoid(z) - y)
     for name in ("wf", "ub", "cf", "bb", "aw", "ab", "av", "ow", "ob"):
         at = tuple(rng.integers(0, s) for s in weights[name].shape)
