@@ -29,7 +29,7 @@ BLOCK_SIZE = 1 << 16
 #: Weights are rounded to this many parts, which bounds the period of a schedule.
 PARTS = 1 << 12
 #: Rows that one task numbers together.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 #: Sources are a dimension of the corpus. More than this are refused rather than folded, which
 #: bounds the table of patterns (phases times period) by about 20 MB.
 MAX_SOURCES = 1_000
