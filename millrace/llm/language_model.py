@@ -34,7 +34,7 @@ from millrace.llm.elias_fano import Trie
 
 STRENGTH = 200.0
 #: Text in a block and tokens per bucket; both bound what a task holds.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_TOKENS = 1 << 20
 #: A bigram in more texts of a block than this goes back as one number for the block.
 LISTED = 16
@@ -47,13 +47,14 @@ LEVELS = (1 << 16) - 1
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays in one compressed blob, each in the smallest type that holds it."""
+    """Arrays in one compressed blob: whole numbers in the smallest type that holds them and
+    byte by byte of all of them, so that the upper bytes compress well."""
     parts = [np.array([len(arrays)], np.int64).tobytes()]
     for array in arrays:
         if array.dtype.kind in "iu":
             top = int(array.max()) if len(array) else 0
             array = array.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(t).max))
-        parts += [array.dtype.str.encode().ljust(4), np.int64(len(array)).tobytes(), array.tobytes()]
+        parts += [array.dtype.str.encode().ljust(4), np.int64(len(array)).tobytes(), _turned(array)]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -63,11 +64,17 @@ def unsqueeze(blob: bytes) -> list[np.ndarray]:
     for _ in range(int(np.frombuffer(data, np.int64, 1)[0])):
         kind = np.dtype(data[at : at + 4].decode().strip())
         n = int(np.frombuffer(data[at + 4 : at + 12], np.int64)[0])
-        out.append(np.frombuffer(data, kind, n, at + 12))
-        at += 12 + n * kind.itemsize
+        size = kind.itemsize
+        planes = np.frombuffer(data, np.uint8, n * size, at + 12).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += 12 + n * size
     return out
 
 
+def _turned(array: np.ndarray) -> bytes:
+    return np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1).T.tobytes() if len(array) else b""
+
+
 def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket that occurs with the places of its members, in their order."""
     order = np.argsort(bucket, kind="stable")
@@ -213,11 +220,14 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
             listed = n_texts[at] <= LISTED
             sizes_here = np.where(listed, n_texts[at], 0)
             own = ragged_ranges(first_text[at], sizes_here)
+            # Contexts are in order: their steps, and the count of each once.
+            step = np.diff(one[at], prepend=0)
+            first = np.r_[True, step[1:] > 0]
             out.append(
                 (
                     bucket, block,
                     squeeze(
-                        one[at], two[at], learned[at], counts[a[at]], counts[b[at]], sizes_here,
+                        step, two[at], learned[at], counts[a[at]][first], counts[b[at]], sizes_here,
                         texts[own], times[own], np.array([len(sizes)]),
                     ),
                 )
@@ -246,6 +256,10 @@ def _score_pairs(n: int, v: int):
         if bucket < 0:
             return rows[columns]
         parts = [unsqueeze(p) for p in rows["payload"]]
+        for part in parts:
+            step = part[0].astype(np.int64)
+            part[0] = np.cumsum(step)
+            part[3] = part[3][np.cumsum(np.r_[0, step[1:] > 0])]
         one, two, learned, count_one, count_two = (
             np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(5)
         )
