@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def explode_parts(df: DataFrame, column: str, separator: str, part: str) -> DataFrame:
-    """One row per non-empty piece of ``column``; the other columns are repeated."""
+def explode_parts(
+    df: DataFrame, column: str, separator: str, part: str, keep_empty: bool = False
+) -> DataFrame:
+    """One row per piece of ``column``, empty pieces if asked for; other columns are repeated."""
     others = [c for c in df.columns if c != column]
     pieces = F.split(F.col(column), re.escape(separator))
-    return df.select(*others, F.explode(pieces).alias(part)).filter(F.col(part) != "")
+    rows = df.select(*others, F.explode(pieces).alias(part))
+    return rows if keep_empty else rows.filter(F.col(part) != "")
 
 
 def words(df: DataFrame, column: str = "value", word: str = "word") -> DataFrame:
@@ -22,8 +25,11 @@ def words(df: DataFrame, column: str = "value", word: str = "word") -> DataFrame
 
 
 def lines(df: DataFrame, column: str, line: str = "value") -> DataFrame:
-    """Turn multi-line text into the one-column line shape of a line source."""
-    return explode_parts(df, column, "\n", line)
+    """Turn multi-line text into the one-column line shape of a line source.
+
+    Blank lines are lines too.
+    """
+    return explode_parts(df, column, "\n", line, keep_empty=True)
 
 
 def short_lines(df: DataFrame, limit: int = 5, column: str = "value") -> DataFrame:

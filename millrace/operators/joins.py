@@ -2,7 +2,8 @@
 
 Whether a side is broadcast is left to Spark, which compares its size statistics with
 ``spark.sql.autoBroadcastJoinThreshold``. Adaptive execution splits skewed partitions of
-static joins. Stateful stream joins have no such help, so hot keys are salted here.
+static joins. Stateful stream joins have no such help; for them the caller may name hot keys,
+known from earlier batches or from :func:`heavy_keys` over a sample period, to be salted.
 """
 
 from __future__ import annotations
@@ -19,9 +20,7 @@ SALTABLE = ("inner", "left", "left_semi", "left_anti")
 MERGE_GROUPS = 512
 
 
-def heavy_keys(
-    df: DataFrame, key: str, min_share: float | None = None, min_rows: int = 1_000_000
-) -> dict:
+def heavy_keys(df: DataFrame, key: str, min_share: float | None = None) -> dict:
     """Values of ``key`` in a static table that are too large for one task, with their share.
 
     By default that is more than one core's fair share of the rows. One pass over one column
@@ -30,8 +29,7 @@ def heavy_keys(
     missed or listed needlessly changes no query result.
     """
     if min_share is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        min_share = 1 / min(2000, max(100, cores))
+        min_share = 1 / max(100, df.sparkSession.sparkContext.defaultParallelism)
     limit = max(1, round(1 / min_share))
     tracked = 10 * limit
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")).agg(
@@ -48,22 +46,13 @@ def heavy_keys(
     ).first()
     if found is None:
         return {}
-    least = max(min_rows, min_share * found["rows"])
     return {
         entry["item"]: entry["count"] / found["rows"]
         for entry in found["top"]
-        if entry["count"] >= least
+        if entry["count"] >= min_share * found["rows"]
     }
 
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure a static table: is it small enough to send to every executor?"""
-    if df.count() > max_rows:
-        return False
-    row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= max_bytes
-
-
 def listed(key: Column, values: Collection) -> Column:
     """Is the key among the values? Never NULL; a ``None`` in the list stands for NULL keys."""
     present = [value for value in values if value is not None]

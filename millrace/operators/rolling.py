@@ -1,20 +1,20 @@
 """Mean over the last n rows of each key.
 
-A plain window function sends every row of a key to one task. Keys listed as hot are cut
-into ranges of their order instead; each range also receives the n - 1 rows before its start,
-so every row still sees its full frame.
+A plain window function sends every row of a key to one task. Here all rows are cut, in key
+and row order, into ranges of about equal size, whatever the keys; each range also receives
+the n - 1 rows of its first key before its start, so every row still sees its full frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import listed
 from millrace.sources.tables import stored
 
+
 def last_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The newest n rows per key. Spark cuts each task's rows to n before the shuffle."""
     newest_first = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
@@ -83,25 +83,16 @@ def rolling_mean(
     value: str,
     n: int,
     name: str = "mean",
-    hot: Collection = (),
     segments: int | None = None,
 ) -> DataFrame:
     """Mean of the last ``n`` values per key, for rows that have n - 1 earlier ones.
 
-    ``order`` must be a total order within a key. ``hot`` lists keys too large for one
-    task, for instance from :func:`millrace.operators.joins.heavy_keys`; they are cut into
-    ``segments`` pieces, by default as many as there are shuffle partitions.
+    ``order`` must be a total order within a key. NULL values count as rows but not in the
+    mean. ``segments`` is the number of ranges, by default that of shuffle partitions.
     """
-    if not hot:
-        return _full_frame_means(df, [key], order, value, n, name)
-    is_hot = listed(F.col(key), hot)
-    ordinary = _full_frame_means(df.filter(~is_hot), [key], order, value, n, name)
-    segmented = _segments(df.filter(is_hot), key, order, segments).withColumn(
-        "_carried", F.lit(False)
-    )
+    segmented = _segments(df, key, order, segments).withColumn("_carried", F.lit(False))
     if n > 1:
-        carried = _carried_rows(segmented, key, order, n).withColumn("_carried", F.lit(True))
-        segmented = segmented.unionByName(carried)
-    large = _full_frame_means(segmented, [key, "_segment"], order, value, n, name)
-    large = large.filter(~F.col("_carried")).drop("_carried", "_segment")
-    return ordinary.unionByName(large)
+        carried = _carried_rows(segmented.drop("_carried"), key, order, n)
+        segmented = segmented.unionByName(carried.withColumn("_carried", F.lit(True)))
+    means = _full_frame_means(segmented, [key, "_segment"], order, value, n, name)
+    return means.filter(~F.col("_carried")).drop("_carried", "_segment")

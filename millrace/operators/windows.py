@@ -121,16 +121,19 @@ def closed_windows(
 def closed_sliding_windows(
     df: DataFrame,
     time: str,
-    delay: str,
+    delay: str | None,
     width: str,
     slide: str,
     measures: Mapping[str, Measure],
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The two steps of a sliding window as chained streaming aggregates, for append mode."""
+    """The two steps of a sliding window as chained streaming aggregates, for append mode.
+
+    Without a ``delay`` the stream already has its watermark.
+    """
     first = [COMBINE[how](value).alias(name) for name, (how, value) in measures.items()]
     second = [RECOMBINE[how](name).alias(name) for name, (how, _) in measures.items()]
-    marked = df.withWatermark(time, delay)
+    marked = df if delay is None else df.withWatermark(time, delay)
     buckets = marked.groupBy(F.window(time, slide).alias("bucket"), *keys).agg(*first)
     windowed = buckets.groupBy(F.window("bucket", width, slide), *keys).agg(*second)
     return _flat(windowed, keys, list(measures))

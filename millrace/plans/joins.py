@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import heavy_keys, spread_join
+from millrace.operators.joins import spread_join
 from millrace.plans.registry import query
+from millrace.sources.replay import in_time_order
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table
 
@@ -14,16 +15,7 @@ def events_with_customers(spark, sf_dir, how):
     """Event stream against the customers of one market segment, unique on their key."""
     events = table_stream(spark, sf_dir, "events").select("event_id", "user_id")
     customers = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
-    hot = heavy_keys(table(spark, sf_dir, "events"), "user_id")
-    return spread_join(
-        events,
-        customers.select("c_custkey", "c_name"),
-        "user_id",
-        "c_custkey",
-        how,
-        hot=hot,
-        row_id=["event_id"],
-    )
+    return spread_join(events, customers.select("c_custkey", "c_name"), "user_id", "c_custkey", how)
 
 
 @query(
@@ -58,17 +50,8 @@ def stream_static_anti(spark, sf_dir):
     return run_to_table(events_with_customers(spark, sf_dir, "left_anti"))
 
 
-def items(spark, sf_dir):
-    return table_stream(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
-    )
-
-
-def orders(spark, sf_dir):
-    return table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-
-
-ITEM_ID = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+ORDER = ["o_orderkey", "o_custkey", "o_orderdate"]
 
 
 @query(
@@ -77,31 +60,30 @@ ITEM_ID = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 )
 def stream_stream_inner(spark, sf_dir):
     """Without a watermark both sides are kept as state for as long as the query lives."""
-    hot = heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
-    joined = spread_join(
-        items(spark, sf_dir),
-        orders(spark, sf_dir),
-        "l_orderkey",
-        "o_orderkey",
-        hot=hot,
-        row_id=ITEM_ID,
-    )
+    items = table_stream(spark, sf_dir, "lineitem").select(*ITEM)
+    orders = table_stream(spark, sf_dir, "orders").select(*ORDER)
+    joined = spread_join(items, orders, "l_orderkey", "o_orderkey")
     return run_to_table(joined.drop("o_orderkey", "o_orderdate"))
 
 
 def shipped_in_time(spark, sf_dir, how):
     """Items matched to orders placed up to 90 days before shipping, both watermarked."""
-    shipped = items(spark, sf_dir).withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
-    placed = orders(spark, sf_dir).withColumn("placed", F.col("o_orderdate").cast("timestamp"))
-    hot = heavy_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    shipped = table(spark, sf_dir, "lineitem").select(*ITEM)
+    placed = table(spark, sf_dir, "orders").select(*ORDER)
+    return match_in_time(
+        in_time_order(shipped, "l_shipdate"), in_time_order(placed, "o_orderdate"), how
+    )
+
+
+def match_in_time(shipped, placed, how):
+    shipped = shipped.withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
+    placed = placed.withColumn("placed", F.col("o_orderdate").cast("timestamp"))
     joined = spread_join(
         shipped.drop("l_shipdate").withWatermark("shipped", "10 days"),
         placed.drop("o_orderdate").withWatermark("placed", "10 days"),
         "l_orderkey",
         "o_orderkey",
         how,
-        hot=hot,
-        row_id=["l_linenumber", "l_partkey", "l_suppkey", "shipped"],
         within=F.expr("shipped BETWEEN placed AND placed + INTERVAL 90 DAYS"),
     )
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("shipped", "placed") if c in joined.columns}
@@ -154,12 +136,13 @@ def labels_in_time(spark, sf_dir, how):
     second = F.col("doc_id") * 60 + F.lit(1_704_067_200)
     written = F.timestamp_seconds(second)
     labelled = F.timestamp_seconds(second + F.col("toxic") * 7200 + 60)
-    documents = table_stream(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id"), written.alias("written")
     )
-    labels = table_stream(spark, sf_dir, "labels").select(
+    labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("labelled_id"), labelled.alias("labelled")
     )
+    documents, labels = in_time_order(documents, "written"), in_time_order(labels, "labelled")
     joined = spread_join(
         documents.withWatermark("written", "10 minutes"),
         labels.withWatermark("labelled", "10 minutes"),

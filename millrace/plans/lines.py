@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import text
-from millrace.operators.aggregates import distinct_rows
+from millrace.functions.dates import from_millis
 from millrace.plans.registry import query
-from millrace.sources.files import with_file_name
+from millrace.schemas import STOCK
+from millrace.session import new_folder
+from millrace.sources.files import csv_stream as csv_lines
+from millrace.sources.files import json_stream as json_lines
+from millrace.sources.files import json_table, parquet_stream, with_file_name
+from millrace.sources.files import line_source as text_lines
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table
 
@@ -18,8 +23,7 @@ def document_lines(spark, sf_dir):
 
 
 DOCUMENT_LINES_SQL = (
-    "SELECT value FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"
-    " WHERE value <> ''"
+    "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
 )
 
 
@@ -92,9 +96,95 @@ def path_segments(spark, sf_dir):
     return text.path_segments(pages, "url", {3: "section", 4: "page", 5: "rest"})
 
 
-@query()
+@query(
+    """SELECT 'events' AS table_name, count(*) AS rows, true AS named FROM events"""
+)
 def file_monitor(spark, sf_dir):
-    """Folders and names of all files seen by a stream of the events table."""
-    files = distinct_rows(with_file_name(table_stream(spark, sf_dir, "events")), "file_name")
-    named = text.path_segments(files, "file_name", {3: "col1", 4: "col2", 5: "col3"})
-    return run_to_table(named, mode="update").drop("batch").distinct()
+    """Files that a stream of the events table has read, each with its rows, added up per table.
+
+    ``named`` says that every row came with the base name of a file.
+    """
+    read = with_file_name(table_stream(spark, sf_dir, "events"))
+    seen = run_to_table(read.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")), "complete")
+    base = F.element_at(F.split("file_name", "/"), -1)
+    folder = F.regexp_extract("file_name", r"([^/]+)\.parquet", 1)
+    return seen.groupBy(folder.alias("table_name")).agg(
+        F.sum("rows").alias("rows"), F.bool_and(base.endswith(".parquet")).alias("named")
+    )
+
+
+def exported(spark, df, format, **options):
+    """Write a table in another format to a folder of its own on shared storage."""
+    folder = new_folder(spark, format)
+    df.write.format(format).options(**options).save(folder)
+    return folder
+
+
+@query(
+    """SELECT event_type AS company, CAST(ts AS DATE) AS date, value,
+        epoch_us(ts) // 1000 AS created, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events"""
+)
+def csv_stream(spark, sf_dir):
+    """CSV files with a written-out date, epoch milliseconds and an ISO date, read as a stream."""
+    events = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    folder = exported(
+        spark,
+        events.select(
+            F.col("event_type").alias("company"), day.alias("date"), "value",
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("created"),
+            F.date_format(day, "yyyy-MM-dd").alias("iso"),
+        ),
+        "csv",
+        dateFormat="MMM d yyyy",
+    )
+    schema = f"{STOCK}, created long, iso string"
+    read = run_to_table(csv_lines(spark, folder, schema))
+    milliseconds = F.unix_millis(from_millis(F.col("created")))
+    day = text.typed_field(F.col("iso"), "date").cast("string")
+    return read.select(
+        "company", "date", "value", milliseconds.alias("created"), day.alias("day")
+    )
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
+def json_stream(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"
+    )
+    folder = exported(spark, orders, "json")
+    return run_to_table(json_lines(spark, folder, orders.schema))
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def json_inferred(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return json_table(spark, exported(spark, customers, "json"))
+
+
+@query(
+    """SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation
+    UNION ALL SELECT r_regionkey, r_name, NULL FROM region"""
+)
+def parquet_merge_schema(spark, sf_dir):
+    """Files of different columns in one folder, one file per micro-batch."""
+    folder = exported(
+        spark,
+        table(spark, sf_dir, "nation").selectExpr(
+            "n_nationkey AS key", "n_name AS name", "n_regionkey AS region"
+        ),
+        "parquet",
+    )
+    regions = table(spark, sf_dir, "region").selectExpr("r_regionkey AS key", "r_name AS name")
+    regions.write.mode("append").parquet(folder)
+    return run_to_table(parquet_stream(spark, folder, max_files=1))
+
+
+@query("SELECT unnest(string_split(text, chr(10))) AS value FROM documents WHERE lang = 'en'")
+def line_source(spark, sf_dir):
+    """Lines of text files as a stream. A carriage return ends a line too, so it is replaced."""
+    documents = table(spark, sf_dir, "documents").filter("lang = 'en'").select("text")
+    written = documents.withColumn("text", F.replace("text", F.lit("\r"), F.lit("\x1f")))
+    folder = exported(spark, written, "text")
+    lines = run_to_table(text_lines(spark, "text", path=folder))
+    return lines.withColumn("value", F.replace("value", F.lit("\x1f"), F.lit("\r")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text
 from millrace.operators import windows
 from millrace.plans.registry import query
+from millrace.sources.replay import in_time_order
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table
 
@@ -25,10 +26,11 @@ def rounded(totals):
 
 def arrivals(spark, sf_dir):
     """Conversation turns as lines that arrive in order, ten seconds between conversations."""
-    turns = table_stream(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     second = F.col("conv_id") * 10 + F.col("turn")
-    arrived = F.timestamp_seconds(second + F.lit(1_704_067_200)).cast("timestamp_ntz")
-    return turns.select(arrived.alias("arrived"), F.col("text").alias("value"))
+    arrived = F.timestamp_seconds(second + F.lit(1_704_067_200))
+    lines = turns.select(arrived.alias("arrived"), F.col("text").alias("value"))
+    return in_time_order(lines, "arrived")
 
 
 ARRIVALS_SQL = """(SELECT TIMESTAMP '2024-01-01 00:00:00'
@@ -46,6 +48,18 @@ def sliding_sql(select: str, source: str, time: str, seconds: int, slide: int, k
     GROUP BY start{by}"""
 
 
+def closed_sql(totals: str, source: str, time: str, delay: str):
+    """The windows that a watermark behind the last row by ``delay`` has passed."""
+    return f"""SELECT * FROM ({totals})
+        WHERE "end" <= (SELECT max({time}) - INTERVAL {delay} FROM {source})"""
+
+
+def closed_sliding(df, time, delay, width, slide, measures, keys=()):
+    """Buckets and windows that leave the state once the watermark has passed them."""
+    totals = windows.closed_sliding_windows(df, time, delay, width, slide, measures, keys)
+    return run_to_table(without_zone(totals))
+
+
 def sliding_stream(df, time, width, slide, measures, keys=()):
     """Keep slide-sized buckets as stream state and derive the windows from the result."""
     buckets = run_to_table(windows.bucket_totals(df, time, slide, measures, keys), "complete")
@@ -151,7 +165,7 @@ def watermark_window_count(spark, sf_dir):
 
 def zoned_events(spark, sf_dir):
     """Watermarks need time stamps with a zone; the session is in UTC."""
-    events = table_stream(spark, sf_dir, "events")
+    events = in_time_order(table(spark, sf_dir, "events"), "ts")
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -170,10 +184,17 @@ def window_sliding_closed(spark, sf_dir):
     return rounded(run_to_table(without_zone(totals)))
 
 
-@query(sliding_sql("CAST(sum(length(value)) AS BIGINT) AS chars", ARRIVALS_SQL, "arrived", 10, 5))
+TEXT_SUM_SQL = sliding_sql(
+    "CAST(sum(length(value)) AS BIGINT) AS chars", ARRIVALS_SQL, "arrived", 10, 5
+)
+
+
+@query(closed_sql(TEXT_SUM_SQL, ARRIVALS_SQL, "arrived", "20 SECOND"))
 def window_text_sum(spark, sf_dir):
     length = {"chars": ("sum", F.length("value"))}
-    return sliding_stream(arrivals(spark, sf_dir), "arrived", "10 seconds", "5 seconds", length)
+    return closed_sliding(
+        arrivals(spark, sf_dir), "arrived", "20 seconds", "10 seconds", "5 seconds", length
+    )
 
 
 @query(
@@ -186,10 +207,10 @@ def window_rows(spark, sf_dir):
     return run_to_table(windows.window_rows(events, "ts", "1 day", "12 hours"))
 
 
-@query(sliding_sql("count(*) AS count", "events", "ts", 3600, 30))
+@query(closed_sql(sliding_sql("count(*) AS count", "events", "ts", 3600, 30), "events", "ts", "1 HOUR"))
 def window_count(spark, sf_dir):
-    events = table_stream(spark, sf_dir, "events")
-    return sliding_stream(events, "ts", "60 minutes", "30 seconds", row_count())
+    events = zoned_events(spark, sf_dir)
+    return closed_sliding(events, "ts", "1 hour", "60 minutes", "30 seconds", row_count())
 
 
 ARRIVED_WORDS_SQL = f"""(SELECT arrived, word FROM
@@ -201,36 +222,56 @@ def arrived_words(spark, sf_dir):
     return text.words(arrivals(spark, sf_dir))
 
 
-@query(sliding_sql("count(*) AS count", ARRIVED_WORDS_SQL, "arrived", 60, 30, "word"))
+def closed_words_sql(totals):
+    # A line without a word still moves the clock.
+    return closed_sql(totals, ARRIVALS_SQL, "arrived", "20 SECOND")
+
+
+@query(closed_words_sql(sliding_sql("count(*) AS count", ARRIVED_WORDS_SQL, "arrived", 60, 30, "word")))
 def window_word_count(spark, sf_dir):
-    found = arrived_words(spark, sf_dir)
-    return sliding_stream(found, "arrived", "60 seconds", "30 seconds", row_count(), ["word"])
+    return closed_words(spark, sf_dir, "60 seconds", "30 seconds", row_count(), ["word"])
+
+
+def closed_words(spark, sf_dir, width, slide, measures, keys=(), prepare=None):
+    """The watermark is set on the lines, before any word is left out."""
+    marked = arrivals(spark, sf_dir).withWatermark("arrived", "20 seconds")
+    found = text.words(marked)
+    found = prepare(found) if prepare else found
+    return closed_sliding(found, "arrived", None, width, slide, measures, keys)
 
 
 LONG_WORDS_SQL = f"(SELECT * FROM {ARRIVED_WORDS_SQL} WHERE length(word) >= 10)"
 
 
-@query(sliding_sql("count(*) * 2 AS score", LONG_WORDS_SQL, "arrived", 30, 10))
+def long_words(words):
+    return words.filter(F.length("word") >= 10)
+
+
+@query(closed_words_sql(sliding_sql("count(*) * 2 AS score", LONG_WORDS_SQL, "arrived", 30, 10)))
 def window_word_score(spark, sf_dir):
     """Two points for each word of ten characters or more."""
-    long_words = arrived_words(spark, sf_dir).filter(F.length("word") >= 10)
-    scored = sliding_stream(long_words, "arrived", "30 seconds", "10 seconds", row_count())
+    scored = closed_words(spark, sf_dir, "30 seconds", "10 seconds", row_count(), prepare=long_words)
     return scored.select("start", "end", (F.col("count") * 2).alias("score"))
 
 
 @query(
-    sliding_sql(
-        "count(*) * 2 AS score", f"(SELECT *, 'expensive' AS class FROM {LONG_WORDS_SQL})",
-        "arrived", 30, 10, "class",
+    closed_words_sql(
+        sliding_sql(
+            "count(*) * 2 AS score", f"(SELECT *, 'expensive' AS class FROM {LONG_WORDS_SQL})",
+            "arrived", 30, 10, "class",
+        )
     )
 )
 def window_word_score_by_class(spark, sf_dir):
     """The same score as a sum of points per class of word."""
-    is_long = F.length("word") >= 10
-    scored = arrived_words(spark, sf_dir).filter(is_long).select(
-        "arrived",
-        F.when(is_long, "expensive").otherwise("cheap").alias("class"),
-        F.when(is_long, 2).otherwise(1).alias("points"),
-    )
+
+    def classed(words):
+        is_long = F.length("word") >= 10
+        return long_words(words).select(
+            "arrived",
+            F.when(is_long, "expensive").otherwise("cheap").alias("class"),
+            F.when(is_long, 2).otherwise(1).alias("points"),
+        )
+
     points = {"score": ("sum", F.col("points"))}
-    return sliding_stream(scored, "arrived", "30 seconds", "10 seconds", points, ["class"])
+    return closed_words(spark, sf_dir, "30 seconds", "10 seconds", points, ["class"], classed)

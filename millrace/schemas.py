@@ -1,5 +1,6 @@
 """Record layouts shared by sources, parsers and tests, as Spark DDL strings."""
 
+# The layouts that existing files and messages have.
 CAR = (
     "Name string, Miles_per_Gallon double, Cylinders long, Displacement double, "
     "Horsepower long, Weight_in_lbs long, Acceleration double, Year string, Origin string"
@@ -9,14 +10,9 @@ PERSON = (
     "id int, firstName string, middleName string, lastName string, gender string, "
     "birthDate date, ssn string, salary int"
 )
-PURCHASE = "id string, time timestamp, item string, quantity int"
 BAND = "id long, name string, hometown string, year long"
 GUITAR_PLAYER = "id long, name string, guitars array<long>, band long"
-GUITAR = "id long, model string, make string, guitarType string"
 SOCIAL_POST = "postType string, count int, storageUsed int"
 COLOUR_EVENT = "created long, color string"
 CLICK = "sessionId string, clickDuration long"
 LINE = "value string"
-MESSAGE = (
-    "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
-)

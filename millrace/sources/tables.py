@@ -16,17 +16,18 @@ def table_stream(
     folder: str,
     name: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = 1 << 30,
 ) -> DataFrame:
     """The same table as a stream of its files.
 
     The path is written as a glob because a file stream does not take the path of one
-    file; the glob matches a single file as well as a directory of part files.
+    file; the glob matches a single file as well as a directory of part files. A micro-batch
+    takes about ``max_bytes`` of files, so that a large table comes in many.
     """
     reader = spark.readStream.schema(table(spark, folder, name).schema)
-    if max_files is not None:
+    if max_files is not None:  # Spark takes one of the two limits
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes is not None:
+    elif max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(f"{folder}/{name}.parque[t]")
 

@@ -11,7 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.session import new_folder, scoped_conf, state_settings
-from millrace.sinks.batches import BatchWriter, folder_per_batch, replace_table
+from millrace.sinks.batches import (
+    BatchWriter,
+    folder_per_batch,
+    newest_version,
+    replace_table,
+)
 
 # Everything that is there now, in as many micro-batches as the rate limit asks for.
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
@@ -113,10 +118,12 @@ def run_to_table(
         finish(start(df, format="parquet", options={"path": path}, checkpoint=checkpoint, **kwargs))
     elif mode == "complete":
         run_batches(df, replace_table(path), mode=mode, checkpoint=checkpoint, **kwargs)
+        newest = newest_version(spark, path, schema)
+        return spark.createDataFrame([], schema) if newest is None else newest
     else:
         writer = folder_per_batch(path, "parquet")
         run_batches(df, writer, mode=mode, checkpoint=checkpoint, **kwargs)
-        schema = StructType(schema.fields).add("batch", "long")
+        schema = StructType(list(schema.fields)).add("batch", "long")
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

@@ -1,18 +1,15 @@
-"""Rolling means on a stream, as keyed state and as merged micro-batches."""
+"""Keyed state, and rolling means as an example of it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.operators.rolling import last_rows, rolling_mean
-from millrace.sinks.batches import BatchWriter
-
 
 def keyed_state(
     df: DataFrame,
@@ -33,75 +30,77 @@ def keyed_state(
     return df.groupBy(*keys).applyInPandasWithState(update, output, state, mode, timeout)
 
 
+# Order columns become numbers, which the state can keep and compare.
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+TIMES = ("timestamp", "timestamp_ntz", "date")
+
+
+def _as_number(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType.simpleString()
+    if kind in WHOLE:
+        return F.col(name).cast("long")
+    if kind in TIMES:
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    raise TypeError(f"cannot order a stream by {name}: {kind}")
+
+
 def rolling_means_by_state(
-    df: DataFrame, key: str, value: str, n: int, name: str = "mean", ttl_ms: int | None = None
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    n: int,
+    name: str = "mean",
+    ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Mean of the last ``n`` values per key in arrival order, held as keyed state.
+    """``key, order…, value, mean`` of the last ``n`` rows per key, held as keyed state.
 
-    A key emits nothing until it has n values. The rows of a key are handled one Arrow
-    batch at a time and only n - 1 values are kept between batches, so memory does not
-    grow with the size of a group. With ``ttl_ms`` a key that stays silent is forgotten.
+    The rows of a key in a micro-batch are put in order first, so a rate limit on the source
+    bounds what a task holds; between batches only n - 1 values and the last position stay.
+    A row that comes after a later row of its key has been used is late and is dropped. A key
+    emits nothing until it has n rows. NULL values count as rows but not in the mean. With
+    ``ttl_ms`` a key that stays silent is forgotten.
     """
-    key_type = df.schema[key].dataType.simpleString()
-    update = _state_update(key, value, n, name, ttl_ms)
-    values = df.select(key, F.col(value).cast("double").alias(value))
-    output = f"`{key}` {key_type}, `{name}` double"
-    return keyed_state(values, [key], update, output, "recent array<double>", ttl_ms is not None)
+    kinds = {c: df.schema[c].dataType.simpleString() for c in [key, *order]}
+    rows = df.select(
+        key, *order, F.col(value).cast("double").alias(value),
+        *[_as_number(df, c).alias(f"_at{i}") for i, c in enumerate(order)],
+    )
+    columns = [*(f"`{c}` {kind}" for c, kind in kinds.items()), f"`{value}` double", f"`{name}` double"]
+    update = _state_update([key, *order, value], len(order), n, name, ttl_ms)
+    state = "recent array<double>, last array<long>"
+    return keyed_state(rows, [key], update, ", ".join(columns), state, ttl_ms is not None)
+
+
+def _state_update(
+    columns: Sequence[str], n_order: int, n: int, name: str, ttl_ms: int | None
+) -> Callable:
+    places = [f"_at{i}" for i in range(n_order)]
 
-
-def _state_update(key: str, value: str, n: int, name: str, ttl_ms: int | None) -> Callable:
     def update(
         group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        recent = np.array(state.get[0] if state.exists else [], dtype="float64")
-        for chunk in chunks:
-            values = np.concatenate([recent, chunk[value].to_numpy("float64")])
-            if len(values) >= n:
-                frames = np.lib.stride_tricks.sliding_window_view(values, n)
-                yield pd.DataFrame({key: group[0], name: frames.mean(axis=1)})
-            recent = values[max(0, len(values) - (n - 1)):]
-        state.update((recent.tolist(),))
+        recent, last = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        rows = pd.concat(list(chunks), ignore_index=True).sort_values(places, ignore_index=True)
+        if last:
+            position = rows[places].itertuples(index=False, name=None)
+            rows = rows[[list(at) > last for at in position]]
+        if len(rows):
+            last = [int(x) for x in rows[places].iloc[-1]]
+        earlier = np.array([np.nan if v is None else v for v in recent], dtype="float64")
+        values = np.concatenate([earlier, rows[columns[-1]].to_numpy("float64")])
+        if len(values) >= n and len(rows):
+            frames = np.lib.stride_tricks.sliding_window_view(values, n)
+            counts = (~np.isnan(frames)).sum(axis=1)
+            sums = np.nansum(frames, axis=1)
+            means = np.divide(sums, counts, out=np.full(len(sums), np.nan), where=counts > 0)
+            yield rows[list(columns)].iloc[len(rows) - len(means):].assign(**{name: means})
+        kept = values[max(0, len(values) - (n - 1)):]
+        state.update(([None if np.isnan(v) else float(v) for v in kept], last))
         if ttl_ms is not None:
             state.setTimeoutDuration(ttl_ms)
 
     return update
-
-
-def rolling_means_by_batch(
-    path: str,
-    tails: str,
-    key: str,
-    order: Sequence[str],
-    value: str,
-    n: int,
-    name: str = "mean",
-    hot: Collection = (),
-    segments: int | None = None,
-) -> BatchWriter:
-    """The same means in event order, as a batch writer built on :func:`rolling_mean`.
-
-    Between batches the last n - 1 rows of each key are kept in a table under ``tails``.
-    Two folders take turns, so a batch that is run again still finds the rows it started
-    from. Hot keys are split as in the static operator, which keyed state cannot do.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(key, *order, value).withColumn("_earlier", F.lit(False))
-        if batch_id > 0 and n > 1:
-            earlier = spark.read.schema(rows.drop("_earlier").schema).parquet(
-                f"{tails}/slot={(batch_id - 1) % 2}"
-            )
-            rows = rows.unionByName(earlier.withColumn("_earlier", F.lit(True)))
-        means = rolling_mean(rows, key, order, value, n, name, hot, segments)
-        means.filter(~F.col("_earlier")).drop("_earlier").write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id}"
-        )
-        if n > 1:
-            kept = last_rows(rows, [key], order, n - 1).drop("_earlier")
-            kept.write.mode("overwrite").parquet(f"{tails}/slot={batch_id % 2}")
-
-    return write

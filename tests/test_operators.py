@@ -68,9 +68,8 @@ def test_spread_join_refuses_what_it_cannot_do(skewed):
 def test_heavy_keys(skewed, spark):
     left, _ = skewed
     count = left.filter("k = 7").count()
-    assert heavy_keys(left, "k", min_share=0.3, min_rows=1) == {7: count / 300}
-    assert set(heavy_keys(left, "k", min_rows=1)) == set(range(11))
-    assert heavy_keys(left, "k") == {}
+    assert heavy_keys(left, "k", min_share=0.3) == {7: count / 300}
+    assert set(heavy_keys(left, "k")) == set(range(11))
     assert heavy_keys(left.filter("k < 0"), "k") == {}
 
 
@@ -78,7 +77,7 @@ def test_heavy_keys(skewed, spark):
 def test_rows_without_a_key_are_spread_too(spark, how):
     left = spark.createDataFrame([(i, None if i % 2 else i % 5) for i in range(40)], "id int, k int")
     right = spark.createDataFrame([(0, "a"), (2, "b"), (None, "c")], "rk int, name string")
-    hot = heavy_keys(left, "k", min_share=0.3, min_rows=1)
+    hot = heavy_keys(left, "k", min_share=0.3)
     assert hot == {None: 0.5}
     spread = spread_join(left, right, "k", "rk", how, hot=hot, row_id=["id"], partitions=8)
     assert rows(spread) == rows(left.join(right, F.col("k") == F.col("rk"), how))
@@ -153,11 +152,17 @@ def test_split_keys_give_the_same_means(spark, n, segments):
         for i in range(200)
     ] + [("few", i, 1000 + i, 1.0) for i in range(3)]
     df = spark.createDataFrame(data, "k string, t long, id long, v double")
-    found = rolling_mean(df, "k", ["t", "id"], "v", n, hot=["hot", "few", None], segments=segments)
+    found = rolling_mean(df, "k", ["t", "id"], "v", n, segments=segments)
     got = sorted(((r.k, r.id, round(r["mean"], 6)) for r in found.collect()), key=repr)
     assert got == brute_means(data, n)
 
 
+def test_a_missing_value_is_a_row_but_not_in_the_mean(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("a", 3, 3.0)], "k string, t int, v double")
+    found = rolling_mean(df, "k", ["t"], "v", 2)
+    assert rows(found.select("t", "mean")) == [(2, 1.0), (3, 3.0)]
+
+
 def test_last_rows(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 1)], "k string, t int")
     assert rows(last_rows(df, ["k"], ["t"], 2)) == [("a", 3), ("a", 4), ("b", 1)]

@@ -4,12 +4,15 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.sinks.batches import (
     folder_per_batch,
     jdbc_options,
     json_folders,
     keyspace_writer,
+    newest_version,
+    replace_table,
     show_batch,
     table_writer,
     text_folders,
@@ -87,17 +90,28 @@ def test_connector_options(spark):
 
 
 class FolderConnection:
-    """Keeps statements and commits them as one file, as a database would a transaction."""
+    """A transaction per file: statements are kept and committed together, or not at all."""
 
     def __init__(self, folder):
-        self.folder, self.statements = Path(folder), []
+        self.folder, self.rows, self.name, self.rowcount = Path(folder), [], None, -1
+
+    def cursor(self):
+        return self
 
     def execute(self, statement, values):
-        self.statements.append([statement, *values])
+        assert statement == "record"
+        self.name = "-".join(map(str, values))
+        self.rowcount = 0 if (self.folder / f"{self.name}.json").exists() else 1
+
+    def executemany(self, statement, rows):
+        self.rows += [[statement, *row] for row in rows]
 
     def commit(self):
-        name = f"{abs(hash(str(self.statements)))}.json"
-        (self.folder / name).write_text(json.dumps(self.statements))
+        name = self.name or abs(hash(str(self.rows)))
+        (self.folder / f"{name}.json").write_text(json.dumps(self.rows))
+
+    def rollback(self):
+        self.rows = []
 
     def close(self):
         pass
@@ -110,7 +124,7 @@ def test_row_writer_binds_values_and_keeps_nulls(spark, tmp_path):
     out.mkdir()
     folder = str(out)
     writer = RowWriter(lambda: FolderConnection(folder), "insert into cars values (?, ?)",
-                       ["name", "power"])
+                       ["name", "power"], size=1)
     finish(start(stream, rows=writer))
     written = [row for f in out.glob("*.json") for row in json.loads(f.read_text())]
     assert sorted(written) == [
@@ -119,6 +133,15 @@ def test_row_writer_binds_values_and_keeps_nulls(spark, tmp_path):
     ]
 
 
+def test_an_epoch_that_is_run_again_is_written_once(tmp_path):
+    for _ in range(2):
+        writer = RowWriter(lambda: FolderConnection(str(tmp_path)), "insert", ["v"], record="record")
+        if writer.open(3, 7):
+            writer.process({"v": 1})
+        writer.close(None)
+    assert [json.loads(f.read_text()) for f in tmp_path.glob("*.json")] == [[["insert", 1]]]
+
+
 def test_failed_partition_is_not_committed(tmp_path):
     writer = RowWriter(lambda: FolderConnection(str(tmp_path)), "insert", ["v"])
     assert writer.open(0, 0)
@@ -127,6 +150,29 @@ def test_failed_partition_is_not_committed(tmp_path):
     assert list(tmp_path.glob("*.json")) == []
 
 
+def test_a_batch_appended_twice_leaves_one_copy(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write = table_writer("parquet", {"path": path}, ["id"], batch_column="batch")
+    for batch_id, n in ((0, 2), (1, 3), (1, 3), (0, 2)):
+        write(spark.range(n), batch_id)
+    found = spark.read.parquet(path).groupBy("batch").count().collect()
+    assert sorted((r.batch, r["count"]) for r in found) == [(0, 2), (1, 3)]
+
+
+def test_a_failed_version_leaves_the_one_before(spark, tmp_path):
+    path = str(tmp_path / "v")
+    write, schema = replace_table(path), spark.range(1).schema
+    assert newest_version(spark, path, schema) is None
+    write(spark.range(3), 0)
+    with pytest.raises(Exception):
+        write(spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), 1)
+    assert newest_version(spark, path, schema).count() == 3
+    write(spark.range(5), 1)
+    write(spark.range(5), 1)
+    assert newest_version(spark, path, schema).count() == 5
+    assert [p.name for p in Path(path).glob("version=*")] == ["version=1"]
+
+
 def test_message_sink_without_a_connector_says_so(stream):
     with pytest.raises(Exception, match="(?i)kafka"):
         message_sink(stream, "broker:9092", "cars", "/tmp/unused").start()

@@ -15,17 +15,18 @@ from millrace.sources.replay import replay_batches, rows_table
 from millrace.sources.tables import read_snapshot, table_stream, write_snapshot
 from millrace.streaming.runtime import finish, run_batches, run_to_table, start
 
+# Band 12 has no player, player 24 has no band, and one band has two players.
 BANDS = [
-    {"id": 0, "name": "A", "hometown": "x", "year": 1973},
-    {"id": 1, "name": "B", "hometown": "y", "year": 1968},
-    {"id": 2, "name": "C", "hometown": "z", "year": 1960},
-    {"id": 3, "name": "D", "hometown": "w", "year": 1981},
+    {"id": 10, "name": "Harbour", "hometown": "Porto", "year": 1999},
+    {"id": 11, "name": "Lanterns", "hometown": "Cork", "year": 2007},
+    {"id": 12, "name": "Slow Tide", "hometown": "Gdansk", "year": 2015},
 ]
 PLAYERS = [
-    {"id": 0, "name": "P", "guitars": [0], "band": 0},
-    {"id": 1, "name": "Q", "guitars": [1, 5], "band": 1},
-    {"id": 2, "name": "R", "guitars": [], "band": 3},
-    {"id": 3, "name": "S", "guitars": [3], "band": 4},
+    {"id": 21, "name": "Ines", "guitars": [7], "band": 11},
+    {"id": 22, "name": "Bram", "guitars": [], "band": 10},
+    {"id": 23, "name": "Oona", "guitars": [8, 9, 7], "band": 11},
+    {"id": 24, "name": "Petr", "guitars": [6], "band": None},
+    {"id": 25, "name": "Zoe", "guitars": [9], "band": 77},
 ]
 
 
@@ -58,14 +59,14 @@ def test_players_join_bands(spark, tmp_path):
     bands = files.json_table(spark, str(tmp_path / "bands"), schemas.BAND)
     players = files.json_table(spark, str(tmp_path / "players"), schemas.GUITAR_PLAYER)
     joined = players.join(bands, players.band == bands.id).select(bands.id)
-    assert rows(joined) == [(0,), (1,), (3,)]
+    assert rows(joined) == [(10,), (11,), (11,)]
 
 
 def test_csv_stream_keeps_bad_rows_and_skips_blank_lines(spark, tmp_path):
-    write_lines(tmp_path / "s", "a.csv", ["AAPL,Jan 1 2000,25.94", "", "bad,Foo 1 2000,zz"])
+    write_lines(tmp_path / "s", "a.csv", ["ZQX,Mar 9 2011,7.25", "", "bad,Foo 1 2011,zz"])
     stocks = run_to_table(files.csv_stream(spark, str(tmp_path / "s")))
     assert sorted(stocks.collect(), key=lambda r: r.company) == [
-        ("AAPL", dt.date(2000, 1, 1), 25.94),
+        ("ZQX", dt.date(2011, 3, 9), 7.25),
         ("bad", None, None),
     ]
 
@@ -73,7 +74,7 @@ def test_csv_stream_keeps_bad_rows_and_skips_blank_lines(spark, tmp_path):
 def test_identical_files_count_twice_and_a_restart_reads_only_new_ones(spark, tmp_path):
     folder, out = tmp_path / "s", str(tmp_path / "out")
     checkpoint = str(tmp_path / "checkpoint")
-    row = ["AAPL,Sep 1 2000,12.88"]
+    row = ["ZQX,Apr 1 2012,3.5"]
     write_lines(folder, "one.csv", row)
     write_lines(folder, "two.csv", row)
 
@@ -87,14 +88,15 @@ def test_identical_files_count_twice_and_a_restart_reads_only_new_ones(spark, tm
 
 
 def test_json_stream_of_cars(spark, tmp_path):
-    powers = [130, 165, 150, 150, 140, 198, 220, 215, 225, 190, None]
-    cars = [{"Name": f"car {i}", "Horsepower": p, "Origin": "USA"} for i, p in enumerate(powers)]
+    powers = [61, 77, 141, 140, 300, 95, None]
+    cars = [{"Name": f"car {i}", "Horsepower": p, "Origin": "PT"} for i, p in enumerate(powers)]
     write_json(tmp_path / "cars", cars)
     stream = files.json_stream(spark, str(tmp_path / "cars"), schemas.CAR)
     powerful = stream.filter(F.coalesce("Horsepower", F.lit(0)) > 140)
-    assert run_to_table(powerful).count() == 8
-    assert rows(run_to_table(average(stream, "Horsepower", "mean"), "complete")) == [(178.3,)]
-    assert rows(run_to_table(count_by(stream, "Origin"), "complete")) == [("USA", 11)]
+    assert run_to_table(powerful).count() == 2
+    mean = average(stream, "Horsepower", "mean").select(F.round("mean", 4))
+    assert rows(run_to_table(mean, "complete")) == [(135.6667,)]
+    assert rows(run_to_table(count_by(stream, "Origin"), "complete")) == [("PT", 7)]
 
 
 def test_parquet_stream_merges_schemas_and_limits_files(spark, tmp_path):

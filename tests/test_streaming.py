@@ -1,5 +1,7 @@
 """Triggers, output modes, watermarks, restarts and state."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -8,13 +10,13 @@ from millrace import schemas
 from millrace.functions import dates, text
 from millrace.operators.aggregates import average, count_by, distinct_rows, running_count
 from millrace.operators.windows import closed_windows, window_totals, with_arrival
+from millrace.plans import joins
 from millrace.plans import windows as window_plans
 from millrace.session import scoped_conf, shared_dir, state_partitions, utc
-from millrace.sinks.batches import read_batches
 from millrace.sources.files import json_stream
-from millrace.sources.replay import replay_batches
+from millrace.sources.replay import in_time_order, replay_batches
 from millrace.sources.tables import table, table_stream
-from millrace.streaming.progress import progress_report
+from millrace.streaming.progress import ProgressLog, progress_report
 from millrace.streaming.runtime import (
     continuous,
     every,
@@ -24,7 +26,7 @@ from millrace.streaming.runtime import (
     show_stream,
     start,
 )
-from millrace.streaming.state import rolling_means_by_batch, rolling_means_by_state
+from millrace.streaming.state import rolling_means_by_state
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,6 +104,29 @@ def test_progress_shows_the_watermark(spark, tmp_path):
     assert report.agg(F.sum("input_rows")).first()[0] == 8
 
 
+def test_every_batch_is_in_the_progress_log(spark, tmp_path):
+    log = ProgressLog(spark, size=2)
+    spark.streams.addListener(log)
+    try:
+        stream = replay_batches(spark, [[(i,)] for i in range(5)], "n int", str(tmp_path / "q"))
+        query = run_batches(stream, lambda batch, batch_id: None)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        deadline = time.time() + 20
+        while log.report().where(F.col("query") == str(query.id)).where("input_rows > 0").count() < 5:
+            assert time.time() < deadline
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    found = log.report().where((F.col("query") == str(query.id)) & (F.col("input_rows") > 0))
+    assert sorted(r.batch for r in found.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_running_a_stream_leaves_its_schema_alone(spark):
+    regions = table_stream(spark, SF, "region").select("r_name")
+    run_to_table(regions, mode="update")
+    assert [f.name for f in regions.schema.fields] == ["r_name"]
+
+
 def test_output_modes(spark):
     events = table_stream(spark, SF, "events")
     for df, mode in [
@@ -210,6 +235,7 @@ def test_settings_are_restored(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+# The worked example of the rolling mean. Fixed values.
 CLICKS = [("a", i, float(v)) for i, v in enumerate([100, 200, 300, 400, 500, 600])]
 CUTS = [[CLICKS], [CLICKS[:2], CLICKS[2:]], [[c] for c in CLICKS]]
 
@@ -217,52 +243,63 @@ CUTS = [[CLICKS], [CLICKS[:2], CLICKS[2:]], [[c] for c in CLICKS]]
 @pytest.mark.parametrize("cut", range(len(CUTS)))
 def test_rolling_mean_by_state(spark, tmp_path, cut):
     stream = replay_batches(spark, CUTS[cut], "s string, t long, v double", str(tmp_path / "q"))
-    means = run_to_table(rolling_means_by_state(stream, "s", "v", 3))
-    assert sorted(r["mean"] for r in means.collect()) == [200, 300, 400, 500]
+    means = run_to_table(rolling_means_by_state(stream, "s", ["t"], "v", 3))
+    assert sorted((r.s, r.t, r.v, r["mean"]) for r in means.collect()) == [
+        ("a", 2, 300, 200), ("a", 3, 400, 300), ("a", 4, 500, 400), ("a", 5, 600, 500)
+    ]
 
 
-def test_rolling_sum_by_state(spark, tmp_path):
-    rows = [("a", float(i)) for i in range(1, 11)]
-    stream = replay_batches(spark, [rows[:4], rows[4:]], "s string, v double", str(tmp_path / "q"))
-    means = run_to_table(rolling_means_by_state(stream, "s", "v", 3))
-    assert sorted(round(r["mean"] * 3) for r in means.collect()) == [
-        6, 9, 12, 15, 18, 21, 24, 27
-    ]
+def test_state_puts_the_rows_of_a_batch_in_order(spark, tmp_path):
+    batches = [[CLICKS[2], CLICKS[0], CLICKS[1]], [CLICKS[5], CLICKS[4], CLICKS[3]]]
+    stream = replay_batches(spark, batches, "s string, t long, v double", str(tmp_path / "q"))
+    means = run_to_table(rolling_means_by_state(stream, "s", ["t"], "v", 3))
+    assert sorted((r.t, r["mean"]) for r in means.collect()) == [(2, 200), (3, 300), (4, 400), (5, 500)]
+
+
+def test_late_rows_are_left_out_of_state(spark, tmp_path):
+    batches = [[("a", t, float(t)) for t in (1, 3, 4, 5)], [("a", 2, 2.0)], [("a", 6, 6.0)]]
+    stream = replay_batches(spark, batches, "s string, t long, v double", str(tmp_path / "q"))
+    means = run_to_table(rolling_means_by_state(stream, "s", ["t"], "v", 3))
+    assert sorted((r.t, round(r["mean"], 2)) for r in means.collect()) == [(4, 2.67), (5, 4), (6, 5)]
+
+
+def test_state_treats_missing_values_as_sql_does(spark, tmp_path):
+    batches = [[("a", 1, 1.0), ("a", 2, None)], [("a", 3, 3.0), ("a", 4, None), ("a", 5, None)]]
+    stream = replay_batches(spark, batches, "s string, t long, v double", str(tmp_path / "q"))
+    means = run_to_table(rolling_means_by_state(stream, "s", ["t"], "v", 2))
+    assert sorted((r.t, r["mean"]) for r in means.collect()) == [(2, 1), (3, 3), (4, 3), (5, None)]
 
 
 def test_idle_state_is_forgotten(spark, tmp_path):
-    rows = replay_batches(spark, [[("a", 1.0)]], "s string, v double", str(tmp_path / "q"))
-    means = rolling_means_by_state(rows, "s", "v", 2, ttl_ms=1000)
+    rows = replay_batches(spark, [[("a", 1, 1.0)]], "s string, t long, v double", str(tmp_path / "q"))
+    means = rolling_means_by_state(rows, "s", ["t"], "v", 2, ttl_ms=1000)
     query = start(means, format="noop", trigger=every("500 milliseconds"), count_state=True)
     finish(query, timeout=6)
     held = [r.state_rows for r in progress_report(spark, query).orderBy("batch").collect()]
     assert max(held) == 1 and held[-1] == 0
 
 
-@pytest.mark.parametrize("cut, hot", [(0, []), (1, []), (2, []), (0, ["a"]), (1, ["a"])])
-def test_rolling_mean_by_batch(spark, tmp_path, cut, hot):
-    stream = replay_batches(spark, CUTS[cut], "s string, t long, v double", str(tmp_path / "q"))
-    out = str(tmp_path / "out")
-    writer = rolling_means_by_batch(out, str(tmp_path / "tails"), "s", ["t"], "v", 3, hot=hot, segments=3)
-    run_batches(stream, writer)
-    means = read_batches(spark, out, "parquet", _with_mean(stream))
-    assert sorted((r.t, r["mean"]) for r in means.collect()) == [
-        (2, 200), (3, 300), (4, 400), (5, 500)
-    ]
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left"])
+def test_joins_do_not_depend_on_the_number_of_batches(spark, how):
+    def joined(slices):
+        items = table(spark, SF, "lineitem").select(*joins.ITEM)
+        orders = table(spark, SF, "orders").select(*joins.ORDER)
+        return joins.match_in_time(
+            in_time_order(items, "l_shipdate", slices), in_time_order(orders, "o_orderdate", slices), how
+        )
+
+    one, many = joined(1), joined(6)
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
 
 
-def _with_mean(stream):
-    return stream.withColumn("mean", F.lit(0.0)).schema
+def test_replay_in_time_order(spark):
+    df = spark.createDataFrame([(i, (i * 37) % 50) for i in range(200)] + [(999, None)], "i int, t int")
+    seen = {}
 
+    def collect(batch, batch_id):
+        seen[batch_id] = [r.t for r in batch.collect()]
 
-def test_a_batch_that_is_run_again_gives_the_same_rows(spark, tmp_path):
-    out, tails = str(tmp_path / "out"), str(tmp_path / "tails")
-    writer = rolling_means_by_batch(out, tails, "s", ["t"], "v", 3)
-    first, second = (
-        spark.createDataFrame(part, "s string, t long, v double")
-        for part in (CLICKS[:4], CLICKS[4:])
-    )
-    for batch, batch_id in [(first, 0), (second, 1), (second, 1)]:
-        writer(batch, batch_id)
-    means = read_batches(spark, out, "parquet", _with_mean(first))
-    assert sorted(r["mean"] for r in means.collect()) == [200, 300, 400, 500]
+    run_batches(in_time_order(df, "t", 5), collect)
+    assert len(seen) == 5 and sum(map(len, seen.values())) == 201 and None in seen[0]
+    ends = [(min(x for x in seen[k] if x is not None), max(x for x in seen[k] if x is not None)) for k in sorted(seen)]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
