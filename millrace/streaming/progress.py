@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -13,6 +14,7 @@ PROGRESS = (
     "batch long, started string, input_rows long, watermark string, max_event_time string, "
     "state_rows long, state_bytes long"
 )
+SCHEMA = f"query string, {PROGRESS}"
 
 
 def _entry(progress_json: str) -> tuple:
@@ -49,6 +51,8 @@ class ProgressLog(StreamingQueryListener):
         self.spark, self.size = spark, size
         self.folder = new_folder(spark, "progress")
         self.held: list[tuple] = []
+        self.written = 0
+        self.lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -65,15 +69,17 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def _write(self) -> None:
-        rows, self.held = self.held, []
-        if rows:
-            table = self.spark.createDataFrame(rows, f"query string, {PROGRESS}").coalesce(1)
-            table.write.mode("append").parquet(self.folder)
+        # Reports come on a thread of their own; a folder per write keeps jobs apart.
+        with self.lock:
+            rows, self.held = self.held, []
+            if rows:
+                table = self.spark.createDataFrame(rows, SCHEMA).coalesce(1)
+                table.write.parquet(f"{self.folder}/part={self.written}")
+                self.written += 1
 
     def report(self) -> DataFrame:
         """``query`` and the columns of a progress report, for all batches so far."""
         self._write()
-        schema = f"query string, {PROGRESS}"
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("append").parquet(self.folder)
-        return self.spark.read.schema(schema).parquet(self.folder)
+        if not self.written:
+            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self.folder).drop("part")
