@@ -50,6 +50,17 @@ def crc_remainder(key: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def hash_below(code: Column, wanted: int, total: int) -> Column:
+    """Whether a row with this 64-bit hash is among about ``wanted`` of ``total`` rows.
+
+    Unlike the first rows of a sort, of which every task would send the wanted number to the
+    driver, this sends about the wanted number in all.
+    """
+    if total <= wanted:
+        return F.lit(True)
+    return F.shiftrightunsigned(code, 1) < F.lit(int((1 << 63) * (wanted / total)))
+
+
 def ragged_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenation of ``range(start, start + length)`` over all pairs."""
     total = int(lengths.sum())

@@ -101,15 +101,16 @@ class Words:
         return self.gates
 
     def number(self, words: list[bytes]) -> np.ndarray:
-        out = np.empty(len(words), np.int64)
-        for i, word in enumerate(words):
-            row = self.rows.get(word)
-            if row is None:
-                row = self.rows[word] = len(self.known)
-                self.known.append(self.model.words.get(word, 0))
-                self.chars.append(trigrams(word))
-            out[i] = row
-        return out
+        find = self.rows.get
+        out = [find(word, -1) for word in words]
+        if -1 in out:
+            for i, word in enumerate(words):
+                if out[i] < 0:
+                    out[i] = self.rows.setdefault(word, len(self.known))
+                    if out[i] == len(self.known):
+                        self.known.append(self.model.words.get(word, 0))
+                        self.chars.append(trigrams(word))
+        return np.array(out, np.int64)
 
 
 def word_inputs(weights: dict, known: list[int], chars: list[list[int]]) -> np.ndarray:
