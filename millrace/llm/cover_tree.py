@@ -23,12 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, forest, ragged_ranges, written
+from millrace.llm.common import components, forest, hash_below, ragged_ranges, written
 
 THRESHOLD = 0.95
 #: Vectors in a block; a task holds two blocks.
 BLOCK = 4096
-#: The pivots of the cells are chosen from this many vectors at most.
+#: The pivots of the cells are chosen from about this many vectors.
 SAMPLE = 8192
 MAX_CELLS = 4096
 #: Block centres that are held together when pairs of blocks are looked for.
@@ -351,7 +351,8 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = classes.sparkSession
     total = classes.count()
     cells = int(min(MAX_CELLS, max(1, -(-total // BLOCK))))
-    drawn = classes.select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(SAMPLE).collect()
+    drawn = classes.where(hash_below(F.col("class_id"), SAMPLE, total)).select("vector", "class_id").collect()
+    drawn.sort(key=lambda row: row["class_id"])
     widths = {len(row[0]) for row in drawn}
     pivots = {
         w: _pivots(unit(np.array([r[0] for r in drawn if len(r[0]) == w])), cells) for w in widths

@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import crc_remainder, free_name, ragged_ranges, texts_in, words_of
+from millrace.llm.common import (
+    crc_remainder, free_name, hash_below, ragged_ranges, texts_in, words_of,
+)
 
 WINDOW, STRIDE = 64, 32
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -391,7 +393,8 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on at most SAMPLE documents of the labels whose id is not held out.
 
-    The sample is the first ids by their hash, so that it is the same for the same table.
+    The sample is the first ids by their hash, so that it is the same for the same table; the
+    documents of about twice as many ids come to the driver.
     Documents longer than SAMPLE_CHARS are left to scoring. Other labels than 0 and 1 and
     labels without a document are ignored; without any labelled row all scores are one half.
     Rows that share a sampled id all belong to the sample, up to its size.
@@ -402,11 +405,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .select(F.xxhash64("doc_id").alias("order"), F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
         .where("doc_id is not null")
     )
-    # Ids first: twice the wanted number, since some have no text or a longer one. Texts of
+    # Ids first, by hash: about twice the wanted number, since some have no text or a longer one. Texts of
     # chosen ids only come to the driver, and only ids go out to the tasks.
     chosen = []
-    for y in (0, 1):
-        chosen += known.where(F.col("toxic") == y).orderBy("order", "doc_id").limit(2 * SAMPLE[y]).collect()
+    for y, total in known.groupBy("toxic").count().collect():
+        some = known.where(F.col("toxic") == y)
+        chosen += some.where(hash_below(F.col("order"), 2 * SAMPLE[y], total)).collect()
     picked = spark.createDataFrame([tuple(r) for r in chosen], "place long, l_key long, y int").distinct()
     rows = (
         docs.where(F.length(text) <= SAMPLE_CHARS)
