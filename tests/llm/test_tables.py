@@ -5,11 +5,12 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_documents import brute_components, brute_fingerprint, brute_measures
 
 import corpus_pipeline
-from millrace.llm import cover_tree, elias_fano, quotations, url_rules
+from millrace.llm import cover_tree, elias_fano, packing, quotations, simhash, toxicity, url_rules
 from millrace.llm.common import components, forest
-from millrace.llm.queries import URL_RULES
+from millrace.llm.queries import TOKENIZER, URL_RULES
 
 # --- cover tree -----------------------------------------------------------------------------
 
@@ -289,3 +290,32 @@ def test_pipeline_on_awkward_documents(spark):
             docs = stage(spark, docs, SMALL)
             assert docs.columns == table.columns, name
         corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count()
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    model = toxicity.fit(
+        spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    )
+    words = toxicity.Words(model)
+    scores = toxicity.score_texts(model, words, [r["text"] for r in docs])
+    docs = [r for r, s in zip(docs, scores, strict=True) if s < toxicity.THRESHOLD]
+
+    def passes(text):
+        n, chars, symbols, lines, repeats, covered = brute_measures(text)
+        return not (
+            n < 10 or 100 * covered > 20 * n or 10 * symbols > chars
+            or (lines >= 4 and 2 * repeats > lines) or chars < 2 * n or chars > 20 * n
+        )
+
+    docs = sorted((r for r in docs if passes(r["text"])), key=lambda r: r["doc_id"])
+    roots = brute_components([brute_fingerprint(r["text"]) for r in docs], simhash.DISTANCE)
+    docs = [r for i, r in enumerate(docs) if roots[i] == i]
+    encode = packing.encoder(TOKENIZER)
+    wanted = {r["doc_id"]: len(ids) + 1 for r, ids in zip(docs, encode([r["text"] for r in docs]), strict=True)}
+    pieces = corpus_pipeline.run(spark, SMALL).collect()
+    found = {}
+    for p in pieces:
+        assert p["doc_tokens"] == wanted[p["doc_id"]]
+        found[p["doc_id"]] = found.get(p["doc_id"], 0) + p["length"]
+    assert found == wanted
