@@ -17,7 +17,6 @@ an end token.
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -273,8 +272,7 @@ def _score_pairs(n: int, v: int):
         log_p = np.log10((total + STRENGTH * base) / (count_one[pick] + STRENGTH))
         seen = total > 0
         trie, low, step = plant(one[pick][seen], two[pick][seen], log_p[seen])
-        folder = os.environ.get("TMPDIR") or tempfile.gettempdir()
-        with tempfile.NamedTemporaryFile(dir=folder) as file:  # this task's own, gone at its end
+        with tempfile.NamedTemporaryFile() as file:  # this task's own, gone when it is answered
             file.write(trie)
             file.flush()
             mapped = Trie.read(np.memmap(file.name, np.uint8, "r"))

@@ -399,10 +399,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     labels without a document are ignored; without any labelled row all scores are one half.
     Rows that share a sampled id all belong to the sample, up to its size.
     """
-    spark = docs.sparkSession
     known = (
         labels.where(F.col("toxic").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
-        .select(F.xxhash64("doc_id").alias("order"), F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+        .select(F.xxhash64("doc_id").alias("order"), F.col("doc_id").cast("string"), F.col("toxic").cast("int"))
         .where("doc_id is not null")
     )
     # Ids first, by hash: about twice the wanted number, since some have no text or a longer one. Texts of
@@ -411,10 +410,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for y, total in known.groupBy("toxic").count().collect():
         some = known.where(F.col("toxic") == y)
         chosen += some.where(hash_below(F.col("order"), 2 * SAMPLE[y], total)).collect()
-    picked = spark.createDataFrame([tuple(r) for r in chosen], "place long, l_key long, y int").distinct()
+    picked = docs.sparkSession.createDataFrame([tuple(r) for r in chosen], "place long, l_key string, y int").distinct()
     rows = (
         docs.where(F.length(text) <= SAMPLE_CHARS)
-        .select(F.col(key).cast("long").alias("l_key"), F.col(text).cast("string").alias("body"))
+        .select(F.col(key).cast("string").alias("l_key"), F.col(text).cast("string").alias("body"))
         .join(F.broadcast(picked), "l_key")
         .select("y", "place", "body")
         .collect()
