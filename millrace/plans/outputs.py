@@ -30,7 +30,7 @@ def json_batches_sink(spark, sf_dir):
 @query("SELECT p_name, p_size FROM part")
 def table_sink(spark, sf_dir):
     path = new_folder(spark, "table")
-    writer = table_writer("parquet", {"path": path}, ["p_name", "p_size"])
+    writer = table_writer("parquet", {"path": path}, ["p_name", "p_size"], batch_column="batch")
     run_batches(table_stream(spark, sf_dir, "part"), writer)
     return spark.read.schema("p_name string, p_size int").parquet(path)
 
