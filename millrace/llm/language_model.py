@@ -34,7 +34,7 @@ from millrace.llm.elias_fano import Trie
 STRENGTH = 200.0
 #: Text in a block and tokens per bucket; both bound what a task holds.
 BLOCK_BYTES = 8 << 20
-BUCKET_TOKENS = 1 << 20
+BUCKET_TOKENS = 3 << 19
 #: A bigram in more texts of a block than this goes back as one number for the block.
 LISTED = 16
 #: Word numbers and codes of the end of a text. Codes of words are their XXH64.
@@ -83,6 +83,11 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(bucket[order[lo]]), order[lo:hi]
 
 
+def word_bucket(upper: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of words by the upper half of their codes."""
+    return (upper.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+
+
 def mixed_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -107,15 +112,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal numbers, keys, learn, tokens, held, made
         codes = np.array([END_CODE, *(xxhash.xxh64_intdigest(w) for w in list(numbers)[1:])], np.uint64)
         sizes = np.array(list(map(len, tokens)), np.int64)
-        blob = squeeze(np.concatenate(tokens), sizes, np.array(learn, np.uint8), codes)
+        upper, lower = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
+        blob = squeeze(np.concatenate(tokens), sizes, np.array(learn, np.uint8), upper)
         row = pa.RecordBatch.from_arrays(
             [
                 pa.array([first + made], pa.int64()),
                 pa.array([int(sizes.sum())], pa.int64()),
                 pa.array([keys], pa.list_(pa.int64())),
                 pa.array([blob], pa.binary()),
+                # Only the counting of words needs the whole codes.
+                pa.array([squeeze(lower)], pa.binary()),
             ],
-            names=["block", "n_tokens", "keys", "payload"],
+            names=["block", "n_tokens", "keys", "payload", "lower"],
         )
         numbers, keys, learn, tokens, held, made = {b"": 0}, [], [], [], 0, made + 1
         return row
@@ -139,13 +147,14 @@ def _word_rows(buckets: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for block, payload in zip(batch["block"], batch["payload"], strict=True):
-                tokens, sizes, learn, codes = unsqueeze(payload)
+            for block, payload, lower in zip(batch["block"], batch["payload"], batch["lower"], strict=True):
+                tokens, sizes, learn, upper = unsqueeze(payload)
+                codes = upper.astype(np.uint64) << np.uint64(32) | unsqueeze(lower)[0]
                 taken = tokens[np.repeat(learn.astype(bool), sizes)]
                 counts = np.bincount(taken, minlength=len(codes))
                 rows = [
                     (bucket, block, squeeze(codes[at], counts[at]))
-                    for bucket, at in by_bucket((codes % np.uint64(buckets)).astype(np.int64))
+                    for bucket, at in by_bucket(word_bucket(upper, buckets))
                 ]
                 yield pd.DataFrame(rows, columns=["bucket", "block", "payload"])
 
@@ -184,15 +193,15 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
 
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = int(blocks["block"].iloc[0])
-        tokens, sizes, learn, codes = unsqueeze(blocks["payload"].iloc[0])
+        tokens, sizes, learn, upper = unsqueeze(blocks["payload"].iloc[0])
         sizes = sizes.astype(np.int64)
-        numbers, counts = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
+        numbers, counts = np.empty(len(upper), np.int64), np.empty(len(upper), np.int64)
         got = dict(zip(answers["bucket"], answers["payload"], strict=True))
-        for bucket, at in by_bucket((codes % np.uint64(word_buckets)).astype(np.int64)):
+        for bucket, at in by_bucket(word_bucket(upper, word_buckets)):
             numbers[at], counts[at] = unsqueeze(got[bucket])
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         ends = np.cumsum(sizes)
-        text = np.repeat(np.arange(len(sizes)), sizes)
+        text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         base_score = np.add.reduceat(base[tokens], ends - sizes)
         known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), ends - sizes)
         # Contexts are the words before; number 0, the end, stands for the start as well.
@@ -201,11 +210,13 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
         pair = before << np.uint64(32) | tokens
         order = np.argsort(pair, kind="stable")
         pair, text = pair[order], text[order]
+        del order, before
         new_pair = np.r_[True, np.diff(pair) != 0]
         new_text = new_pair | np.r_[True, np.diff(text) != 0]
         starts, text_starts = np.flatnonzero(new_pair), np.flatnonzero(new_text)
         taken = learn[text].astype(np.int64)
         learned = np.add.reduceat(taken, starts)
+        del taken
         times = np.diff(np.r_[text_starts, len(pair)])
         texts = text[text_starts]
         first_text = np.searchsorted(text_starts, starts)
@@ -287,7 +298,7 @@ def _score_pairs(n: int, v: int):
         ):
             sizes, texts, times, n_texts = part[5].astype(np.int64), part[6], part[7], int(part[8][0])
             sums = np.bincount(texts, np.repeat(log_p[own], sizes) * times, n_texts)
-            out.append((block, bucket, squeeze(sums, log_p[own][sizes == 0])))
+            out.append((block, bucket, squeeze(sums.astype(np.float32), log_p[own][sizes == 0])))
         return pd.DataFrame(out, columns=columns)
 
     return run
@@ -341,14 +352,18 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
     learn = crc_remainder(F.col(key), fold) != 1
     slim = docs.select(F.col(key).cast("long"), learn, F.col(text).cast("string"))
     blocks = written(
-        slim.mapInArrow(_blocks, "block long, n_tokens long, keys array<long>, payload binary"),
+        slim.mapInArrow(
+            _blocks,
+            "block long, n_tokens long, keys array<long>, payload binary, lower binary",
+        ),
         "text-blocks",
     )
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
     texts = blocks.select("block", "payload")
     words = written(
-        texts.mapInPandas(_word_rows(buckets), "bucket long, block long, payload binary")
+        blocks.select("block", "payload", "lower")
+        .mapInPandas(_word_rows(buckets), "bucket long, block long, payload binary")
         .groupBy("bucket")
         .applyInPandas(
             _count_words(buckets), "block long, bucket long, payload binary, n long, v long"
