@@ -33,7 +33,7 @@ from millrace.llm.elias_fano import Trie
 
 STRENGTH = 200.0
 #: Text in a block and tokens per bucket; both bound what a task holds.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_TOKENS = 3 << 19
 #: A bigram in more texts of a block than this goes back as one number for the block.
 LISTED = 16
@@ -247,7 +247,10 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
                 own = ragged_ranges(first_text[many], n_texts[many])
                 shared.append([np.full(len(many), bucket), n_texts[many], texts[own], times[own]])
         shared_arrays = [np.concatenate(c) for c in zip(*shared, strict=True)] if shared else [np.zeros(0, np.int64)] * 4
-        own = squeeze(learn, sizes, known, base_score, *shared_arrays)
+        keys = blocks["keys"].iloc[0]
+        missing = np.array([key is None or key != key for key in keys], np.uint8)
+        ids = np.array([0 if gone else int(key) for key, gone in zip(keys, missing, strict=True)], np.int64)
+        own = squeeze(ids.view(np.uint64), missing, learn, sizes, known, base_score, *shared_arrays)
         out.append((-1 - block, block, own))
         return pd.DataFrame(out, columns=["bucket", "block", "payload"])
 
@@ -315,8 +318,11 @@ def plant(one: np.ndarray, two: np.ndarray, log_p: np.ndarray) -> tuple[bytes, f
 def _assemble(rows: pd.DataFrame) -> pd.DataFrame:
     """The scores of the texts of one block."""
     mine = rows["bucket"].to_numpy() < 0
-    learn, sizes, known, base_score, bucket, n_texts, texts, times = unsqueeze(rows["payload"][mine].iloc[0])
-    keys = rows["keys"][mine].iloc[0]
+    ids, missing, learn, sizes, known, base_score, bucket, n_texts, texts, times = unsqueeze(
+        rows["payload"][mine].iloc[0]
+    )
+    keys = pd.array(ids.astype(np.uint64).view(np.int64), "Int64")
+    keys[missing.astype(bool)] = pd.NA
     score = np.zeros(len(sizes))
     asked = {}
     for b, payload in zip(rows["bucket"][~mine], rows["payload"][~mine], strict=True):
@@ -329,8 +335,7 @@ def _assemble(rows: pd.DataFrame) -> pd.DataFrame:
         score += np.bincount(texts, np.repeat(log_p, n_texts.astype(np.int64)) * times, len(sizes))
     return pd.DataFrame(
         {
-            "key": pd.array([None if k is None or k != k else int(k) for k in keys], "Int64"),
-            "learned": learn.astype(bool), "n_tokens": sizes.astype(np.int64),
+            "key": keys, "learned": learn.astype(bool), "n_tokens": sizes.astype(np.int64),
             "n_known": known.astype(np.int64), "base_score": base_score, "score": score,
         }
     )
@@ -360,7 +365,6 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
     )
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
-    texts = blocks.select("block", "payload")
     words = written(
         blocks.select("block", "payload", "lower")
         .mapInPandas(_word_rows(buckets), "bucket long, block long, payload binary")
@@ -372,19 +376,14 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
     )
     n, v = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("v")).first())
     pairs = (
-        texts.groupBy("block")
+        blocks.select("block", "keys", "payload")
+        .groupBy("block")
         .cogroup(words.select("block", "bucket", "payload").groupBy("block"))
         .applyInPandas(_pair_rows(n, v, buckets, buckets), "bucket long, block long, payload binary")
     )
-    sums = written(
-        pairs.groupBy("bucket").applyInPandas(
-            _score_pairs(n, v), "block long, bucket long, payload binary"
-        ),
-        "sums",
-    )
-    keys = blocks.select("block", "keys", (-1 - F.col("block")).alias("bucket"))
     result = (
-        sums.join(keys, ["block", "bucket"], "left")
+        pairs.groupBy("bucket")
+        .applyInPandas(_score_pairs(n, v), "block long, bucket long, payload binary")
         .groupBy("block")
         .applyInPandas(_assemble, SCHEMA)
     )
