@@ -2,8 +2,8 @@
 
 The texts are read once and kept as blocks of word numbers. Word counts and bigram counts go
 to buckets as sorted arrays, one row per block and bucket; a bucket sees each word or bigram of
-a block once, however often it occurs, and bigrams are dealt by both words, so that a frequent
-word spreads over all buckets. A bucket of bigrams merges the counts of the training texts,
+a block once, however often it occurs, and bigrams are dealt by their context, a frequent
+context by parts of its second words. A bucket of bigrams merges the counts of the training texts,
 builds a trie (context, word) with quantised smoothed probabilities, maps its file into memory,
 and looks up the bigrams of all texts, seen in training or not. Sums per text go back to the
 block; bigrams that many texts of a block share go back as one number per block instead.
@@ -33,8 +33,10 @@ from millrace.llm.elias_fano import Trie
 
 STRENGTH = 200.0
 #: Text in a block and tokens per bucket; both bound what a task holds.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 10 << 20
 BUCKET_TOKENS = 3 << 19
+#: A context with more training tokens is divided by its second words.
+CONTEXT_TOKENS = 1 << 16
 #: A bigram in more texts of a block than this goes back as one number for the block.
 LISTED = 16
 #: Word numbers and codes of the end of a text. Codes of words are their XXH64.
@@ -88,6 +90,14 @@ def word_bucket(upper: np.ndarray, buckets: int) -> np.ndarray:
     return (upper.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
 
 
+def pair_bucket(one: np.ndarray, two: np.ndarray, count_one: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of bigrams: by context, and a frequent context by parts of its second words. The
+    count of the context is that of the corpus, so all blocks agree."""
+    parts = (1 + count_one // CONTEXT_TOKENS).astype(np.uint64)
+    part = mixed_hash(two, np.zeros_like(two)) % parts
+    return (mixed_hash(one, part) % np.uint64(buckets)).astype(np.int64)
+
+
 def mixed_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -225,7 +235,7 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
         one, two = numbers[a], numbers[b]
         out = []
         shared: list[list[np.ndarray]] = []
-        for bucket, at in by_bucket((mixed_hash(one, two) % np.uint64(buckets)).astype(np.int64)):
+        for bucket, at in by_bucket(pair_bucket(one, two, counts[a], buckets)):
             at = at[np.lexsort((two[at], one[at]))]
             listed = n_texts[at] <= LISTED
             sizes_here = np.where(listed, n_texts[at], 0)

@@ -208,6 +208,7 @@ def test_golay_code_covers():
 def test_language_model(docs, empty, monkeypatch, listed):
     monkeypatch.setattr(language_model, "BUCKET_TOKENS", 900)
     monkeypatch.setattr(language_model, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(language_model, "CONTEXT_TOKENS", 20)
     monkeypatch.setattr(language_model, "LISTED", listed)
     all_rows = docs.collect()
     learn = [zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 5 != 1 for r in all_rows]
