@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +91,12 @@ def word_bucket(upper: np.ndarray, buckets: int) -> np.ndarray:
     return (upper.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
 
 
-def pair_bucket(one: np.ndarray, two: np.ndarray, count_one: np.ndarray, buckets: int) -> np.ndarray:
+def pair_bucket(
+    one: np.ndarray, two: np.ndarray, count_one: np.ndarray, context_tokens: int, buckets: int
+) -> np.ndarray:
     """Bucket of bigrams: by context, and a frequent context by parts of its second words. The
     count of the context is that of the corpus, so all blocks agree."""
-    parts = (1 + count_one // CONTEXT_TOKENS).astype(np.uint64)
+    parts = (1 + count_one // context_tokens).astype(np.uint64)
     part = mixed_hash(two, np.zeros_like(two)) % parts
     return (mixed_hash(one, part) % np.uint64(buckets)).astype(np.int64)
 
@@ -107,49 +110,51 @@ def mixed_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 # --- blocks of texts ------------------------------------------------------------------------
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(block_bytes: int):
     """One row per block: word numbers of its texts, and the codes of the words.
 
     Columns come as key, learn, text. Number 0 is the end of a text.
     """
-    from pyspark import TaskContext
-
-    first, made = TaskContext.get().partitionId() << 32, 0
-    numbers: dict[bytes, int] = {b"": 0}
-    keys, learn, tokens, held = [], [], [], 0
-
-    def block() -> pa.RecordBatch:
-        nonlocal numbers, keys, learn, tokens, held, made
-        codes = np.array([END_CODE, *(xxhash.xxh64_intdigest(w) for w in list(numbers)[1:])], np.uint64)
-        sizes = np.array(list(map(len, tokens)), np.int64)
-        upper, lower = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
-        blob = squeeze(np.concatenate(tokens), sizes, np.array(learn, np.uint8), upper)
-        row = pa.RecordBatch.from_arrays(
-            [
-                pa.array([first + made], pa.int64()),
-                pa.array([int(sizes.sum())], pa.int64()),
-                pa.array([keys], pa.list_(pa.int64())),
-                pa.array([blob], pa.binary()),
-                # Only the counting of words needs the whole codes.
-                pa.array([squeeze(lower)], pa.binary()),
-            ],
-            names=["block", "n_tokens", "keys", "payload", "lower"],
-        )
-        numbers, keys, learn, tokens, held, made = {b"": 0}, [], [], [], 0, made + 1
-        return row
-
-    for batch in batches:
-        for key, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words = words_of(text)
-            of = numbers
-            tokens.append(np.array([*(of.setdefault(w, len(of)) for w in words), 0], np.uint32))
-            keys.append(key)
-            learn.append(bool(own))
-            held += len(text or "")
-            if held >= BLOCK_BYTES:
-                yield block()
-    if keys:
-        yield block()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made = TaskContext.get().partitionId() << 32, 0
+        numbers: dict[bytes, int] = {b"": 0}
+        keys, learn, tokens, held = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            nonlocal numbers, keys, learn, tokens, held, made
+            codes = np.array([END_CODE, *(xxhash.xxh64_intdigest(w) for w in list(numbers)[1:])], np.uint64)
+            sizes = np.array(list(map(len, tokens)), np.int64)
+            upper, lower = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
+            blob = squeeze(np.concatenate(tokens), sizes, np.array(learn, np.uint8), upper)
+            row = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([first + made], pa.int64()),
+                    pa.array([int(sizes.sum())], pa.int64()),
+                    pa.array([keys], pa.list_(pa.int64())),
+                    pa.array([blob], pa.binary()),
+                    # Only the counting of words needs the whole codes.
+                    pa.array([squeeze(lower)], pa.binary()),
+                ],
+                names=["block", "n_tokens", "keys", "payload", "lower"],
+            )
+            numbers, keys, learn, tokens, held, made = {b"": 0}, [], [], [], 0, made + 1
+            return row
+
+        for batch in batches:
+            for key, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = words_of(text)
+                of = numbers
+                tokens.append(np.array([*(of.setdefault(w, len(of)) for w in words), 0], np.uint32))
+                keys.append(key)
+                learn.append(bool(own))
+                held += len(text or "")
+                if held >= block_bytes:
+                    yield block()
+        if keys:
+            yield block()
+
+    return run
 
 
 def _word_rows(buckets: int):
@@ -198,7 +203,7 @@ def _count_words(buckets: int):
 # --- bigrams --------------------------------------------------------------------------------
 
 
-def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
+def _pair_rows(n: int, v: int, buckets: int, listed_texts: int, context_tokens: int):
     """The bigrams of one block by bucket, and the block's own figures in a bucket below 0."""
 
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -207,7 +212,7 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
         sizes = sizes.astype(np.int64)
         numbers, counts = np.empty(len(upper), np.int64), np.empty(len(upper), np.int64)
         got = dict(zip(answers["bucket"], answers["payload"], strict=True))
-        for bucket, at in by_bucket(word_bucket(upper, word_buckets)):
+        for bucket, at in by_bucket(word_bucket(upper, buckets)):
             numbers[at], counts[at] = unsqueeze(got[bucket])
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         ends = np.cumsum(sizes)
@@ -235,9 +240,9 @@ def _pair_rows(n: int, v: int, word_buckets: int, buckets: int):
         one, two = numbers[a], numbers[b]
         out = []
         shared: list[list[np.ndarray]] = []
-        for bucket, at in by_bucket(pair_bucket(one, two, counts[a], buckets)):
+        for bucket, at in by_bucket(pair_bucket(one, two, counts[a], context_tokens, buckets)):
             at = at[np.lexsort((two[at], one[at]))]
-            listed = n_texts[at] <= LISTED
+            listed = n_texts[at] <= listed_texts
             sizes_here = np.where(listed, n_texts[at], 0)
             own = ragged_ranges(first_text[at], sizes_here)
             # Contexts are in order: their steps, and the count of each once.
@@ -368,7 +373,7 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
     slim = docs.select(F.col(key).cast("long"), learn, F.col(text).cast("string"))
     blocks = written(
         slim.mapInArrow(
-            _blocks,
+            _blocks(BLOCK_BYTES),
             "block long, n_tokens long, keys array<long>, payload binary, lower binary",
         ),
         "text-blocks",
@@ -389,7 +394,10 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
         blocks.select("block", "keys", "payload")
         .groupBy("block")
         .cogroup(words.select("block", "bucket", "payload").groupBy("block"))
-        .applyInPandas(_pair_rows(n, v, buckets, buckets), "bucket long, block long, payload binary")
+        .applyInPandas(
+            _pair_rows(n, v, buckets, LISTED, CONTEXT_TOKENS),
+            "bucket long, block long, payload binary",
+        )
     )
     result = (
         pairs.groupBy("bucket")
