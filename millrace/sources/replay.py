@@ -23,7 +23,7 @@ def replay_batches(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(path)
 
 
-def in_time_order(df: DataFrame, time: str, slices: int = 4) -> DataFrame:
+def in_time_order(df: DataFrame, time: str, slices: int = 2) -> DataFrame:
     """A stream of a table's rows by event time, one range of times per micro-batch.
 
     A table's files are in no order of time, so a watermark would drop rows of the files that
