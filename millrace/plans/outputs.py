@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.plans.registry import query
 from millrace.session import new_folder
@@ -32,7 +33,7 @@ def table_sink(spark, sf_dir):
     path = new_folder(spark, "table")
     writer = table_writer("parquet", {"path": path}, ["p_name", "p_size"], batch_column="batch")
     run_batches(table_stream(spark, sf_dir, "part"), writer)
-    return spark.read.schema("p_name string, p_size int").parquet(path)
+    return read_batches(spark, path, "parquet", StructType.fromDDL("p_name string, p_size int"))
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
