@@ -1,37 +1,51 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 The documents of each source are put in a fixed pseudo-random order and cut into blocks of
-equal size. With weight w, block i = 1, 2, ... of a source is released at slot
-floor((i - 1) / w) and due by slot ceil(i / w); in each slot the released block with the
-earliest deadline goes first (with the tie rules of PD2). The weights of the sources that
-still have blocks sum to one, and then every source has had w * t blocks after t slots, off by
-less than one. When a source runs out, the others continue with their weights scaled up.
-
-Weights are whole numbers, so the schedule of a phase repeats after as many slots as they sum
-to. Only one period is computed, from the weights and never from the rows; all rows get their
-slot by joins and arithmetic. No document is dropped or repeated.
+equal size. In a fluid schedule all sources with blocks left are served at once, at rates that
+are their weights scaled to a sum of one; a source that runs out leaves its rate to the others.
+A block is released at the slot in which the fluid schedule starts it and due by the end of the
+slot in which it is finished: with weight w and no source run out, floor((i - 1) / w) and
+ceil(i / w) for i = 1, 2, ... In each slot the released block with the earliest deadline goes
+first. Every block then gets a slot in its window (for unit blocks on one line this order finds
+a schedule whenever there is one, and the fluid schedule shows that there is), so that after
+any number of slots every source is off its exact target by less than one block.
+
+Weights are never rounded and nothing is periodic, so no error adds up. The driver holds three
+numbers a source, and the heap those of sources with several blocks; slots are written as they
+are found, and all rows get theirs by joins. No document is dropped or repeated.
+``whole_weights``, ``one_period`` and ``phases`` are the schedule of whole-number weights by
+PD2, which tests compare with; ``schedule`` does not use them.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
-from math import gcd
+from itertools import islice
+from math import ceil, floor, gcd
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import free_name, written
+from millrace.session import new_folder
 
 #: Characters in a block. A longer document takes up several blocks.
 BLOCK_SIZE = 1 << 16
-#: Weights are rounded to this many parts, which bounds the period of a schedule.
+#: Parts of ``whole_weights``.
 PARTS = 1 << 12
+#: Fluid times this near to a whole number are that number.
+NEAR = 1e-6
+#: Slots that are sent to Spark at a time.
+PIECE = 200_000
 #: Rows that one task numbers together.
 BUCKET_ROWS = 1_000
-#: Sources are a dimension of the corpus. More than this are refused rather than folded, which
-#: bounds the table of patterns (phases times period) by about 20 MB.
+#: More sources than this are refused.
 MAX_SOURCES = 1_000
 
 
@@ -106,14 +120,48 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[dict]:
     return out
 
 
-def tempered(sizes: Mapping[str, int], power: float = 0.5) -> dict[str, float]:
-    """Target weights: sizes to a power below one raise small sources and lower large ones."""
-    return {s: max(1, n) ** power for s, n in sizes.items()}
+def tempered(size: Column, power: float = 0.5) -> Column:
+    """Target weight: sizes to a power below one raise small sources and lower large ones."""
+    return F.pow(F.greatest(size, F.lit(1)).cast("double"), F.lit(power))
+
+
+def slots_of(blocks: Sequence[int], weights: Sequence[float]) -> Iterator[tuple[int, int, int, int]]:
+    """(source, block, release, due) of slots 0, 1, 2, ...; sources and blocks count from 0."""
+    n, w = np.asarray(blocks, np.int64), np.asarray(weights, np.float64)
+    by_end = np.argsort(n / w, kind="stable")
+    # At virtual time v sources that end before v have all their blocks, the others v * w.
+    ends = array("d", (n / w)[by_end].tobytes())
+    ended = np.concatenate([[0], np.cumsum(n[by_end])])
+    active = np.concatenate([np.cumsum(w[by_end][::-1])[::-1], [0.0]])
+
+    def fluid(v: float) -> float:
+        k = bisect_left(ends, v)
+        t = float(ended[k] + v * active[k])
+        return float(round(t)) if abs(t - round(t)) < NEAR else t
+
+    first = np.argsort(-w, kind="stable")  # first blocks in order of their deadline
+    ready: list[tuple[float, int, int, int]] = []  # (virtual deadline, source, block, release)
+    waiting: list[tuple[int, int, int]] = []  # (release, source, block)
+    at = 0
+    for slot in range(int(n.sum())):
+        while waiting and (waiting[0][0] <= slot or not ready and at == len(first)):
+            release, s, block = heapq.heappop(waiting)
+            heapq.heappush(ready, ((block + 1) / w[s], s, block, release))
+        fresh = (1 / w[first[at]], int(first[at]), 0, 0) if at < len(first) else None
+        if fresh and (not ready or fresh < ready[0]):
+            v, s, block, release = fresh
+            at += 1
+        else:
+            v, s, block, release = heapq.heappop(ready)
+        end = fluid(v)
+        yield s, block, release, ceil(end)
+        if block + 1 < n[s]:
+            heapq.heappush(waiting, (floor(end), s, block + 1))
 
 
 def schedule(
     docs: DataFrame, weights: Mapping[str, float] | None = None, source: str = "source",
-    key: str = "doc_id", text: str = "text", block_size: int = BLOCK_SIZE, parts: int = PARTS,
+    key: str = "doc_id", text: str = "text", block_size: int = BLOCK_SIZE,
 ) -> DataFrame:
     """``docs`` with source_block, release, due, slot and place (its order inside the block).
 
@@ -125,8 +173,9 @@ def schedule(
     """
     names = ("source_block", "release", "due", "slot", "place")
     own = [c for c in docs.columns if c.lower() not in names]
-    name, size, order, bucket, before, rank = (
-        free_name(docs, n) for n in ("m_source", "m_size", "m_order", "m_bucket", "m_before", "m_rank")
+    name, size, order, bucket, before, rank, start, slots = (
+        free_name(docs, n)
+        for n in ("m_source", "m_size", "m_order", "m_bucket", "m_before", "m_rank", "m_start", "m_slots")
     )
     rows = docs.select(
         *own,
@@ -141,57 +190,75 @@ def schedule(
         bucket, F.floor((F.shiftrightunsigned(F.col(order), 33) * F.lit(buckets)) / F.lit(1 << 31)).cast("int")
     )
     counts = written(rows.groupBy(name, bucket).agg(F.sum(size).alias("n")), "sizes")
-    sums = {r[0]: r[1] for r in counts.groupBy(name).agg(F.sum("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(sums) > MAX_SOURCES:
+    sources = _sources(counts.groupBy(name).agg(F.sum("n").alias("n")), weights, name, block_size)
+    if sources.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    if not sums:
-        zero = F.lit(0).cast("long")
-        return rows.select(*own, *[zero.alias(n) for n in names])
-    targets = whole_weights({s: (weights or tempered(sums))[s] for s in sums}, parts)
-    plan = phases({s: -(-n // block_size) for s, n in sums.items()}, targets)
-
     inside = Window.partitionBy(name, bucket).orderBy(order, key, F.xxhash64(*[f"`{c}`" for c in own]))
     earlier = Window.partitionBy(name).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        name, bucket, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier")
+    starts = counts.select(name, bucket, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start))
+    # The slots of a bucket's blocks come with the bucket, so that texts are not dealt out again.
+    of_bucket = (
+        starts.join(sources.select(name, "number"), name)
+        .withColumn(
+            "block",
+            F.explode(
+                F.sequence(F.floor(F.col(start) / block_size), F.floor((F.col(start) + F.col("n") - 1) / block_size))
+            ),
+        )
+        .join(_slots_table(sources), ["number", "block"])
+        .groupBy(name, bucket, start)
+        .agg(F.array_sort(F.collect_list(F.struct("block", "release", "due", "slot"))).alias(slots))
     )
     placed = (
         rows.withColumn(before, F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size))
         .withColumn(rank, F.row_number().over(inside))
-        .join(starts, [name, bucket])
-        .withColumn(before, F.col(before) + F.col("earlier"))
+        .join(of_bucket, [name, bucket])
+        .withColumn(before, F.col(before) + F.col(start))
         .withColumn("source_block", F.floor(F.col(before) / F.lit(block_size)).cast("long"))
     )
-    table = _slots_table(docs.sparkSession, plan, sums)
-    block = F.col("source_block") - F.col("had")
-    turn, at = F.floor(block / F.col("w")).cast("long"), (block % F.col("w")).cast("int")
-    in_phase = (F.col("p_source") == F.col(name)) & F.col("source_block").between(F.col("had"), F.col("until"))
-    slot = F.col("first") + turn * F.col("period") + F.element_at("pattern", at + 1)
-    window_start = F.floor(block * F.col("period") / F.col("w"))
-    window_end = F.ceil((block + 1) * F.col("period") / F.col("w"))
-    return placed.join(F.broadcast(table), in_phase).select(
-        *own, "source_block",
-        (F.col("first") + window_start).cast("long").alias("release"),
-        (F.col("first") + window_end).cast("long").alias("due"),
-        slot.cast("long").alias("slot"),
+    found = F.element_at(slots, (F.col("source_block") - F.col(slots)[0]["block"] + 1).cast("int"))
+    return placed.select(
+        *own, "source_block", *[found[n].alias(n) for n in ("release", "due", "slot")],
         # Blocks are in order of size before, so that this orders the documents of a block.
         (F.col(before) - F.col("source_block") * block_size).cast("long").alias("place"),
     )
 
 
-def _slots_table(spark, plan: list[dict], sizes: Mapping[str, int]) -> DataFrame:
-    """One row per phase and source. The phases of a source hold its blocks in order; their
-    patterns together have at most ``parts`` entries a phase."""
-    rows = []
-    for number, phase in enumerate(plan):
-        for s, pattern in phase["pattern"].items():
-            later = [p["had"][s] for p in plan[number + 1 :] if s in p["pattern"]]
-            until = later[0] - 1 if later else (1 << 62)
-            rows.append((s, phase["first"], phase["period"], len(pattern), phase["had"][s], until, pattern))
-    return spark.createDataFrame(
-        rows,
-        "p_source string, first long, period long, w long, had long, until long, pattern array<int>",
-    )
+def _sources(sizes: DataFrame, weights: Mapping[str, float] | None, name: str, block_size: int) -> DataFrame:
+    """Each source with its number, blocks and target weight ``w``."""
+    if weights is None:
+        table = sizes.withColumn("w", tempered(F.col("n")))
+    else:
+        given = [(s, float(w)) for s, w in weights.items()]
+        table = sizes.join(sizes.sparkSession.createDataFrame(given, f"`{name}` string, w double"), name, "left")
+        for row in table.where("w is null or not (w > 0 and w < double('inf'))").limit(1).collect():
+            raise KeyError(row[name]) if row["w"] is None else ValueError(f"weight of {row[name]!r}: {row['w']}")
+    table = table.withColumn("blocks", F.ceil(F.col("n") / block_size)).drop("n")
+    # Numbers are in order of names, for equal results every time.
+    return written(table.orderBy(name).withColumn("number", F.monotonically_increasing_id()), "sources")
+
+
+def _slots_table(sources: DataFrame) -> DataFrame:
+    """One row per block: number of the source, block, release, due and slot."""
+    spark, folder = sources.sparkSession, new_folder(sources.sparkSession, "slots")
+    kind = pa.schema([(c, pa.int64()) for c in ("number", "block", "release", "due", "slot")])
+    numbers, blocks, weights = array("q"), array("q"), array("d")
+    for number, n, w in sources.select("number", "blocks", "w").orderBy("number").toLocalIterator():
+        numbers.append(number)
+        blocks.append(n)
+        weights.append(w)
+    found, slot = slots_of(blocks, weights), 0
+    while True:
+        piece = np.array(list(islice(found, PIECE)), np.int64).reshape(-1, 4)
+        if not len(piece) and slot:
+            break
+        columns = [np.asarray(numbers, np.int64)[piece[:, 0]], *piece[:, 1:].T, np.arange(slot, slot + len(piece))]
+        table = pa.table([pa.array(c, pa.int64()) for c in columns], schema=kind)
+        spark.createDataFrame(table).write.mode("append").parquet(folder)
+        slot += len(piece)
+        if len(piece) < PIECE:
+            break
+    return spark.read.schema("number long, block long, release long, due long, slot long").parquet(folder)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

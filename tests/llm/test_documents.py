@@ -2,6 +2,8 @@
 
 import random
 import zlib
+from fractions import Fraction
+from math import ceil, floor
 
 import numpy as np
 import public_tokenizers
@@ -323,6 +325,45 @@ def test_phases_use_up_every_block():
     assert taken == blocks
 
 
+def test_slots_stay_in_the_windows_of_the_fluid_schedule():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = [rng.choice((1, 1, rng.randint(1, 60))) for _ in range(rng.randint(1, 25))]
+        w = [Fraction(rng.randint(1, 10**6), 7 * 10**5) for _ in n]
+        fluid, had, t = {}, [Fraction(0)] * len(n), Fraction(0)
+        while any(a < b for a, b in zip(had, n, strict=True)):
+            live = [s for s in range(len(n)) if had[s] < n[s]]
+            total = sum(w[s] for s in live)
+            # To the next end of a block.
+            step = min((floor(had[s]) + 1 - had[s]) * total / w[s] for s in live)
+            t += step
+            for s in live:
+                had[s] += step * w[s] / total
+                if had[s].denominator == 1:
+                    fluid[s, int(had[s]) - 1] = t
+        found = list(pfair.slots_of(n, [float(x) for x in w]))
+        assert sorted((s, b) for s, b, *_ in found) == sorted(fluid)
+        for slot, (s, b, release, due) in enumerate(found):
+            assert (release, due) == (floor(fluid.get((s, b - 1), 0)), ceil(fluid[s, b]))
+            assert release <= slot < due
+
+
+def test_mixing_keeps_to_unrounded_targets(spark):
+    weights = {"a": 0.7, "b": 0.3, "c": 0.00001}
+    many = {"a": 24000, "b": 12000, "c": 3}
+    table = spark.createDataFrame(
+        [(i, s, "x") for s, n in many.items() for i in range(n)], "doc_id long, source string, text string"
+    )
+    rows = pfair.schedule(table, weights, block_size=1).select("slot", "source").collect()
+    order = [s for _, s in sorted(map(tuple, rows))]
+    assert len(order) == sum(many.values())
+    total, had = sum(weights.values()), dict.fromkeys(weights, 0)
+    for t, s in enumerate(order[:34000], 1):
+        had[s] += 1
+        for x, w in weights.items():
+            assert abs(had[x] - w / total * t) < 1, (t, x)
+
+
 # --- licences -------------------------------------------------------------------------------
 
 
