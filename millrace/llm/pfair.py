@@ -10,11 +10,11 @@ first. Every block then gets a slot in its window (for unit blocks on one line t
 a schedule whenever there is one, and the fluid schedule shows that there is), so that after
 any number of slots every source is off its exact target by less than one block.
 
-Weights are never rounded and nothing is periodic, so no error adds up. The driver holds three
+Weights are never rounded and nothing is periodic, so no error adds up. The driver holds a few
 numbers a source, and the heap those of sources with several blocks; slots are written as they
 are found, and all rows get theirs by joins. No document is dropped or repeated.
 ``whole_weights``, ``one_period`` and ``phases`` are the schedule of whole-number weights by
-PD2, which tests compare with; ``schedule`` does not use them.
+PD2, with tests of their own; ``schedule`` does not use them.
 """
 
 from __future__ import annotations
@@ -45,8 +45,6 @@ NEAR = 1e-6
 PIECE = 200_000
 #: Rows that one task numbers together.
 BUCKET_ROWS = 1_000
-#: More sources than this are refused.
-MAX_SOURCES = 1_000
 
 
 def whole_weights(weights: Mapping[str, float], parts: int = PARTS) -> dict[str, int]:
@@ -166,7 +164,8 @@ def schedule(
     """``docs`` with source_block, release, due, slot and place (its order inside the block).
 
     ``weights`` has a positive weight per source; without it the square roots of the sizes.
-    A source without a weight is refused. A null source is the source ''. Sizes are in
+    A source without a weight is refused. A null source is the source ''. There may be any
+    number of sources; the driver keeps some 100 bytes of each, more of those with several blocks. Sizes are in
     characters, and a null or empty text has size 1. ``release`` and ``due`` are slots. A
     document stands at the block in which it starts. Equal rows get places of their own.
     Columns of ``docs`` named like a result column are replaced. An empty table gives none.
@@ -191,8 +190,6 @@ def schedule(
     )
     counts = written(rows.groupBy(name, bucket).agg(F.sum(size).alias("n")), "sizes")
     sources = _sources(counts.groupBy(name).agg(F.sum("n").alias("n")), weights, name, block_size)
-    if sources.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     inside = Window.partitionBy(name, bucket).orderBy(order, key, F.xxhash64(*[f"`{c}`" for c in own]))
     earlier = Window.partitionBy(name).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(name, bucket, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start))

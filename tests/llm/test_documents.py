@@ -364,6 +364,18 @@ def test_mixing_keeps_to_unrounded_targets(spark):
             assert abs(had[x] - w / total * t) < 1, (t, x)
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    table = spark.range(9000).selectExpr(
+        "id doc_id", "if(id < 4000, 'big', 'www' || (id % 2500) || '.example') source", "repeat('x', 10) text"
+    )
+    rows = pfair.schedule(table, block_size=10).collect()
+    assert len({r["doc_id"] for r in rows}) == 9000
+    assert sorted(r["slot"] for r in rows) == list(range(9000))
+    assert all(r["release"] <= r["slot"] < r["due"] for r in rows)
+    with pytest.raises(KeyError):
+        pfair.schedule(table, {"big": 1.0})
+
+
 # --- licences -------------------------------------------------------------------------------
 
 
