@@ -1,12 +1,16 @@
 """Licence statements found by a trained paragraph classifier and confirmed by templates.
 
-Paragraphs are the lines of a text. Their word unigrams and bigrams feed a multinomial
-logistic regression over licence families and an unknown class. It is trained on the driver
-from the templates below, worn down at random, and from sentences that only sound similar. Its
-weights are sparse: words outside the training vocabulary weigh nothing, so that a paragraph
-without any of them is unknown. A temperature fitted on held-out examples calibrates the
-probabilities, and the threshold is the lowest with the wanted held-out precision. A predicted
-family counts only if the paragraph and one of the family's templates share enough bigrams.
+Paragraphs are the lines of a text. They are read in overlapping windows of words, about as long
+as long and short templates, and lines that are not much longer also as a whole, so that a
+statement counts as much inside a long line as on a line of its own. The word unigrams and
+bigrams of a window feed a multinomial logistic regression over licence families and an unknown
+class. It is trained on the driver from the templates below, worn down at random, and from
+sentences that only sound similar. Its weights are sparse: words outside the training vocabulary
+weigh nothing, so that a window without any of them is unknown. A temperature fitted on held-out
+examples calibrates the probabilities, and the threshold is the lowest with the wanted held-out
+precision. A predicted family counts only if the window and one of the family's templates share
+enough bigrams. A line has a span for each family, unless the words that speak for it are part
+of a longer statement.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ import pickle
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +126,12 @@ OTHER = (
 COPIES, SEED, EPOCHS = 160, 11, 300
 #: Held-out precision at which the threshold is set, and shared bigrams that confirm.
 PRECISION, SHARED = 0.995, 0.6
+#: Words in a window and from one window to the next, for long and for short templates; lines up
+#: to LONG words are also read whole.
+WINDOWS, LONG = ((24, 8), (8, 4)), 128
+WINDOW, STRIDE = WINDOWS[0]
+#: Words that one step of scanning holds; a longer line comes in pieces that overlap.
+STEP = 1 << 15
 
 
 def grams(words: Sequence[str]) -> list[str]:
@@ -138,15 +149,21 @@ def pairs(words: Sequence[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
 
 
-def likeness(words: Sequence[str], templates: Sequence[frozenset[str]]) -> float:
-    """Shared bigrams with the nearest template, as a share of the smaller of the two sets.
+def nearest(words: Sequence[str], templates: Sequence[frozenset[str]]) -> tuple[float, list[int]]:
+    """Shared bigrams with the nearest template, as a share of the smaller of the two sets, and
+    the places of the words in them.
 
-    A paragraph with fewer than three bigrams must hold all of them in the template.
+    A window with fewer than three bigrams must hold all of them in the template.
     """
-    own = set(pairs(words))
-    if not own:
-        return 0.0
-    return max(len(own & t) / max(min(len(own), len(t)), 3 if len(own) > 2 else len(own)) for t in templates)
+    own = pairs(words)
+    some = set(own)
+    if not some:
+        return 0.0, []
+    least = 3 if len(some) > 2 else len(some)
+    close, template = max(
+        ((len(some & t) / max(min(len(some), len(t)), least), t) for t in templates), key=lambda c: c[0]
+    )
+    return close, sorted({p for i, g in enumerate(own) if g in template for p in (i, i + 1)})
 
 
 @dataclass
@@ -171,11 +188,39 @@ class Model:
             starts = (np.cumsum(sizes) - sizes)[some]
             scale = np.sqrt(np.array([max(1, len(grams(paragraphs[i]))) for i in some]))
             logits[some] += np.add.reduceat(self.weights[flat], starts, axis=0) / scale[:, None]
+        return self._shares(logits)
+
+    def _shares(self, logits: np.ndarray) -> np.ndarray:
         logits /= self.temperature
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
         return p / p.sum(axis=1, keepdims=True)
 
+    @cached_property
+    def parts(self) -> frozenset[str]:
+        """Words of known bigrams."""
+        return frozenset(w for g in self.vocabulary if " " in g for w in g.split(" "))
+
+    def in_windows(self, words: Sequence[str], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Probabilities of the windows [start, end) of ``words``, as ``probabilities`` has them."""
+        find, parts = self.vocabulary.get, self.parts
+        logits = np.tile(self.bias, (len(starts), 1))
+        single = [(i, k) for i, w in enumerate(words) if (k := find(w)) is not None]
+        near = [i for i, w in enumerate(words) if w in parts]
+        double = [
+            (i, k) for i, j in zip(near, near[1:], strict=False)
+            if j == i + 1 and (k := find(f"{words[i]} {words[j]}")) is not None
+        ]
+        scale = np.sqrt(np.maximum(1, 2 * (ends - starts) - 1))[:, None]
+        for hits, reach in ((single, 0), (double, 1)):
+            if hits:
+                at, rows = np.array(hits, np.int64).T
+                sums = np.concatenate([np.zeros((1, len(self.bias))), np.cumsum(self.weights[rows], axis=0)])
+                lo = np.searchsorted(at, starts)
+                hi = np.maximum(lo, np.searchsorted(at, ends - reach))
+                logits += (sums[hi] - sums[lo]) / scale
+        return self._shares(logits)
+
 
 def examples(random: np.random.Generator) -> list[tuple[list[str], int]]:
     """Templates with words lost, replaced and added, and unknown sentences treated the same."""
@@ -267,36 +312,90 @@ def _calibrate(model: Model, paragraphs: list[list[str]], labels: np.ndarray) ->
 SPAN = "struct<paragraph: long, start: long, length: long, family: string, probability: double, likeness: double, confirmed: boolean>"
 
 
+def windows_of(n_words: int) -> list[tuple[int, int]]:
+    """Windows of a line that together hold all its words; a line of up to LONG words is one too."""
+    out = [(0, n_words)] if n_words <= LONG else []
+    for length, stride in WINDOWS:
+        if n_words > length:
+            out += [(s, s + length) for s in range(0, n_words - length, stride)]
+            out.append((n_words - length, n_words))
+    return out
+
+
+def _steps(lines: list[list[str]]) -> Iterator[tuple[list[str], list[tuple[int, int, int, int]]]]:
+    """Words of some lines, and their windows: line, first word in the line, place in the words."""
+    words: list[str] = []
+    windows: list[tuple[int, int, int, int]] = []
+    for number, line in enumerate(lines):
+        most = STEP // STRIDE * STRIDE
+        for cut in range(0, max(1, len(line) - WINDOW), most):
+            # Each piece of a long line starts at a window and holds all of the last one.
+            piece = line[cut : cut + most + WINDOW] if len(line) > most + WINDOW else line
+            if words and len(words) + len(piece) > STEP:
+                yield words, windows
+                words, windows = [], []
+            windows += [(number, cut + s, len(words) + s, len(words) + e) for s, e in windows_of(len(piece))]
+            words += piece
+            if piece is line:
+                break
+    if windows:
+        yield words, windows
+
+
 def judge(model: Model, text: str | None, templates: dict[str, list[frozenset[str]]]) -> tuple[int, list[dict]]:
     """Paragraphs with a word, and those of a predicted family, with their place in the text."""
-    spans, words, at = [], [], 0
+    spans, lines, at = [], [], 0
     for line in (text or "").split("\n"):
-        found = WORD.findall(line.lower())
         if line.strip():
             spans.append((at, len(line)))
-            words.append(found)
+            lines.append(WORD.findall(line.lower()))
         at += len(line) + 1
-    out = []
-    for lo in range(0, len(words), 4096):
-        p = model.probabilities(words[lo : lo + 4096])
+    found: dict[int, list[tuple]] = {}
+    for words, windows in _steps(lines):
+        number, first, starts, ends = np.array(windows, np.int64).T
+        p = model.in_windows(words, starts, ends)
         best = p[:, 1:].argmax(1)
         for i in np.flatnonzero(p[:, 1:].max(1) >= model.threshold).tolist():
             family = model.families[best[i]]
-            close = likeness(words[lo + i], templates[family])
+            close, places = nearest(words[starts[i] : ends[i]], templates[family])
+            places = [int(first[i]) + x for x in places]
+            found.setdefault(int(number[i]), []).append((close, float(p[i, best[i] + 1]), family, places))
+    out = []
+    for paragraph, some in sorted(found.items()):
+        for close, probability, family in _closest(some, len(lines[paragraph])):
             out.append(
                 {
-                    "paragraph": lo + i, "start": spans[lo + i][0], "length": spans[lo + i][1],
-                    "family": family, "probability": float(p[i, best[i] + 1]),
+                    "paragraph": paragraph, "start": spans[paragraph][0], "length": spans[paragraph][1],
+                    "family": family, "probability": probability,
                     "likeness": close, "confirmed": close >= SHARED,
                 }
             )
-    return len(words), out
+    return len(lines), out
+
+
+def _closest(some: list[tuple], n_words: int) -> Iterator[tuple[float, float, str]]:
+    """For each family of a line its confirmed window with the most shared words, if there is one.
+
+    Windows overlap and may cut a statement, so that a family counts only where at least half of
+    the words it shares with its template do not speak for another family with more of them.
+    """
+    taken, seen = [""] * n_words, set()
+    for close, probability, family, places in sorted(
+        some, key=lambda c: (c[0] < SHARED, -len(c[3]), -c[0], -c[1], c[2])
+    ):
+        if sum(taken[x] not in ("", family) for x in places) * 2 > len(places):
+            continue
+        for x in places:
+            taken[x] = taken[x] or family
+        if family not in seen:
+            seen.add(family)
+            yield close, probability, family
 
 
 def scanned(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_paragraphs, family, families and spans.
 
-    ``spans`` has every paragraph with a predicted family; ``families`` the confirmed ones in
+    ``spans`` has every paragraph with a predicted family, once for each; ``families`` the confirmed ones in
     alphabetical order and ``family`` the one of the most probable confirmed paragraph (the
     earliest of equals), null without one. A null or empty text has no paragraphs. Other
     columns are not read; an empty table gives an empty result.

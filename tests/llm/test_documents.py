@@ -406,6 +406,39 @@ def test_licence_lines(spark, license_model, empty, clashing):
     assert licenses.scanned(clashing, license_model).count() == clashing.count()
 
 
+def test_licences_inside_long_lines(license_model):
+    rng = random.Random(8)
+    words = "the of and to in he was it for on as his they at be this from have one had but what".split()
+    templates = licenses.template_bigrams()
+
+    def families(line):
+        return sorted(s["family"] for s in licenses.judge(license_model, line, templates)[1] if s["confirmed"])
+
+    def some(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    for n in (200, 5000):
+        assert families(some(n)) == []
+        for family, texts in licenses.TEMPLATES.items():
+            for text in texts:
+                assert families(f"{some(n // 2)} {text} {some(n // 2)}") == [family], text
+    both = f"{some(900)} Released under the MIT License. {some(900)} Licensed under CC BY-NC 4.0. {some(9)}"
+    assert families(both) == ["cc-by-nc", "mit"]
+    # At the border of two pieces.
+    for n in range(licenses.STEP - 8, licenses.STEP + licenses.WINDOW + 8, 5):
+        assert families(f"{some(n)} Released under the MIT License. {some(99)}") == ["mit"], n
+
+
+def test_windows_are_classified_as_lines_are(license_model):
+    rng = random.Random(9)
+    known = sorted({w for g in license_model.vocabulary for w in g.split()})
+    line = [rng.choice(known) if rng.random() < 0.8 else "strange" for _ in range(300)]
+    starts = np.array([rng.randint(0, 290) for _ in range(200)])
+    ends = starts + np.array([rng.randint(0, 300 - s) for s in starts.tolist()])
+    parts = [line[s:e] for s, e in zip(starts, ends, strict=True)]
+    assert np.allclose(license_model.in_windows(line, starts, ends), license_model.probabilities(parts))
+
+
 def test_licence_classifier_on_unseen_wear(license_model):
     made = licenses.examples(np.random.default_rng(99))
     p = license_model.probabilities([w for w, _ in made])
