@@ -22,16 +22,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    crc_remainder, free_name, hash_below, ragged_ranges, texts_in, words_of,
+    crc_remainder, free_name, hash_below, ragged_ranges, texts_in, words_of, written,
 )
 
 WINDOW, STRIDE = 64, 32
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
 #: Character trigrams are hashed into this many vectors.
 CHAR_ROWS = 1 << 14
-#: The training sample: at most so many documents of label 0 and of label 1, and of at most
-#: this many characters each, which bounds what the driver holds. Scoring reads whole texts.
+#: The training sample: at most so many documents of label 0 and of label 1, and so many
+#: characters times that, which bounds what the driver holds. Documents of at most this many
+#: characters are drawn first. Scoring reads whole texts.
 SAMPLE, SAMPLE_CHARS = (2400, 800), 6000
+#: Longer documents are sampled whole up to LONG_CHARS characters, or more if the sample has
+#: room; of those longer still, as many characters in PIECES pieces spread over the whole text.
+LONG_CHARS, PIECES = 4 * SAMPLE_CHARS, 40
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 #: A small sample is gone through more often, until there were so many steps.
 UPDATES = 200
@@ -393,29 +397,61 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on at most SAMPLE documents of the labels whose id is not held out.
 
-    The sample is the first ids by their hash, so that it is the same for the same table; the
-    documents of about twice as many ids come to the driver.
-    Documents longer than SAMPLE_CHARS are left to scoring. Other labels than 0 and 1 and
-    labels without a document are ignored; without any labelled row all scores are one half.
-    Rows that share a sampled id all belong to the sample, up to its size.
+    The sample is the first ids with a text by their hash, so that it is the same for the same
+    table. If there are fewer than SAMPLE documents of up to SAMPLE_CHARS characters of a label,
+    longer ones follow until there are SAMPLE documents or SAMPLE * SAMPLE_CHARS characters.
+    Other labels than 0 and 1 and labels without a document are ignored; without any labelled
+    row all scores are one half. Rows that share a sampled id all belong to the sample, up to
+    its size.
     """
     known = (
         labels.where(F.col("toxic").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
-        .select(F.xxhash64("doc_id").alias("order"), F.col("doc_id").cast("string"), F.col("toxic").cast("int"))
-        .where("doc_id is not null")
+        .select(
+            F.xxhash64("doc_id").alias("place"), F.col("doc_id").cast("string").alias("l_key"),
+            F.col("toxic").cast("int").alias("y"),
+        )
+        .where("l_key is not null")
+        .distinct()
+    )
+    texts = docs.select(F.col(key).cast("string").alias("l_key"), F.col(text).cast("string").alias("body")).where(
+        "l_key is not null and body is not null"
     )
-    # Ids first, by hash: about twice the wanted number, since some have no text or a longer one. Texts of
-    # chosen ids only come to the driver, and only ids go out to the tasks.
+    sizes = texts.groupBy("l_key").agg(F.min(F.length("body")).alias("chars"))
+    found = written(known.join(sizes, "l_key"), "labelled")
+    # Ids first, by hash; about twice the wanted number, so that there are enough. Only texts of
+    # chosen ids come to the driver, and only ids go out to the tasks.
+    long = F.col("chars") > SAMPLE_CHARS
+    totals = {(y, far): n for y, far, n in found.groupBy("y", long).count().collect()}
     chosen = []
-    for y, total in known.groupBy("toxic").count().collect():
-        some = known.where(F.col("toxic") == y)
-        chosen += some.where(hash_below(F.col("order"), 2 * SAMPLE[y], total)).collect()
-    picked = docs.sparkSession.createDataFrame([tuple(r) for r in chosen], "place long, l_key string, y int").distinct()
+    for y, most in enumerate(SAMPLE):
+        n_short, n_long = totals.get((y, False), 0), totals.get((y, True), 0)
+        some = found.where(F.col("y") == y)
+        if n_short:
+            few = some.where(~long & hash_below(F.col("place"), 2 * most, n_short))
+            chosen += [(*r, SAMPLE_CHARS, False) for r in few.select("place", "l_key", "y").collect()]
+        places = most - n_short
+        if places > 0 and n_long:
+            left = places * SAMPLE_CHARS
+            cap = max(LONG_CHARS, left // n_long)
+            many = some.where(long & hash_below(F.col("place"), 2 * places, n_long))
+            for place, l_key, chars in sorted(many.select("place", "l_key", "chars").collect())[:places]:
+                left -= min(cap, chars)
+                if left < 0:
+                    break
+                chosen.append((place, l_key, y, cap, True))
+    picked = docs.sparkSession.createDataFrame(chosen, "place long, l_key string, y int, cap long, far boolean")
+    size, piece = F.length("body"), F.floor(F.col("cap") / PIECES)
+    pieces = [
+        F.substring(
+            "body", (F.lit(1) + F.floor((size - piece) * i / (PIECES - 1))).cast("int"), piece.cast("int")
+        )
+        for i in range(PIECES)
+    ]
     rows = (
-        docs.where(F.length(text) <= SAMPLE_CHARS)
-        .select(F.col(key).cast("string").alias("l_key"), F.col(text).cast("string").alias("body"))
-        .join(F.broadcast(picked), "l_key")
-        .select("y", "place", "body")
+        texts.join(F.broadcast(picked), "l_key")
+        # Of an id with short texts, these only.
+        .where((size <= SAMPLE_CHARS) | F.col("far"))
+        .select("y", "place", F.when(size <= F.col("cap"), F.col("body")).otherwise(F.concat_ws("\n", *pieces)).alias("body"))
         .collect()
     )
     samples = []

@@ -543,3 +543,36 @@ def test_toxicity_learns_from_the_right_rows(spark):
     assert all(np.array_equal(one.weights[k], two.weights[k]) for k in one.weights)
     none = toxicity.fit(table, labels.where("toxic = 7"))
     assert toxicity.score_texts(none, toxicity.Words(none), ["x"])[0] == pytest.approx(0.5)
+
+
+def test_toxicity_learns_from_long_texts(spark, monkeypatch):
+    samples = made_samples(400, 11)
+    longer = [(" ".join([t] + [u for u, v in samples[i : i + 12] if not v]), y) for i, (t, y) in enumerate(samples)]
+    longer = [(t * (1 + 6500 // len(t)), y) for t, y in longer]
+    assert min(len(t) for t, _ in longer) > toxicity.SAMPLE_CHARS
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(longer)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(longer)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda got: seen.extend(got))
+    toxicity.fit(table, labels)
+    known = [s for i, s in enumerate(longer) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(seen) == sorted(known)
+    # Of a text beyond the bound, pieces from all over it.
+    own = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    words = " ".join(f"w{i:06d}" for i in range(800_000))
+    one = spark.createDataFrame([(own, words)], "doc_id long, text string")
+    seen.clear()
+    toxicity.fit(one, spark.createDataFrame([(own, 1)], "doc_id long, toxic int"))
+    (text, label), = seen
+    got = [int(w[1:]) for w in text.split() if len(w) == 7 and w[0] == "w"]
+    assert label == 1 and len(text) < toxicity.SAMPLE[1] * toxicity.SAMPLE_CHARS * 1.01
+    assert got[0] == 0 and got[-1] == 799_999
+    assert np.histogram(got, 30, (0, 800_000))[0].min() > 1000
+    # With short texts enough, long ones are left to scoring.
+    monkeypatch.setattr(toxicity, "SAMPLE", (5, 5))
+    both = spark.createDataFrame(
+        [(i, t) for i, (t, _) in enumerate(longer[:200] + samples[200:])], "doc_id long, text string"
+    )
+    seen.clear()
+    toxicity.fit(both, labels)
+    assert len(seen) == 10 and all(len(t) <= toxicity.SAMPLE_CHARS for t, _ in seen)
