@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    cover_tree, language_model, licenses, packing, pfair, quality, quotations, simhash, toxicity,
-    url_rules,
+    cover_tree, language_id, language_model, licenses, packing, pfair, phrases, quality, quotations,
+    simhash, toxicity, url_rules, variants,
 )
 from millrace.llm.common import crc_remainder, read
 from millrace.plans.registry import query
@@ -183,3 +183,70 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"))
+
+
+PHRASES_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), spelled as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+  select lang, sum(len(w))::bigint as n from spelled group by lang
+), counts as (
+  select lang, words, count(*) as f
+  from (select lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda m: list_transform(
+          generate_series(1, len(w) - m + 1), lambda i: w[i:i + m - 1])))) as words
+        from spelled)
+  group by 1, 2 having count(*) >= 30
+), cuts as (
+  select c.lang, c.words, a, k, l.f as l, r.f as r,
+         ((2000000::hugeint * a) // (l.f + r.f))::bigint as score
+  from (
+    select lang, words, f as a, k, words[1:k] as head, words[k + 1:] as tail
+    from (select *, unnest(generate_series(1, len(words) - 1)) as k from counts)
+  ) c
+  join counts l on l.lang = c.lang and l.words = head
+  join counts r on r.lang = c.lang and r.words = tail
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1
+), inner_words as (
+  select lang, part as words, max(f) as longer
+  from (select lang, f, unnest(flatten(list_transform(generate_series(2, len(words) - 1),
+          lambda m: list_transform(generate_series(1, len(words) - m + 1),
+                                   lambda i: words[i:i + m - 1])))) as part
+        from counts)
+  group by 1, 2
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score
+from (
+  select lang, array_to_string(words, ' ') as phrase, a, l, r, score
+  from best left join inner_words using (lang, words)
+  where longer is null or 100 * longer < 80 * a
+) join totals using (lang)
+qualify rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    known = language_id.learn(docs)
+    judged = language_id.identified(docs.select("doc_id", "text"), known)
+    return judged.select(
+        "doc_id", (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "lang_pred", "score", "rejected",
+    )
