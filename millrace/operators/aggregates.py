@@ -58,6 +58,16 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     return count_by(df, *columns).select(*columns)
 
 
+def distinct_within(df: DataFrame, time: str, horizon: str, *columns: str) -> DataFrame:
+    """The first row of each value of ``columns``, as a stream whose state expires.
+
+    A value is forgotten once the watermark, ``horizon`` behind the newest ``time``, is that much
+    later than the row that was kept. Repeats at most ``horizon`` apart come out once; a
+    value that stays away for longer may come out again.
+    """
+    return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark(list(columns))
+
+
 def approx_distinct(df: DataFrame, column: str, *keys: str, name: str = "distinct") -> DataFrame:
     """Distinct count by sketch, for streams where the exact count is not supported."""
     return df.groupBy(*keys).agg(F.approx_count_distinct(column).alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.tables import stored
@@ -103,6 +103,9 @@ def resolve(changes: DataFrame, order: Sequence[str], on_conflict: str = "error"
     rows after it (all rows without one), ``insert`` is the first insert, ``update`` the last
     update, and ``update_later`` whether that update follows the insert.
 
+    Rows that agree on ``order`` go by operation (delete, insert, update) and then by the
+    fields of ``value`` from left to right, so that the order is total.
+
     Several updates or deletes of a key, or several inserts, are a conflict. ``"error"``
     fails the query then; ``"latest"`` goes by ``order``.
     """
@@ -178,3 +181,56 @@ def newest_first(table: DataFrame, order: str, condition: Column | None = None)
     """
     rows = table if condition is None else table.filter(condition)
     return rows.orderBy(F.col(f"value.{order}").desc(), "key").select("Op", "value.*")
+
+
+# --- a table in buckets of its keys -----------------------------------------------------------
+
+
+def bucket_of(key: Column, names: Sequence[str], buckets: int) -> Column:
+    """Bucket of a key struct; all NULL keys share one."""
+    return F.pmod(F.xxhash64(*[key[name] for name in names]), F.lit(buckets)).cast("int")
+
+
+def write_buckets(table: DataFrame, path: str, buckets: int) -> None:
+    """First version of a keyed table, laid out in one folder per bucket of its keys."""
+    _put(table, path, buckets, table.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")))
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where("key IS NOT NULL").drop("bucket")
+
+
+def _put(rows: DataFrame, path: str, buckets: int, touched: DataFrame) -> None:
+    """Replace the touched buckets. Each gets a row without a key, so that one that has lost all
+    its rows is replaced as well."""
+    names = rows.schema["key"].dataType.names
+    placed = rows.withColumn("bucket", bucket_of(F.col("key"), names, buckets))
+    marks = touched.select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in rows.schema.fields], "bucket"
+    )
+    (
+        placed.unionByName(marks).repartition("bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    )
+
+
+def merge_buckets(
+    spark: SparkSession, path: str, changes: DataFrame, order: Sequence[str], buckets: int,
+    on_conflict: str = "error",
+) -> list[int]:
+    """Apply changes to a table written by ``write_buckets``, as ``merge_changes`` does, reading
+    and rewriting only the buckets that hold a changed key; the other folders keep their files.
+
+    Returns those buckets, of which there are at most ``buckets``. The new rows are stored
+    before the old ones are replaced, so a failed write can be repeated. Choose the number of
+    buckets so that one bucket is a good size for a task's file.
+    """
+    names = changes.schema["key"].dataType.names
+    placed = changes.withColumn("bucket", bucket_of(F.col("key"), names, buckets))
+    touched = sorted(row.bucket for row in placed.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    current = spark.read.parquet(path).where(F.col("bucket").isin(touched) & F.col("key").isNotNull())
+    merged = stored(merge_changes(current.drop("bucket"), changes, order, on_conflict), "merged")
+    _put(merged, path, buckets, spark.createDataFrame([(b,) for b in touched], "bucket int"))
+    return touched

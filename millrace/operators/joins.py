@@ -112,3 +112,18 @@ def spread_join(
     if within is not None:
         matches = matches & within
     return left.join(right, matches, how).drop("_left_salt", "_right_salt")
+
+
+def stream_anti_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, within: Column
+) -> DataFrame:
+    """Rows of a watermarked stream without a partner in another one, as a stream.
+
+    Spark takes no anti join of two streams, since a row can be let go only when no partner can
+    come any more. A left join keeps that state: ``within`` bounds the time of a partner, and
+    once the watermark has passed it, a row that met none comes out with an empty right side.
+    Matched rows come out of the join at once and are dropped here.
+    """
+    marked = right.withColumn("_partner", F.lit(True))
+    joined = left.join(marked, (F.col(left_key) == F.col(right_key)) & within, "left")
+    return joined.where(F.col("_partner").isNull()).select(*left.columns)

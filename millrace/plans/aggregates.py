@@ -10,6 +10,7 @@ from millrace.operators.aggregates import (
     average,
     count_by,
     distinct_rows,
+    distinct_within,
     numeric_aggregate,
     ratio_of_sums,
     running_count,
@@ -17,9 +18,12 @@ from millrace.operators.aggregates import (
 from millrace.operators.rolling import rolling_mean
 from millrace.operators.windows import closed_windows
 from millrace.plans.registry import query
+from millrace.session import new_folder
 from millrace.sources.replay import in_time_order
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table
+from millrace.streaming.checkpoints import committed_batches, state_table
+from millrace.streaming.ordered import ordered_rolling_means
 from millrace.streaming.state import rolling_means_by_state
 
 
@@ -80,6 +84,39 @@ def stream_distinct(spark, sf_dir):
     return run_to_table(customers, mode="update").select("o_custkey").distinct()
 
 
+@query("SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events")
+def stream_distinct_within(spark, sf_dir):
+    """Active users per day in append mode. The rows of a day lie less than the horizon apart, so
+    that each value comes out once; days behind the watermark leave the state."""
+    events = zoned(in_time_order(table(spark, sf_dir, "events").select("user_id", "ts"), "ts"), "ts")
+    first = distinct_within(events.withColumn("day", F.to_date("ts")), "ts", "1 day", "user_id", "day")
+    return run_to_table(first.select("user_id", "day"))
+
+
+@query("SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def state_as_table(spark, sf_dir):
+    """The state that a stopped count per type left in its checkpoint."""
+    counts = count_by(table_stream(spark, sf_dir, "events"), "event_type")
+    checkpoint = new_folder(spark, "checkpoint")
+    run_to_table(counts, mode="complete", checkpoint=checkpoint, path=new_folder(spark, "table"))
+    return state_table(spark, checkpoint).select("event_type", "count")
+
+
+@query(
+    """SELECT 'files' AS source, count(*) > 0 AS has_batches, true AS in_order FROM events"""
+)
+def offsets_as_table(spark, sf_dir):
+    """The batches that a stopped query's checkpoint has committed, numbered from 0."""
+    counts = count_by(table_stream(spark, sf_dir, "events"), "event_type")
+    checkpoint = new_folder(spark, "checkpoint")
+    run_to_table(counts, mode="complete", checkpoint=checkpoint, path=new_folder(spark, "table"))
+    batches = committed_batches(spark, checkpoint)
+    return batches.agg(
+        F.lit("files").alias("source"), (F.count("batch") > 0).alias("has_batches"),
+        (F.max("batch") == F.count("batch") - 1).alias("in_order"),
+    )
+
+
 # The standard error of the sketch is 5 percent; three times that is almost never exceeded.
 APPROX_SQL = "SELECT event_type, true AS close FROM events GROUP BY event_type"
 
@@ -161,6 +198,17 @@ def rolling_mean_stream(spark, sf_dir):
     return means_by_state(in_time_order(events, "ts"))
 
 
+@query(
+    f"""SELECT * FROM ({ROLLING_SQL}) WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+)
+def rolling_mean_ordered(spark, sf_dir):
+    """Rows wait in state for the watermark and leave it in order, whatever order they came in."""
+    events = table(spark, sf_dir, "events").select("user_id", *ORDER, "value")
+    stream = zoned(in_time_order(events, "ts"), "ts")
+    means = ordered_rolling_means(stream, "user_id", "ts", "1 hour", "event_id", "value", 3)
+    return rounded_mean(without_zone(run_to_table(means), "ts"))
+
+
 @query(ROLLING_SQL)
 def rolling_mean_state(spark, sf_dir):
     """The table's own files, in no order of time, as one micro-batch."""

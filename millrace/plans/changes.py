@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from millrace.operators import changes
 from millrace.operators.aggregates import count_by
 from millrace.plans.registry import query
+from millrace.session import new_folder
 from millrace.sources.tables import stored, table
 
 KEYS = ["ID"]
 ORDER = ["cdcTime", "seq"]
+BUCKETS = 16
 
 
-def feed(spark, sf_dir):
-    loaded = table(spark, sf_dir, "orders").select(
+def loaded_orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") == "P", "I").alias("Op"),
         F.col("o_orderkey").alias("ID"),
         F.col("o_orderdate").alias("cdcTime"),
@@ -27,6 +29,9 @@ def feed(spark, sf_dir):
         F.col("o_orderpriority").alias("AKEY"),
         F.col("o_totalprice").alias("price"),
     )
+
+
+def feed(spark, sf_dir):
     flag = F.col("l_returnflag")
     changed = table(spark, sf_dir, "lineitem").select(
         F.when(flag == "R", "D").when(flag == "A", "U").otherwise("I").alias("Op"),
@@ -36,7 +41,7 @@ def feed(spark, sf_dir):
         F.col("l_linestatus").alias("AKEY"),
         F.col("l_extendedprice").alias("price"),
     )
-    return loaded.unionByName(changed)
+    return loaded_orders(spark, sf_dir).unionByName(changed)
 
 
 FEED_SQL = """feed AS (
@@ -107,9 +112,11 @@ def merged(spark, sf_dir):
 
 # The changes of a key in feed order: nothing up to its last delete matters. Afterwards a row
 # that is there takes its last update; a row that is not there starts with the first insert
-# and takes the last update that follows it.
+# and takes the last update that follows it. At equal cdctime and seq a delete comes first,
+# then inserts, then updates, each by akey and price.
 MERGE_STEPS_SQL = """
-    ordered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cdctime, seq) AS pos
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cdctime, seq,
+            CASE op WHEN 'D' THEN 0 WHEN 'I' THEN 1 ELSE 2 END, akey, price) AS pos
         FROM feed WHERE op IS NOT NULL),
     marked AS (SELECT *, coalesce(max(pos) FILTER (WHERE op = 'D') OVER (PARTITION BY id), 0)
         AS gone FROM ordered),
@@ -136,10 +143,20 @@ def cdc_merge(spark, sf_dir):
     return flat(merged(spark, sf_dir))
 
 
+@query(f"WITH {MERGED_SQL} SELECT {COLUMNS_SQL} FROM merged")
+def cdc_merge_buckets(spark, sf_dir):
+    """The same merge into a table laid out by key, of which only changed buckets are rewritten."""
+    load, changed = changes.split_feed(feed(spark, sf_dir), KEYS)
+    path = new_folder(spark, "buckets")
+    changes.write_buckets(load, path, BUCKETS)
+    changes.merge_buckets(spark, path, changed, ORDER, BUCKETS, on_conflict="latest")
+    return flat(changes.read_buckets(spark, path))
+
+
 SUPPLIER_FEED_SQL = """feed AS (
-    SELECT CAST(NULL AS VARCHAR) AS op, s_suppkey AS id, TIMESTAMP '1970-01-01' AS cdctime,
-        0::BIGINT AS seq, s_name AS akey, s_acctbal AS price
-    FROM supplier WHERE s_suppkey % 3 <> 0
+    SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'I' END AS op, s_suppkey AS id,
+        TIMESTAMP '1970-01-01' AS cdctime, 0::BIGINT AS seq, s_name AS akey, s_acctbal AS price
+    FROM supplier
     UNION ALL
     SELECT CASE l_returnflag WHEN 'R' THEN 'D' WHEN 'A' THEN 'U' ELSE 'I' END, l_suppkey,
         l_shipdate, l_orderkey * 8 + l_linenumber, l_linestatus, l_extendedprice FROM lineitem)"""
@@ -149,10 +166,10 @@ SUPPLIER_FEED_SQL = """feed AS (
 def cdc_merge_by_key(spark, sf_dir):
     """Few keys with many changes each: every line item changes its supplier.
 
-    Each third supplier is not in the target, so that its first insert adds it.
+    Each third supplier is not in the target but the first insert of the feed.
     """
-    loaded = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 3 != 0).select(
-        F.lit(None).cast("string").alias("Op"),
+    loaded = table(spark, sf_dir, "supplier").select(
+        F.when(F.col("s_suppkey") % 3 == 0, "I").alias("Op"),
         F.col("s_suppkey").alias("ID"),
         F.lit("1970-01-01").cast("timestamp_ntz").alias("cdcTime"),
         F.lit(0).cast("long").alias("seq"),
@@ -188,7 +205,7 @@ def cdc_op_counts(spark, sf_dir):
 )
 def feed_without_op(spark, sf_dir):
     """A feed without operations is a full load; it becomes the first snapshot."""
-    plain = feed(spark, sf_dir).filter("seq = 0").select("ID", "cdcTime", "AKEY")
+    plain = loaded_orders(spark, sf_dir).select("ID", "cdcTime", "AKEY")
     load, changed = changes.split_feed(plain, KEYS)
     assert changed is None
     return stored(load, "snapshot")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import spread_join
+from millrace.operators.joins import spread_join, stream_anti_join
 from millrace.plans.registry import query
 from millrace.sources.replay import in_time_order
 from millrace.sources.tables import table, table_stream
@@ -78,16 +78,15 @@ def shipped_in_time(spark, sf_dir, how):
 def match_in_time(shipped, placed, how):
     shipped = shipped.withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
     placed = placed.withColumn("placed", F.col("o_orderdate").cast("timestamp"))
-    joined = spread_join(
-        shipped.drop("l_shipdate").withWatermark("shipped", "10 days"),
-        placed.drop("o_orderdate").withWatermark("placed", "10 days"),
-        "l_orderkey",
-        "o_orderkey",
-        how,
-        within=F.expr("shipped BETWEEN placed AND placed + INTERVAL 90 DAYS"),
-    )
+    shipped = shipped.drop("l_shipdate").withWatermark("shipped", "10 days")
+    placed = placed.drop("o_orderdate").withWatermark("placed", "10 days")
+    within = F.expr("shipped BETWEEN placed AND placed + INTERVAL 90 DAYS")
+    if how == "left_anti":
+        joined = stream_anti_join(shipped, placed, "l_orderkey", "o_orderkey", within)
+    else:
+        joined = spread_join(shipped, placed, "l_orderkey", "o_orderkey", how, within=within)
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("shipped", "placed") if c in joined.columns}
-    keeps_unmatched = how == "left"
+    keeps_unmatched = how in ("left", "left_anti")
     return run_to_table(joined.withColumns(times), idle_batches=keeps_unmatched)
 
 
@@ -109,6 +108,17 @@ def stream_stream_semi(spark, sf_dir):
     return shipped_in_time(spark, sf_dir, "left_semi")
 
 
+@query(
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate AS shipped FROM lineitem
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE {IN_TIME}) AND l_shipdate <
+        least((SELECT max(l_shipdate) FROM lineitem), (SELECT max(o_orderdate) FROM orders))
+        - INTERVAL 10 DAY"""
+)
+def stream_stream_anti(spark, sf_dir):
+    """Items without an order in time, released once the watermark has passed their last chance."""
+    return shipped_in_time(spark, sf_dir, "left_anti")
+
+
 # Rows without a partner come out once the watermark, which trails the slower stream, has
 # passed the last moment at which a partner could still have arrived.
 WATERMARK = """(SELECT least((SELECT max(l_shipdate) FROM lineitem),

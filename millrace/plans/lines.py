@@ -180,10 +180,10 @@ def parquet_merge_schema(spark, sf_dir):
     return run_to_table(parquet_stream(spark, folder, max_files=1))
 
 
-@query("SELECT unnest(string_split(text, chr(10))) AS value FROM documents WHERE lang = 'en'")
+@query("SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def line_source(spark, sf_dir):
     """Lines of text files as a stream. A carriage return ends a line too, so it is replaced."""
-    documents = table(spark, sf_dir, "documents").filter("lang = 'en'").select("text")
+    documents = table(spark, sf_dir, "documents").select("text")
     written = documents.withColumn("text", F.replace("text", F.lit("\r"), F.lit("\x1f")))
     folder = exported(spark, written, "text")
     lines = run_to_table(text_lines(spark, "text", path=folder))

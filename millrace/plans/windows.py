@@ -9,7 +9,7 @@ from millrace.operators import windows
 from millrace.plans.registry import query
 from millrace.sources.replay import in_time_order
 from millrace.sources.tables import table, table_stream
-from millrace.streaming.runtime import run_to_table
+from millrace.streaming.runtime import run_to_table, run_to_table_with_watermark
 
 
 def value_total():
@@ -207,10 +207,78 @@ def window_rows(spark, sf_dir):
     return run_to_table(windows.window_rows(events, "ts", "1 day", "12 hours"))
 
 
+def closed_by_difference(df, time, delay, width, slide, measures, keys=()):
+    """Closed buckets from the stream, and the closed windows from them.
+
+    A bucket leaves the state once; the watermark it ended with says which windows are whole.
+    """
+    marked = df if delay is None else df.withWatermark(time, delay)
+    buckets = windows.bucket_totals(marked, time, slide, measures, keys)
+    closed, mark = run_to_table_with_watermark(buckets)
+    until = F.lit(mark).cast("timestamp")
+    return without_zone(
+        windows.windows_by_difference(closed, width, slide, list(measures), keys, until)
+    )
+
+
 @query(closed_sql(sliding_sql("count(*) AS count", "events", "ts", 3600, 30), "events", "ts", "1 HOUR"))
 def window_count(spark, sf_dir):
     events = zoned_events(spark, sf_dir)
-    return closed_sliding(events, "ts", "1 hour", "60 minutes", "30 seconds", row_count())
+    return closed_by_difference(events, "ts", "1 hour", "60 minutes", "30 seconds", row_count())
+
+
+@query(
+    """SELECT start, start + INTERVAL 1 DAY AS "end", event_type, total,
+        CAST(row_number() OVER (PARTITION BY start ORDER BY total DESC, event_type) AS INTEGER) AS rank
+    FROM (SELECT date_trunc('day', ts) AS start, event_type, round(sum(value), 4) AS total
+        FROM events GROUP BY ALL)
+    WHERE start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+    QUALIFY rank <= 3"""
+)
+def window_top3_closed(spark, sf_dir):
+    """The three leading event types of each closed day, ranked inside the stream."""
+    top = windows.closed_top(
+        zoned_events(spark, sf_dir), "ts", "2 hours", "1 day", "event_type", F.col("value"), k=3
+    )
+    return rounded(run_to_table(without_zone(top)))
+
+
+@query(
+    """SELECT start, start + INTERVAL 1 DAY AS "end", event_type, total FROM (
+        SELECT date_trunc('day', ts) AS start, event_type, round(sum(value), 4) AS total
+        FROM events GROUP BY ALL)
+    WHERE start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY total DESC, event_type) = 1"""
+)
+def window_top1_closed(spark, sf_dir):
+    """The leading event type of each closed day; one row of state per open day and step."""
+    top = windows.closed_top(
+        zoned_events(spark, sf_dir), "ts", "2 hours", "1 day", "event_type", F.col("value")
+    )
+    return rounded(run_to_table(without_zone(top).drop("rank")))
+
+
+DISTINCT_USERS_SQL = sliding_sql("count(DISTINCT user_id) AS users", "events", "ts", 86400, 3600)
+
+
+@query(
+    f"""SELECT start, "end", true AS close FROM ({DISTINCT_USERS_SQL})
+    WHERE "end" <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
+)
+def window_distinct_sketch(spark, sf_dir):
+    """Distinct users per day and hour of start, each estimate held against the exact count.
+
+    ``close`` allows four standard errors.
+    """
+    users = windows.closed_sliding_distinct(
+        zoned_events(spark, sf_dir), "ts", "2 hours", "1 day", "1 hour", "user_id"
+    )
+    estimated = run_to_table(without_zone(users))
+    by_hour = table(spark, sf_dir, "events").select(F.date_trunc("hour", "ts").alias("ts"), "user_id").distinct()
+    exact = by_hour.groupBy(F.window("ts", "1 day", "1 hour")).agg(F.countDistinct("user_id").alias("users"))
+    exact = exact.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "users")
+    close = F.abs(F.col("distinct") - F.col("users")) <= F.greatest(F.lit(1), F.col("users") * 0.065)
+    return estimated.join(exact, "start").select("start", "end", close.alias("close"))
 
 
 ARRIVED_WORDS_SQL = f"""(SELECT arrived, word FROM
@@ -229,7 +297,10 @@ def closed_words_sql(totals):
 
 @query(closed_words_sql(sliding_sql("count(*) AS count", ARRIVED_WORDS_SQL, "arrived", 60, 30, "word")))
 def window_word_count(spark, sf_dir):
-    return closed_words(spark, sf_dir, "60 seconds", "30 seconds", row_count(), ["word"])
+    marked = arrivals(spark, sf_dir).withWatermark("arrived", "20 seconds")
+    return closed_by_difference(
+        text.words(marked), "arrived", None, "60 seconds", "30 seconds", row_count(), ["word"]
+    )
 
 
 def closed_words(spark, sf_dir, width, slide, measures, keys=(), prepare=None):

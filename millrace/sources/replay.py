@@ -6,9 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.session import new_folder
 
+#: Rows in a micro-batch of a replayed table, and rows in one of its files.
+RANGE_ROWS = 20_000_000
+FILE_ROWS = 200_000
+
 
 def replay_batches(
     spark: SparkSession, batches: Sequence[Sequence[tuple]], schema: str, path: str
@@ -23,24 +28,36 @@ def replay_batches(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(path)
 
 
-def in_time_order(df: DataFrame, time: str, slices: int = 2) -> DataFrame:
+def in_time_order(df: DataFrame, time: str, slices: int | None = None) -> DataFrame:
     """A stream of a table's rows by event time, one range of times per micro-batch.
 
     A table's files are in no order of time, so a watermark would drop rows of the files that
-    come later. The ranges hold about equally many rows and are written to shared storage one
-    after another, each as one file; choose ``slices`` so that a range fits a file. Rows
-    without a time come first.
+    come later. One pass divides the table into ranges of about equally many rows, RANGE_ROWS
+    at most unless ``slices`` is given; the ranges then follow each other into the folder of
+    the stream, each as the same number of files, which its tasks write side by side and one
+    micro-batch reads. Rows without a time come first.
     """
     spark = df.sparkSession
-    path = new_folder(spark, "replay")
-    shares = [k / slices for k in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(time, shares).alias("b")).first().b if shares else []
-    slot = F.lit(0)
-    for bound in sorted(set(bounds or [])):
-        slot = slot + F.coalesce(F.col(time) > F.lit(bound), F.lit(False)).cast("int")
-    for number in range(len(set(bounds or [])) + 1):
-        df.filter(slot == number).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    slices = slices or max(2, -(-df.count() // RANGE_ROWS))
+    shares = [k / slices for k in range(1, slices)] or [0.5]
+    seen = df.agg(F.percentile_approx(time, shares).alias("b"), F.max(time).alias("last")).first()
+    bounds = [b for b in sorted(set(seen.b or [])) if b < seen.last] if slices > 1 else []
+    path, staged = new_folder(spark, "replay"), new_folder(spark, "ranges")
+    number = "_".join(["range", *df.columns])  # longer than any of them
+    place = F.lit(0)
+    for bound in bounds:
+        place = place + F.coalesce(F.col(time) > F.lit(bound), F.lit(False)).cast("int")
+    df.withColumn(number, place).write.partitionBy(number).parquet(staged)
+    ranged = spark.read.schema(StructType([*df.schema.fields]).add(number, "integer")).parquet(staged)
+    sizes = {row[number]: row["count"] for row in ranged.groupBy(number).count().collect()}
+    files = min(*sizes.values(), -(-max(sizes.values()) // FILE_ROWS)) if sizes else 1
+    for one in sorted(sizes):
+        part = spark.read.schema(df.schema).parquet(f"{staged}/{number}={one}")
+        turn = F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")
+        part.repartitionById(files, turn).write.mode("append").parquet(path)
+    if not sizes:
+        df.write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def rows_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

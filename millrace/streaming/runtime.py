@@ -133,6 +133,22 @@ def run_to_table(
         return spark.createDataFrame([], schema)
 
 
+def run_to_table_with_watermark(df: DataFrame) -> tuple[DataFrame, str | None]:
+    """As ``run_to_table`` in append mode, with the watermark of the last micro-batch as ISO text."""
+    spark = df.sparkSession
+    base = new_folder(spark, "run")
+    query = finish(
+        start(df, format="parquet", options={"path": f"{base}/table"}, checkpoint=f"{base}/checkpoint")
+    )
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if p["eventTime"]]
+    try:
+        return spark.read.schema(df.schema).parquet(f"{base}/table"), marks[-1] if marks else None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], df.schema), None
+
+
 def show_stream(df: DataFrame, mode: str = "append", rows: int = 20, **kwargs) -> StreamingQuery:
     """Console sink."""
     return start(df, mode=mode, format="console", options={"numRows": str(rows)}, **kwargs)
