@@ -12,6 +12,7 @@ padding.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,6 +36,8 @@ PIECE_SCHEMA = (
     " sequence_id long, offset long"
 )
 SPECIAL = "<|endoftext|>"
+LONG_RUN = 10_000
+BLANK_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 
 
 @lru_cache
@@ -43,7 +46,9 @@ def encoder(path: str):
 
     The vocabulary file is the one of the ``tokenizers`` library; byte-level BPE itself is
     run by tiktoken with the ranks of that file, seven times as fast with the same ids. Texts
-    that contain the special token go through ``tokenizers``.
+    that contain the special token or a very long run, which the backtracking pattern of
+    tiktoken cannot take, go through ``tokenizers``, and so do all texts if the file asks for
+    other steps than plain byte-level BPE.
     """
     import json
 
@@ -51,7 +56,14 @@ def encoder(path: str):
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        parts = json.load(file)
+    model, steps = parts["model"], parts.get("pre_tokenizer") or {}
+    slow = Tokenizer.from_file(path)
+    if (
+        steps.get("type") != "ByteLevel" or steps.get("add_prefix_space") or not steps.get("use_regex", True)
+        or parts.get("normalizer") or model.get("type", "BPE") != "BPE"
+    ):
+        return lambda texts: [slow.encode(text, add_special_tokens=False).ids for text in texts]
     visible = byte_letters()
     special = {SPECIAL}
     ranks = {
@@ -63,11 +75,10 @@ def encoder(path: str):
         r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     )
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [
-            slow.encode(text, add_special_tokens=False).ids if SPECIAL in text
+            slow.encode(text, add_special_tokens=False).ids if SPECIAL in text or long_run(text)
             else fast.encode_ordinary(text)
             for text in texts
         ]
@@ -75,6 +86,13 @@ def encoder(path: str):
     return encode
 
 
+def long_run(text: str) -> bool:
+    """Whether white space or anything else goes on for LONG_RUN characters."""
+    if len(text) < LONG_RUN:
+        return False
+    return BLANK_RUN.search(text) is not None or max(map(len, text.split()), default=0) >= LONG_RUN
+
+
 @lru_cache
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary.

@@ -254,6 +254,17 @@ def test_packing_round_trip(docs, empty, clashing):
     assert packing.pack(clashing, TOKENIZER).count() > 0
 
 
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000, "\t" * 2_000_000, "a" * 2_000_000, "a" + " " * 1_000_000 + "b", "the " * 5000 + "\n" * 12000 + "x",
+])
+def test_encoder_takes_long_runs(text):
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert packing.encoder(TOKENIZER)([text]) == [ids]
+    assert packing.long_run(text) and not packing.long_run("some words " * 9000)
+
+
 def test_encoder_equals_tokenizers(spark):
     import os
 
