@@ -34,8 +34,8 @@ from millrace.llm.elias_fano import Trie
 
 STRENGTH = 200.0
 #: Text in a block and tokens per bucket; both bound what a task holds.
-BLOCK_BYTES = 10 << 20
-BUCKET_TOKENS = 3 << 19
+BLOCK_BYTES = 6 << 20
+BUCKET_TOKENS = 3 << 18
 #: A context with more training tokens is divided by its second words.
 CONTEXT_TOKENS = 1 << 16
 #: A bigram in more texts of a block than this goes back as one number for the block.
@@ -148,7 +148,7 @@ def _blocks(block_bytes: int):
                 tokens.append(np.array([*(of.setdefault(w, len(of)) for w in words), 0], np.uint32))
                 keys.append(key)
                 learn.append(bool(own))
-                held += len(text or "")
+                held += len((text or "").encode("utf-8", "surrogatepass"))
                 if held >= block_bytes:
                     yield block()
         if keys:
