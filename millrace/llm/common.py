@@ -94,7 +94,7 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return ids[moved], ids[root[moved]]
 
 
-def components(links: DataFrame, limit: int = 64) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Smallest id reachable from each linked id, as (node, component).
 
     ``links`` has integer columns ``a`` and ``b``. Large-star and small-star steps (Kiveris
@@ -109,7 +109,7 @@ def components(links: DataFrame, limit: int = 64) -> DataFrame:
         "links",
     )
     seen = None
-    for _ in range(limit):
+    while True:
         mark = links.agg(
             F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(b % 1000003)")
         ).first()
@@ -117,8 +117,6 @@ def components(links: DataFrame, limit: int = 64) -> DataFrame:
             break
         seen = mark
         links = written(_small_star(_large_star(links)), "links")
-    else:
-        raise RuntimeError("links did not settle")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
