@@ -31,8 +31,11 @@ from millrace.llm.common import free_name, written
 LONGEST = 4
 LEAST = 30
 TOP = 2000
-#: A prefix with more than this share of all positions is routed by one word more.
-HOT_SHARE = 1 / 64
+#: A prefix with more than this share of all positions is always routed by one word more, so that
+#: there are at most 4096 of each length; with fewer parts a larger share is enough.
+HOT_SHARE = 1 / 4096
+#: Shares of the mean part that one prefix may have.
+PART_SHARES = 4
 #: Positions in a block, text taken at a time, and suffixes a part is meant to hold.
 BLOCK_WORDS = 1 << 20
 CHUNK_BYTES = 2 << 20
@@ -46,6 +49,9 @@ FOLD = bytes.maketrans(
     b"abcdefghijklmnopqrstuvwxyz" + BREAK * len(SEPARATORS),
 )
 
+#: By language and number of words, hashes of prefixes and the prefixes.
+Hot = dict[str, dict[int, tuple[np.ndarray, set[tuple[bytes, ...]]]]]
+
 BLOCK = "lang string, n long, bytes long, vocabulary binary, codes binary, hot binary"
 ROUTED = "part int, lang string, vocabulary binary, codes binary, weights binary, depths binary"
 COUNTED = "lang string, words array<string>, f long"
@@ -215,34 +221,66 @@ def _hash_words(words: Sequence[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
 
 
-def _route(
-    lang: str, rows: np.ndarray, words: Sequence[bytes], hot: set[tuple[bytes, ...]], parts: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Part of each suffix and the number of leading words it was found by."""
-    numbers = {w: i for i, w in enumerate(words)}
-    hashes = _hash_words(words)
-    mark = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
-    depth = np.ones(len(rows), np.int8)
-    below = np.ones(len(rows), bool)
-    for k in range(1, LONGEST):
-        known = [tuple(numbers.get(w, -1) for w in prefix) for prefix in hot if len(prefix) == k]
-        inside = np.zeros(len(rows), bool)
-        for prefix in known:
-            if -1 not in prefix:
-                inside |= (rows[:, :k] == np.array(prefix, np.int32)).all(axis=1)
-        below &= inside
-        depth[below] = k + 1
+def _mixed(code: np.ndarray, word: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        code = np.full(len(rows), mark, np.uint64)
-        for k in range(LONGEST):
-            used = depth > k
-            mixed = (code ^ hashes[rows[:, k]]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-            code = np.where(used, mixed, code)
-    return (code % np.uint64(parts)).astype(np.int32), depth
+        code = (code ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        return code ^ (code >> np.uint64(29))
+
+
+def _prefix_codes(lang: str, rows: np.ndarray, hashes: np.ndarray) -> Iterator[np.ndarray]:
+    """A hash of the first 1, 2, .. words of each row."""
+    mark = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+    code = np.full(len(rows), mark, np.uint64)
+    for k in range(rows.shape[1]):
+        code = _mixed(code, hashes[rows[:, k]])
+        yield code
+
+
+def _hot_runs(
+    rows: np.ndarray, code: np.ndarray, k: int, words: Sequence[bytes], hot: Hot, lang: str
+) -> Iterator[tuple[np.ndarray, tuple[bytes, ...]]]:
+    """Rows of each hot prefix of k words. The rows are in order; hashes only find the few rows
+    whose words are then compared."""
+    known, prefixes = hot[lang][k]
+    found = np.flatnonzero(np.isin(code, known))
+    if len(found):
+        cuts = np.flatnonzero((np.diff(rows[found, :k], axis=0) != 0).any(axis=1)) + 1
+        for run in np.split(found, cuts):
+            prefix = tuple(words[c] for c in rows[run[0], :k])
+            if prefix in prefixes:
+                yield run, prefix
 
 
-def _deal(hot: dict[str, set[tuple[bytes, ...]]], parts: int):
+def _route(
+    lang: str, rows: np.ndarray, words: Sequence[bytes], hot: Hot, parts: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Part of each suffix and the number of leading words it was found by. The rows are in order."""
+    depth = np.ones(len(rows), np.int8)
+    place = np.zeros(len(rows), np.uint64)
+    for k, code in enumerate(_prefix_codes(lang, rows, _hash_words(words)), 1):
+        place = np.where(depth >= k, code, place)
+        if k < LONGEST and lang in hot:
+            for run, _ in _hot_runs(rows, code, k, words, hot, lang):
+                # A prefix is below a hot one only if all its shorter ones are hot.
+                depth[run[depth[run] == k]] = k + 1
+    return (place % np.uint64(parts)).astype(np.int32), depth
+
+
+def hot_index(prefixes: dict[str, set[tuple[bytes, ...]]]) -> Hot:
+    """Per language and number of words: hashes of the hot prefixes, and the prefixes."""
+    index: Hot = {}
+    for lang, found in prefixes.items():
+        index[lang] = {}
+        for k in range(1, LONGEST):
+            some = sorted(p for p in found if len(p) == k)
+            vocabulary = [w for p in some for w in p]
+            rows = np.arange(len(vocabulary)).reshape(-1, k)
+            codes = list(_prefix_codes(lang, rows, _hash_words(vocabulary)))[-1]
+            index[lang][k] = (codes, set(some))
+    return index
+
+
+def _deal(hot: Hot, parts: int):
     """Suffixes of each block, equal ones once, as one row per part."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -252,7 +290,7 @@ def _deal(hot: dict[str, set[tuple[bytes, ...]]], parts: int):
                 rows, weights = _merged(_suffixes(_unpacked(block.codes, np.int32)))
                 if not len(rows):
                     continue
-                part, depth = _route(block.lang, rows, words, hot.get(block.lang, set()), parts)
+                part, depth = _route(block.lang, rows, words, hot, parts)
                 order = np.argsort(part, kind="stable")
                 rows, weights, depth, part = rows[order], weights[order], depth[order], part[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
@@ -372,8 +410,8 @@ def _count(least: int):
     return count
 
 
-def _hot_prefixes(blocks: DataFrame, total: int) -> dict[str, set[tuple[bytes, ...]]]:
-    """Prefixes with a large share of all positions: at most 1 / HOT_SHARE of each length."""
+def _hot_prefixes(blocks: DataFrame, least: int) -> dict[str, set[tuple[bytes, ...]]]:
+    """Prefixes with more than ``least`` occurrences in the blocks where they are frequent."""
 
     def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -388,7 +426,7 @@ def _hot_prefixes(blocks: DataFrame, total: int) -> dict[str, set[tuple[bytes, .
     rows = (
         blocks.select("lang", "hot").mapInPandas(listed, "lang string, prefix binary, weight long")
         .groupBy("lang", "prefix").agg(F.sum("weight").alias("weight"))
-        .where(F.col("weight") > F.lit(int(total * HOT_SHARE)))
+        .where(F.col("weight") > least)
         .collect()
     )
     hot: dict[str, set[tuple[bytes, ...]]] = {}
@@ -397,7 +435,7 @@ def _hot_prefixes(blocks: DataFrame, total: int) -> dict[str, set[tuple[bytes, .
     return hot
 
 
-def _count_hot(hot: dict[str, set[tuple[bytes, ...]]]):
+def _count_hot(hot: Hot):
     """Counts of the hot prefixes in each block."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -405,14 +443,14 @@ def _count_hot(hot: dict[str, set[tuple[bytes, ...]]]):
             found = []
             for block in frame.itertuples(index=False):
                 words = _split(block.vocabulary)
-                numbers = {w: i for i, w in enumerate(words)}
+                if block.lang not in hot:
+                    continue
                 rows, weights = _merged(_suffixes(_unpacked(block.codes, np.int32)))
-                for prefix in hot.get(block.lang, ()):
-                    codes = [numbers.get(w, -1) for w in prefix]
-                    if -1 not in codes:
-                        same = (rows[:, : len(codes)] == np.array(codes, np.int32)).all(axis=1)
+                codes = _prefix_codes(block.lang, rows, _hash_words(words))
+                for k, code in zip(range(1, LONGEST), codes):
+                    for run, prefix in _hot_runs(rows, code, k, words, hot, block.lang):
                         spelled = [w.decode("utf-8", "surrogatepass") for w in prefix]
-                        found.append((block.lang, spelled, int(weights[same].sum())))
+                        found.append((block.lang, spelled, int(weights[run].sum())))
             yield pd.DataFrame(found, columns=["lang", "words", "f"])
 
     return count
@@ -432,11 +470,12 @@ def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     )
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
     total = blocks.agg(F.sum("n").alias("n")).first().n or 0
-    hot = _hot_prefixes(blocks, total)
     parts = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism, -(-total // PART_WORDS),
     )
+    share = max(HOT_SHARE, 1 / (PART_SHARES * parts))
+    hot = hot_index(_hot_prefixes(blocks, int(total * share)))  # at most 3 / HOT_SHARE prefixes
     single = blocks.select("lang", "vocabulary", "codes")
     routed = single.mapInPandas(_deal(hot, parts), ROUTED).repartition(parts, "part")
     found = routed.sortWithinPartitions("part", "lang").mapInPandas(_count(least), COUNTED)

@@ -91,7 +91,8 @@ def test_phrases_in_small_blocks_and_chunks(spark, monkeypatch):
         rows_, weights = phrases._merged(phrases._suffixes(phrases._unpacked(row["codes"], np.int32)))
         assert weights.sum() == row["n"]
         hot = {(b"the",), (b"the", b"same"), (b"x",)}
-        part, depth = phrases._route(row["lang"], rows_, words, hot, 7)
+        index = phrases.hot_index({lang: hot for lang in ("en", "fr", "und")})
+        part, depth = phrases._route(row["lang"], rows_, words, index, 7)
         below = collections.defaultdict(set)
         for r, p, d in zip(rows_, part, depth):
             prefix = tuple(words[c] for c in r[:d])
@@ -104,6 +105,14 @@ def test_phrases_in_small_blocks_and_chunks(spark, monkeypatch):
     assert {k: v for k, v in n.items() if v} == {k: v for k, v in want.items() if v}
 
 
+def test_phrases_of_many_hot_prefixes(spark, monkeypatch):
+    """Parts that hardly take a prefix: nearly all are counted from the blocks or go deeper."""
+    monkeypatch.setattr(phrases, "PART_SHARES", 100)
+    rows = phrase_rows()
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert sorted(tuple(r) for r in phrases.collocations(docs, 3, 90).collect()) == brute_phrases(rows, 3, 90)
+
+
 def test_multikey_quicksort_counts_prefixes():
     rng = np.random.default_rng(3)
     rows = rng.integers(0, 4, (4000, 4)).astype(np.int32)
