@@ -5,7 +5,9 @@ one level, up to a blank line or another level, are passages. A passage is norma
 and white space dropped, lower case) and hashed, and so is each of its lines, since quotes are
 often cut. Quoted hashes are joined to the unquoted passages and lines of earlier messages of
 the conversation. A message replies to the message that holds most of what it quotes at the
-first level, the latest of equals; if it quotes nothing that is found, it starts a thread.
+shallowest level of which anything is found, the latest of equals. So a message whose direct
+parent is missing, or that quotes at ``> >`` only, still joins its thread. If it quotes nothing
+that is found, it starts a thread.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 from millrace.llm.common import written
 
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
-#: A line that introduces a quotation, as mail programs write it.
-INTRODUCTION = re.compile(r"^\s*(?:on\b.*\bwrote|.{0,200}\bwrote|.{0,200}\bschrieb|.{0,200}\ba écrit|.{0,200}\bescribió)\s*:\s*$", re.I)
+#: How mail programs end the line that introduces a quotation.
+WROTE = ("wrote", "schrieb", "a écrit", "escribió")
+#: Characters before that ending, unless the line starts with the word "on".
+BEFORE = 200
 #: Turns of a conversation that one task orders together.
 SPAN = 4096
 
@@ -35,6 +39,19 @@ def quote_level(line: str) -> tuple[int, str]:
     return marks[1].count(">"), line[marks.end() :]
 
 
+def introduces(line: str) -> bool:
+    """Whether a line only introduces a quotation, as in "On Monday A wrote:"."""
+    line = line.strip().lower()
+    if not line.endswith(":"):
+        return False
+    line = line[:-1].rstrip()
+    for verb in WROTE:
+        start = line.removesuffix(verb)
+        if start != line and not re.search(r"\w\Z", start[-1:]):
+            return len(start) <= BEFORE or re.match(r"on\b", start) is not None
+    return False
+
+
 def normalised(text: str) -> str:
     return " ".join(text.lower().split())
 
@@ -67,7 +84,7 @@ def own_text(text: str | None) -> str:
             continue
         while kept and not kept[-1].strip():
             kept.pop()
-        if kept and INTRODUCTION.match(kept[-1]):
+        if kept and introduces(kept[-1]):
             kept.pop()
         if kept and kept[-1] != "":
             kept.append("")
@@ -80,7 +97,7 @@ def hashes(text: str | None) -> list[tuple[int, int, int]]:
     for level, lines in passages(text):
         for part in [lines, *([line] for line in lines if len(lines) > 1)]:
             body = normalised(" ".join(part))
-            if level == 0 and len(part) == 1 and INTRODUCTION.match(part[0]):
+            if level == 0 and len(part) == 1 and introduces(part[0]):
                 continue
             out.append((level, xxhash.xxh64_intdigest(body.encode()) - (1 << 63), body.count(" ") + 1))
     return out
@@ -113,14 +130,19 @@ def parents(messages: DataFrame) -> DataFrame:
         messages.mapInPandas(_parse, "conv long, turn long, level int, hash long, words int"),
         "passages",
     )
-    quoted = parsed.where("level = 1").groupBy("conv", "turn", "hash").agg(F.max("words").alias("words"))
+    quoted = parsed.where("level > 0").groupBy("conv", "turn", "hash").agg(
+        F.min("level").alias("level"), F.max("words").alias("words")
+    )
     wanted = quoted.select("conv", "hash").distinct()
     held = (
         parsed.where("level = 0").select("conv", "hash", "turn").distinct()
         .join(wanted, ["conv", "hash"], "left_semi")
     )
-    events = held.select("conv", "hash", "turn", F.col("turn").alias("at"), F.lit(None).cast("int").alias("words")).union(
-        quoted.select("conv", "hash", "turn", F.lit(None).cast("long").alias("at"), "words")
+    none = F.lit(None)
+    events = held.select(
+        "conv", "hash", "turn", F.col("turn").alias("at"), none.cast("int").alias("level"), none.cast("int").alias("words")
+    ).union(
+        quoted.select("conv", "hash", "turn", none.cast("long").alias("at"), "level", "words")
     ).withColumn("span", F.floor(F.col("turn") / SPAN))
     last = events.groupBy("conv", "hash", "span").agg(F.max("at").alias("last"))
     spans = Window.partitionBy("conv", "hash").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,11 +153,12 @@ def parents(messages: DataFrame) -> DataFrame:
         events.withColumn("near", F.max("at").over(inside))
         .where("words is not null")
         .join(before, ["conv", "hash", "span"])
-        .select("conv", "turn", "words", F.coalesce("near", "before").alias("parent"))
+        .select("conv", "turn", "level", "words", F.coalesce("near", "before").alias("parent"))
         .where("parent is not null")
     )
-    votes = found.groupBy("conv", "turn", "parent").agg(F.sum("words").alias("words"))
-    return votes.groupBy("conv", "turn").agg(F.max(F.struct("words", "parent")).alias("best")).select(
+    votes = found.groupBy("conv", "turn", "level", "parent").agg(F.sum("words").alias("words"))
+    best = F.max(F.struct((-F.col("level")).alias("depth"), "words", "parent")).alias("best")
+    return votes.groupBy("conv", "turn").agg(best).select(
         "conv", "turn", F.col("best.parent").alias("parent")
     )
 

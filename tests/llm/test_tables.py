@@ -228,6 +228,31 @@ def test_quotation_links(spark):
     assert sorted(r["position"] for r in rows if r["conv_id"] == 5) == [0, 1, 2]
 
 
+def test_quotations_of_deeper_levels(spark):
+    """The shallowest level of which a holder is found names the parent."""
+    rows = [
+        (1, 0, "a", "The first proposal."), (1, 1, "b", "Something else."),
+        (1, 2, "c", "> > The first proposal.\nOnly a deep quote."),
+        # The direct parent is not in the table; the message above it is.
+        (1, 3, "d", "> A message that is lost.\n> > The first proposal.\nSo be it."),
+        # The first level wins, though more words are quoted below it.
+        (1, 4, "e", "> Something else.\n> > The first proposal.\n> > Only a deep quote.\nBoth."),
+        (1, 5, "f", "> > > > Only a deep quote.\n> > The first proposal.\nNear before far."),
+        (1, 6, "g", "> > nobody said this\nAlone."),
+    ]
+    found = {r["turn"]: r for r in quotations.conversations(spark.createDataFrame(rows, CONVERSATION)).collect()}
+    assert {t: r["parent_turn"] for t, r in found.items()} == {0: None, 1: None, 2: 0, 3: 0, 4: 1, 5: 0, 6: None}
+    assert {t: r["thread_turn"] for t, r in found.items()} == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1, 5: 0, 6: 6}
+    assert found[3]["body"] == "So be it."
+
+
+def test_introductions():
+    for line in ("On Monday, A wrote:", "  A WROTE : ", "Anna schrieb:", "Jean a \u00e9crit :", "on " + "x " * 400 + "wrote:", "wrote:"):
+        assert quotations.introduces(line), line
+    for line in ("On Monday, A wrote", "A rewrote:", "x " * 400 + "wrote:", "", ":", "Note:", " " * 2_000_000 + "x"):
+        assert not quotations.introduces(line), line[:50]
+
+
 def test_quotations_across_spans(spark, monkeypatch):
     """One long conversation that repeats a passage in most turns, cut into many spans."""
     monkeypatch.setattr(quotations, "SPAN", 4)
