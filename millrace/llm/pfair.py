@@ -13,8 +13,6 @@ any number of slots every source is off its exact target by less than one block.
 Weights are never rounded and nothing is periodic, so no error adds up. The driver holds a few
 numbers a source, and the heap those of sources with several blocks; slots are written as they
 are found, and all rows get theirs by joins. No document is dropped or repeated.
-``whole_weights``, ``one_period`` and ``phases`` are the schedule of whole-number weights by
-PD2, with tests of their own; ``schedule`` does not use them.
 """
 
 from __future__ import annotations
@@ -23,9 +21,8 @@ import heapq
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
 from itertools import islice
-from math import ceil, floor, gcd
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +34,6 @@ from millrace.session import new_folder
 
 #: Characters in a block. A longer document takes up several blocks.
 BLOCK_SIZE = 1 << 16
-#: Parts of ``whole_weights``.
-PARTS = 1 << 12
 #: Fluid times this near to a whole number are that number.
 NEAR = 1e-6
 #: Slots that are sent to Spark at a time.
@@ -47,77 +42,6 @@ PIECE = 200_000
 BUCKET_ROWS = 1_000
 
 
-def whole_weights(weights: Mapping[str, float], parts: int = PARTS) -> dict[str, int]:
-    """Positive weights as whole numbers in lowest terms that sum to about ``parts``."""
-    total = sum(weights.values())
-    rounded = {s: max(1, round(w / total * parts)) for s, w in weights.items()}
-    common = reduce(gcd, rounded.values())
-    return {s: w // common for s, w in rounded.items()}
-
-
-def one_period(weights: Mapping[str, int]) -> dict[str, list[int]]:
-    """Slots of each source within one period of sum(weights) slots, in block order."""
-    period = sum(weights.values())
-    slots: dict[str, list[int]] = {s: [] for s in weights}
-    waiting = [(0, s) for s in sorted(weights)]  # (release, source)
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, source = heapq.heappop(waiting)
-            heapq.heappush(ready, (*_urgency(weights, source, len(slots[source]) + 1), source))
-        source = heapq.heappop(ready)[-1]
-        slots[source].append(slot)
-        done = len(slots[source])
-        if done < weights[source]:
-            heapq.heappush(waiting, (done * period // weights[source], source))
-    return slots
-
-
-def _urgency(weights: Mapping[str, int], source: str, block: int) -> tuple[int, int, int]:
-    """Deadline, then the PD2 ties: an overlapping next window first, then a later group deadline."""
-    period, w = sum(weights.values()), weights[source]
-    deadline = -(-block * period // w)
-    overlaps = deadline > block * period // w
-    group = 0
-    if 2 * w > period and overlaps:
-        # The end of the run of two-slot windows that overlap each other.
-        later = block
-        while True:
-            later += 1
-            end = -(-later * period // w)
-            if end - (later - 1) * period // w == 3 or end == later * period // w:
-                break
-        group = end - 1 if end - (later - 1) * period // w == 3 else end
-    return deadline, -int(overlaps), -group
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[dict]:
-    """Phases between the ends of sources: first slot, weights, blocks each source has had.
-
-    A phase ends with the slot that holds the last block of some source.
-    """
-    left = {s: n for s, n in blocks.items() if n}
-    had = dict.fromkeys(left, 0)
-    out, first = [], 0
-    while left:
-        own = whole_weights({s: weights[s] for s in left}, sum(weights[s] for s in left))
-        pattern, period = one_period(own), sum(own.values())
-        last = min(
-            (n - 1) // own[s] * period + pattern[s][(n - 1) % own[s]] for s, n in left.items()
-        )
-        length = last + 1
-        out.append({"first": first, "period": period, "pattern": pattern, "had": dict(had)})
-        for s in list(left):
-            done = length // period * own[s] + sum(x < length % period for x in pattern[s])
-            had[s] += done
-            left[s] -= done
-            if not left[s]:
-                del left[s]
-        first += length
-    return out
-
-
 def tempered(size: Column, power: float = 0.5) -> Column:
     """Target weight: sizes to a power below one raise small sources and lower large ones."""
     return F.pow(F.greatest(size, F.lit(1)).cast("double"), F.lit(power))
@@ -167,7 +91,8 @@ def schedule(
     A source without a weight is refused. A null source is the source ''. There may be any
     number of sources; the driver keeps some 100 bytes of each, more of those with several blocks. Sizes are in
     characters, and a null or empty text has size 1. ``release`` and ``due`` are slots. A
-    document stands at the block in which it starts. Equal rows get places of their own.
+    document stands at the block in which it starts. Equal rows get places of their own; copies of
+    one row, equal in all columns, are numbered together. Map columns are left out of the order.
     Columns of ``docs`` named like a result column are replaced. An empty table gives none.
     """
     names = ("source_block", "release", "due", "slot", "place")
@@ -180,7 +105,8 @@ def schedule(
         *own,
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias(name),
         F.greatest(F.length(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(1)).cast("long").alias(size),
-        F.xxhash64(F.col(key)).alias(order),
+        # Of the whole row, so that the rows of a repeated or null key are spread too.
+        F.xxhash64(*[f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString()]).alias(order),
     )
     total = docs.select(F.lit(1)).count()
     buckets = max(1, -(-total // BUCKET_ROWS))
@@ -190,7 +116,7 @@ def schedule(
     )
     counts = written(rows.groupBy(name, bucket).agg(F.sum(size).alias("n")), "sizes")
     sources = _sources(counts.groupBy(name).agg(F.sum("n").alias("n")), weights, name, block_size)
-    inside = Window.partitionBy(name, bucket).orderBy(order, key, F.xxhash64(*[f"`{c}`" for c in own]))
+    inside = Window.partitionBy(name, bucket).orderBy(order, key)
     earlier = Window.partitionBy(name).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(name, bucket, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start))
     # The slots of a bucket's blocks come with the bucket, so that texts are not dealt out again.
