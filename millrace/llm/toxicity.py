@@ -11,6 +11,7 @@ driver over a bounded sample; scoring runs batch by batch in the tasks, over who
 from __future__ import annotations
 
 import pickle
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -25,17 +26,18 @@ from millrace.llm.common import (
     crc_remainder, free_name, hash_below, ragged_ranges, texts_in, words_of, written,
 )
 
+#: A word in UTF-8, as ``words_of`` finds them.
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 WINDOW, STRIDE = 64, 32
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
 #: Character trigrams are hashed into this many vectors.
 CHAR_ROWS = 1 << 14
 #: The training sample: at most so many documents of label 0 and of label 1, and so many
-#: characters times that, which bounds what the driver holds. Documents of at most this many
-#: characters are drawn first. Scoring reads whole texts.
+#: characters times that, which bounds what the driver holds. Scoring reads whole texts.
 SAMPLE, SAMPLE_CHARS = (2400, 800), 6000
-#: Longer documents are sampled whole up to LONG_CHARS characters, or more if the sample has
-#: room; of those longer still, as many characters in PIECES pieces spread over the whole text.
-LONG_CHARS, PIECES = 4 * SAMPLE_CHARS, 40
+#: A sampled text beyond its share of the characters is read in so many pieces, spread over the
+#: whole text.
+PIECES = 40
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 #: A small sample is gone through more often, until there were so many steps.
 UPDATES = 200
@@ -43,8 +45,10 @@ UPDATES = 200
 #: is left out at this rate, so that the trigrams learn too.
 SPREAD, DROPOUT = 6, 0.3
 DECAY = 1e-5
-#: Windows that one step of scoring holds, and words whose inputs a task keeps.
-STEP, CACHE = 2048, 200_000
+#: Windows that one step of scoring holds, and bytes of words whose inputs a task keeps.
+STEP, CACHE = 2048, 96 << 20
+#: A longer word is read as several words of so many bytes.
+LONG_WORD = 1024
 THRESHOLD = 0.7
 GATES = 3 * HIDDEN
 
@@ -60,6 +64,14 @@ def trigrams(word: bytes) -> list[int]:
     ]
 
 
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words of a text; words beyond LONG_WORD bytes come in parts."""
+    words = words_of(text)
+    if text is None or len(text) <= LONG_WORD // 4 or max(map(len, words), default=0) <= LONG_WORD:
+        return words
+    return [w[i : i + LONG_WORD] for w in words for i in range(0, len(w), LONG_WORD)]
+
+
 def windows_of(n_words: int) -> list[tuple[int, int]]:
     """Starts and lengths of all overlapping windows; an empty text has one empty window."""
     if n_words <= WINDOW:
@@ -88,6 +100,16 @@ class Words:
     chars: list[list[int]] = field(default_factory=list)
     gates: dict[str, np.ndarray] = field(default_factory=dict)
     done: int = 0
+    held: int = 0  # bytes of the words
+
+    def limit(self) -> None:
+        """Forget all words once they hold more than CACHE bytes.
+
+        A word of n bytes counts as 400 + 12 n: its numbers, its gates and its trigrams.
+        """
+        if self.held > CACHE:
+            self.rows, self.known, self.chars, self.gates = {}, [], [], {}
+            self.done = self.held = 0
 
     def projected(self) -> dict[str, np.ndarray]:
         """Gate inputs of all words so far; each word's are computed once."""
@@ -116,6 +138,7 @@ class Words:
                     if out[i] == len(self.known):
                         self.known.append(self.model.words.get(word, 0))
                         self.chars.append(trigrams(word))
+                        self.held += 400 + 12 * len(word)
         return np.array(out, np.int64)
 
 
@@ -300,7 +323,7 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
     label of a text says that its worst window is toxic or that none is. A fifth of the sample
     is kept for the calibration. With one label only, every score is that label's share.
     """
-    tokens = [words_of(text) for text, _ in samples]
+    tokens = [tokens_of(text) for text, _ in samples]
     labels = np.array([label for _, label in samples], np.float32)
     spread = Counter(word for text in tokens for word in set(text))
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= SPREAD), 1)}
@@ -397,49 +420,38 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on at most SAMPLE documents of the labels whose id is not held out.
 
-    The sample is the first ids with a text by their hash, so that it is the same for the same
-    table. If there are fewer than SAMPLE documents of up to SAMPLE_CHARS characters of a label,
-    longer ones follow until there are SAMPLE documents or SAMPLE * SAMPLE_CHARS characters.
-    Other labels than 0 and 1 and labels without a document are ignored; without any labelled
-    row all scores are one half. Rows that share a sampled id all belong to the sample, up to
-    its size.
+    The sample is the first labelled texts by a hash of id and text, whatever their length, so
+    that it is the same for the same table; equal rows count once. It holds at most SAMPLE *
+    SAMPLE_CHARS characters of a label: if the drawn texts have more, all of them are cut to the
+    same share, and a text beyond it is read in PIECES pieces spread over the whole of it.
+    Labels other than 0 and 1, null ids, null texts and labels without a document are ignored;
+    without any labelled row all scores are one half.
     """
     known = (
         labels.where(F.col("toxic").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
-        .select(
-            F.xxhash64("doc_id").alias("place"), F.col("doc_id").cast("string").alias("l_key"),
-            F.col("toxic").cast("int").alias("y"),
-        )
+        .select(F.col("doc_id").cast("string").alias("l_key"), F.col("toxic").cast("int").alias("y"))
         .where("l_key is not null")
         .distinct()
     )
-    texts = docs.select(F.col(key).cast("string").alias("l_key"), F.col(text).cast("string").alias("body")).where(
-        "l_key is not null and body is not null"
+    texts = (
+        docs.select(F.col(key).cast("string").alias("l_key"), F.col(text).cast("string").alias("body"))
+        .where("l_key is not null and body is not null")
+        .withColumn("place", F.xxhash64("l_key", "body"))
     )
-    sizes = texts.groupBy("l_key").agg(F.min(F.length("body")).alias("chars"))
-    found = written(known.join(sizes, "l_key"), "labelled")
-    # Ids first, by hash; about twice the wanted number, so that there are enough. Only texts of
-    # chosen ids come to the driver, and only ids go out to the tasks.
-    long = F.col("chars") > SAMPLE_CHARS
-    totals = {(y, far): n for y, far, n in found.groupBy("y", long).count().collect()}
+    # Only numbers are joined; copies of a row become one before they meet their labels.
+    sizes = texts.groupBy("l_key", "place").agg(F.min(F.length("body")).alias("chars"))
+    found = written(sizes.join(known, "l_key"), "labelled")
+    totals = dict(found.groupBy("y").count().collect())
     chosen = []
     for y, most in enumerate(SAMPLE):
-        n_short, n_long = totals.get((y, False), 0), totals.get((y, True), 0)
-        some = found.where(F.col("y") == y)
-        if n_short:
-            few = some.where(~long & hash_below(F.col("place"), 2 * most, n_short))
-            chosen += [(*r, SAMPLE_CHARS, False) for r in few.select("place", "l_key", "y").collect()]
-        places = most - n_short
-        if places > 0 and n_long:
-            left = places * SAMPLE_CHARS
-            cap = max(LONG_CHARS, left // n_long)
-            many = some.where(long & hash_below(F.col("place"), 2 * places, n_long))
-            for place, l_key, chars in sorted(many.select("place", "l_key", "chars").collect())[:places]:
-                left -= min(cap, chars)
-                if left < 0:
-                    break
-                chosen.append((place, l_key, y, cap, True))
-    picked = docs.sparkSession.createDataFrame(chosen, "place long, l_key string, y int, cap long, far boolean")
+        if not totals.get(y):
+            continue
+        # About twice the wanted number by their hash, so that there are enough.
+        some = found.where(F.col("y") == y).where(hash_below(F.col("place"), 2 * most, totals[y]))
+        drawn = sorted(map(tuple, some.select("place", "l_key", "chars").collect()))[:most]
+        cap = even_share([chars for *_, chars in drawn], most * SAMPLE_CHARS)
+        chosen += [(place, l_key, y, cap) for place, l_key, _ in drawn]
+    picked = docs.sparkSession.createDataFrame(chosen, "place long, l_key string, y int, cap long")
     size, piece = F.length("body"), F.floor(F.col("cap") / PIECES)
     pieces = [
         F.substring(
@@ -448,21 +460,71 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for i in range(PIECES)
     ]
     rows = (
-        texts.join(F.broadcast(picked), "l_key")
-        # Of an id with short texts, these only.
-        .where((size <= SAMPLE_CHARS) | F.col("far"))
-        .select("y", "place", F.when(size <= F.col("cap"), F.col("body")).otherwise(F.concat_ws("\n", *pieces)).alias("body"))
+        texts.join(F.broadcast(picked), ["place", "l_key"])
+        .select(
+            "place", "l_key", "y",
+            F.when(size <= F.col("cap"), F.col("body")).otherwise(F.concat_ws("\n", *pieces)).alias("body"),
+        )
+        .dropDuplicates(["place", "l_key", "y"])
         .collect()
     )
-    samples = []
-    for y in (0, 1):
-        samples += sorted((r["place"], r["body"], y) for r in rows if r["y"] == y)[: SAMPLE[y]]
-    return train([(text, y) for _, text, y in sorted(samples)])
+    return train([(r["body"], r["y"]) for r in sorted(rows, key=lambda r: (r["place"], r["l_key"], r["y"]))])
+
+
+def even_share(sizes: list[int], total: int) -> int:
+    """The largest c for which the sizes, each cut to c, sum to at most ``total``."""
+    left = total
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > left:
+            return left // (len(sizes) - i)
+        left -= size
+    return max(sizes, default=0)
+
+
+def pieces_of(text: str | None) -> Iterator[list[bytes]]:
+    """Words of a text in pieces that have exactly its windows: each piece starts at a window.
+
+    A text of up to STEP * STRIDE characters is one piece. A longer one is cut into its words
+    from left to right, so that a task never holds all of them.
+    """
+    most = STEP * STRIDE
+    if text is None or len(text) <= most:
+        yield tokens_of(text)
+        return
+    body, held = text.encode("utf-8", "surrogatepass").lower(), []
+    for found in WORD.finditer(body):
+        first, last = found.span()
+        held += [body[i : min(i + LONG_WORD, last)] for i in range(first, last, LONG_WORD)]
+        while len(held) >= most + WINDOW:
+            yield held[: most + WINDOW - STRIDE]
+            held = held[most:]
+    yield held
 
 
 def score_texts(model: Model, words: Words, texts: list[str | None]) -> np.ndarray:
-    logits = logits_of(model, words, [words.number(words_of(t)) for t in texts])
-    return sigmoid(np.clip(model.slope * logits + model.shift, -40, 40))
+    """Scores of whole texts; ``words`` is emptied whenever it holds too much."""
+    best = np.full(len(texts), -np.inf)
+    owners: list[int] = []
+    group: list[list[bytes]] = []
+
+    def flush() -> None:
+        if owners:
+            words.limit()
+            np.maximum.at(best, owners, logits_of(model, words, [words.number(t) for t in group]))
+            owners.clear()
+            group.clear()
+
+    held = 0
+    for i, text in enumerate(texts):
+        for piece in pieces_of(text):
+            owners.append(i)
+            group.append(piece)
+            held += len(piece)
+            if held >= STEP * STRIDE:
+                flush()
+                held = 0
+    flush()
+    return sigmoid(np.clip(model.slope * best + model.shift, -40, 40))
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
@@ -483,8 +545,6 @@ def scored(docs: DataFrame, model: Model, name: str = "score", text: str = "text
         for batch in batches:
             scores = []
             for at in range(0, batch.num_rows, 256):
-                if len(words.known) > CACHE:
-                    words = Words(own_model)
                 scores.append(score_texts(own_model, words, texts_in(batch.slice(at, 256), body)))
             columns = [*batch.columns[:-1], pa.array(np.concatenate(scores) if scores else [], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*own, name])

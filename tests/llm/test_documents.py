@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on rows that are awkward on purpose."""
 
 import random
+import re
 import zlib
 from fractions import Fraction
 from math import ceil, floor
@@ -287,21 +288,6 @@ def test_class_lengths_fill_their_bins():
 # --- mixing ---------------------------------------------------------------------------------
 
 
-def test_pfair_deviates_less_than_a_block():
-    rng = random.Random(2)
-    for _ in range(60):
-        weights = pfair.whole_weights({str(i): rng.random() ** 3 + 1e-3 for i in range(rng.randint(1, 20))}, 300)
-        period, slots = sum(weights.values()), pfair.one_period(weights)
-        assert sorted(x for s in slots.values() for x in s) == list(range(period))
-        for s, own in slots.items():
-            had = 0
-            for t in range(period):
-                had += t in own
-                assert abs(had * period - weights[s] * (t + 1)) < period
-            for i, slot in enumerate(own, 1):
-                assert (i - 1) * period // weights[s] <= slot < -(-i * period // weights[s])
-
-
 def test_mixing_places_every_row_once(docs, empty, clashing):
     weights = {"a": 3.0, "b": 1.0, "": 1.0}
     found = pfair.schedule(docs, weights, block_size=500).collect()
@@ -322,18 +308,16 @@ def test_mixing_places_every_row_once(docs, empty, clashing):
     assert mixed.columns == clashing.columns and mixed.count() == clashing.count()
 
 
-def test_phases_use_up_every_block():
-    blocks = {"a": 37, "b": 5, "c": 11, "d": 0}
-    plan = pfair.phases(blocks, {"a": 1, "b": 1, "c": 2, "d": 4})
-    taken, slot = dict.fromkeys(blocks, 0), 0
-    for number, phase in enumerate(plan):
-        end = plan[number + 1]["first"] if number + 1 < len(plan) else sum(blocks.values())
-        assert phase["first"] == slot
-        for t in range(end - slot):
-            owner = [s for s, p in phase["pattern"].items() if t % phase["period"] in p]
-            taken[owner[0]] += 1
-        slot = end
-    assert taken == blocks
+def test_mixing_spreads_rows_of_one_key(spark):
+    """Rows of one id, or of none, get buckets of their own, and a map column does no harm."""
+    table = spark.range(5000).selectExpr(
+        "if(id % 2 = 0, 7L, null) doc_id", "'s' source", "'text ' || id text", "map('k', id) m"
+    )
+    rows = pfair.schedule(table, block_size=100).collect()
+    assert sorted(r["text"] for r in rows) == sorted(f"text {i}" for i in range(5000))
+    assert len({(r["slot"], r["place"]) for r in rows}) == 5000
+    ids = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["slot"], r["place"]))]
+    assert 1000 < sum(i is None for i in ids[:2500]) < 1500
 
 
 def test_slots_stay_in_the_windows_of_the_fluid_schedule():
@@ -579,11 +563,81 @@ def test_toxicity_learns_from_long_texts(spark, monkeypatch):
     assert label == 1 and len(text) < toxicity.SAMPLE[1] * toxicity.SAMPLE_CHARS * 1.01
     assert got[0] == 0 and got[-1] == 799_999
     assert np.histogram(got, 30, (0, 800_000))[0].min() > 1000
-    # With short texts enough, long ones are left to scoring.
-    monkeypatch.setattr(toxicity, "SAMPLE", (5, 5))
+    # Short and long texts are drawn by one rule; those beyond an even share of the characters
+    # come in pieces.
+    monkeypatch.setattr(toxicity, "SAMPLE", (30, 30))
     both = spark.createDataFrame(
         [(i, t) for i, (t, _) in enumerate(longer[:200] + samples[200:])], "doc_id long, text string"
     )
     seen.clear()
-    toxicity.fit(both, labels)
-    assert len(seen) == 10 and all(len(t) <= toxicity.SAMPLE_CHARS for t, _ in seen)
+    toxicity.fit(both.union(both), labels)
+    assert len(seen) == 60 and len(set(seen)) == 60
+    far = [t for t, _ in seen if any(t[:100] in u for u, _ in longer[:200])]
+    assert 15 < len(far) < 45
+    for y in (0, 1):
+        assert sum(len(t) for t, own in seen if own == y) <= 30 * (toxicity.SAMPLE_CHARS + toxicity.PIECES)
+
+
+def test_even_share():
+    assert toxicity.even_share([], 10) == 0 and toxicity.even_share([3, 4], 10) == 4
+    rng = random.Random(5)
+    for _ in range(200):
+        sizes, total = [rng.randint(0, 50) for _ in range(rng.randint(1, 9))], rng.randint(0, 300)
+        cap = toxicity.even_share(sizes, total)
+        assert sum(min(cap, n) for n in sizes) <= total
+        assert cap == max(sizes) or sum(min(cap + 1, n) for n in sizes) > total
+
+
+def plain_score(model, text):
+    """A document's score by loops over single numbers, straight from the definition."""
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+
+    def gate(x):
+        return 1 / (1 + np.exp(-x))
+
+    inputs = []
+    for word in re.findall(rb"[^ \t-\r]+", text.lower().encode()):
+        marked = f"^{word.decode()}$"
+        grams = [zlib.crc32(marked[i : i + 3].encode()) % toxicity.CHAR_ROWS for i in range(len(marked) - 2)]
+        mean = sum(w["char"][g] for g in grams) / len(grams)
+        inputs.append(np.concatenate([w["word"][model.words.get(word, 0)], mean]))
+    logits, start = [], 0
+    while True:
+        window = inputs[start : start + 64]
+        both = []
+        for d, order in (("f", range(len(window))), ("b", range(len(window) - 1, -1, -1))):
+            h, out = np.zeros(8), {}
+            for t in order:
+                p, q = window[t] @ w[f"w{d}"] + w[f"b{d}"], h @ w[f"u{d}"]
+                r, z = gate(p[:8] + q[:8]), gate(p[8:16] + q[8:16])
+                n = np.tanh(p[16:] + r * (q[16:] + w[f"c{d}"]))
+                h = (1 - z) * n + z * h
+                out[t] = h
+            both.append(out)
+        states = [np.concatenate([both[0][t], both[1][t]]) for t in range(len(window))]
+        marks = [np.exp(np.tanh(s @ w["aw"] + w["ab"]) @ w["av"]) for s in states]
+        pooled = sum(m * s for m, s in zip(marks, states, strict=True)) / sum(marks) if states else np.zeros(16)
+        logits.append(pooled @ w["ow"] + w["ob"][0])
+        if start + 64 >= len(inputs):
+            return gate(model.slope * max(logits) + model.shift)
+        start += 32
+
+
+def test_toxicity_equals_a_plain_forward_pass(toxic_model, monkeypatch):
+    texts = [t for t, _ in made_samples(25, 6)] + ["", "IDIOT", "\u00c4rger \u4f60\u597d vile"]
+    wanted = [plain_score(toxic_model, t) for t in texts]
+    assert toxicity.score_texts(toxic_model, toxicity.Words(toxic_model), texts) == pytest.approx(wanted, abs=1e-4)
+    # Small pieces and a cache that is always full change nothing.
+    monkeypatch.setattr(toxicity, "STEP", 3)
+    monkeypatch.setattr(toxicity, "CACHE", 0)
+    assert toxicity.score_texts(toxic_model, toxicity.Words(toxic_model), texts) == pytest.approx(wanted, abs=1e-4)
+
+
+def test_long_words_are_read_in_parts(toxic_model):
+    long = "x" * 3_000_000
+    words = toxicity.Words(toxic_model)
+    parts = " ".join(long[i : i + toxicity.LONG_WORD] for i in range(0, len(long), toxicity.LONG_WORD))
+    one, two = toxicity.score_texts(toxic_model, words, [long + " idiot", parts + " idiot"])
+    assert one == two and max(map(len, words.rows)) <= toxicity.LONG_WORD
+    short = "y" * 1500
+    assert toxicity.tokens_of(short) == [b"y" * 1024, b"y" * 476]
