@@ -33,9 +33,11 @@ def url_host(url: Column) -> Column:
 
     Empty for null and for a text without ``://``. Only ASCII letters change.
     """
-    return F.translate(
-        F.regexp_extract(_rest(url), r"^[^/?#]*", 0), ascii_uppercase, ascii_lowercase
-    )
+    return _lowered(F.regexp_extract(_rest(url), r"^[^/?#]*", 0))
+
+
+def _lowered(host: Column) -> Column:
+    return F.translate(host, ascii_uppercase, ascii_lowercase)
 
 
 def url_path(url: Column) -> Column:
@@ -70,7 +72,7 @@ def match_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
 
     Null urls and urls without ``://`` have an empty host and path and fit no rule with a
     host. Rules with a null host, path or verdict are ignored; a repeated rule counts once,
-    and if it is repeated with both verdicts it blocks. A url that no rule fits is allowed
+    and if it is repeated with both verdicts it blocks. A-Z in rule hosts are lower-cased too. A url that no rule fits is allowed
     and its rule is null. Columns of ``urls`` named like a result column are replaced.
     An empty table gives an empty result.
     """
@@ -83,7 +85,7 @@ def match_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
 
     rules = (
         rules.where("host is not null and path is not null and verdict is not null")
-        .groupBy(F.lower("host").alias("rule_host"), F.col("path").alias("rule_path"))
+        .groupBy(_lowered(F.col("host")).alias("rule_host"), F.col("path").alias("rule_path"))
         .agg(F.max("verdict").alias("rule_verdict"))  # 'block' sorts after 'allow'
         .withColumn("rule_digest", _digest(F.col("rule_host"), F.col("rule_path")))
         .withColumn("short", _short(F.col("rule_digest")))
