@@ -424,6 +424,82 @@ def test_licences_inside_long_lines(license_model):
         assert families(f"{some(n)} Released under the MIT License. {some(99)}") == ["mit"], n
 
 
+LOOK_ALIKES = [
+    ("GNU Affero General Public License, version 3", ["agpl"]),
+    ("Eclipse Public License - v 2.0", ["epl"]),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0", ["cc-by-nc-sa"]),
+    ("CC BY-NC-SA 4.0", ["cc-by-nc-sa"]),
+    ("The Unlicense", ["unlicense"]),
+    ("EUPL", []),
+    ("Licensed under the European Union Public Licence, version 1.2.", []),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", ["cc-by-nc-nd"]),
+    ("Licensed under CC BY 4.0.", ["cc-by"]),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["cc-by"]),
+    ("Licensed under the Server Side Public License, version 1.", []),
+    ("Licensed under the Sun Public License, Version 1.0.", []),
+    ("Licensed under the GNU Lesser General Public License, version 3.", ["lgpl"]),
+    ("Licensed under the GNU Free Documentation License, version 1.3 or later.", []),
+]
+
+
+def test_licences_that_look_alike(license_model):
+    """Each line alone and inside other words; nothing that it does not name is confirmed."""
+    templates = licenses.template_bigrams()
+    rng = random.Random(12)
+    letters = "abdeghilmnorstu"
+    wrong = []
+    for line, wanted in LOOK_ALIKES:
+        for size in (0, 3, 60):
+            some = ["".join(rng.choices(letters, k=rng.randint(4, 8))) for _ in range(2 * size)]
+            text = " ".join([*some[:size], line, *some[size:]])
+            spans = licenses.judge(license_model, text, templates)[1]
+            got = sorted({s["family"] for s in spans if s["confirmed"]})
+            if got != wanted and (size == 0 or set(got) - set(wanted)):
+                wrong.append((line, size, got))
+    assert not wrong
+
+
+def test_licence_names():
+    assert licenses.named("under the gnu lesser general public license and cc by-nc-sa 4.0".split()) == {"lgpl", "cc-by-nc-sa"}
+    assert licenses.named("the eupl or the gpl".split()) == {"", "gpl"}
+    for family, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            own = licenses.named(licenses.WORD.findall(text.lower()))
+            assert not own or own == {family}, text
+
+
+def test_licence_confirmation_by_brute_force(license_model):
+    """All windows of a line, each by its own: the family of the classifier, the shared bigrams
+    counted in lists, the name looked for in a text."""
+    rng = random.Random(13)
+    lines = [t for t, _ in LOOK_ALIKES] + [t for some in licenses.TEMPLATES.values() for t in some]
+    for _ in range(60):
+        parts = [rng.choice([*lines, "and so on", "the end of the text"]) for _ in range(rng.randint(1, 3))]
+        line = " ".join(parts)
+        words = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", line.lower())
+        possible = set()
+        for a, b in licenses.windows_of(len(words)):
+            p = license_model.probabilities([words[a:b]])[0]
+            k = int(p[1:].argmax())
+            if p[k + 1] < license_model.threshold - 1e-9:
+                continue
+            family = license_model.families[k]
+            own = list(zip(words[a:b], words[a + 1 : b], strict=False))
+            for text in licenses.TEMPLATES[family]:
+                t = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
+                theirs = list(zip(t, t[1:], strict=False))
+                both = [x for x in set(own) if x in theirs]
+                if len(both) >= 0.6 * max(min(len(set(own)), len(set(theirs))), min(3, len(set(own)))):
+                    possible.add(family)
+        spans = licenses.judge(license_model, line, licenses.template_bigrams())[1]
+        got = {s["family"] for s in spans if s["confirmed"]}
+        assert got <= possible
+        plain = f" {line.lower().replace('-', ' ')} "
+        for family in got - {"reserved"}:
+            # A text of its own, or a name.
+            assert any(t in parts for t in licenses.TEMPLATES[family]) or any(n in plain for n in licenses.NAMES[family])
+
+
 def test_windows_are_classified_as_lines_are(license_model):
     rng = random.Random(9)
     known = sorted({w for g in license_model.vocabulary for w in g.split()})
