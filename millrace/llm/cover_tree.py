@@ -2,15 +2,17 @@
 
 On unit vectors a cosine of at least c is a distance of at most sqrt(2 - 2c), so all bounds
 are metric. Equal vectors form one class and only classes are compared. The classes are dealt
-to cells around pivots and cut into blocks; each block gets a cover tree whose nested levels
+to cells around pivots, large cells again to cells around pivots of their own, and neighbouring
+small cells share a block; each block gets a cover tree whose nested levels
 have halving radii, and every node keeps the exact radius that covers its points. Pairs of
 blocks, then pairs of nodes level by level, are dropped when the distance of their centres
 exceeds both radii and the threshold distance together, and taken whole when even their
 farthest points must be linked. Pairs of points that are still open are compared in double
 precision on the vectors themselves.
 
-A task holds two blocks. It returns counts of links per class and a spanning forest of them;
-pairs are never listed.
+Pairs of blocks are worked off in tiles of some blocks by some blocks. A tree travels once to a
+tile; a task holds the trees of one side of the tile, and those of the other pass by. It returns
+counts of links per class and a spanning forest of them; pairs are never listed.
 """
 
 from __future__ import annotations
@@ -20,17 +22,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, forest, hash_below, ragged_ranges, written
 
 THRESHOLD = 0.95
-#: Vectors in a block; a task holds two blocks.
+#: Vectors in a block, at most, but for cells that only their hash can cut.
 BLOCK = 4096
+#: Blocks along a side of a tile, at most; a task holds so many trees of some 10 MB.
+SIDE = 8
+#: Nodes of an upper level, at most, by which a block is known before its tree is sent.
+NODES = 16
+#: Pivots that a large cell is dealt to, and vectors from which they are taken.
+FAN, FAN_SAMPLE = 16, 64
 #: The pivots of the cells are chosen from about this many vectors.
 SAMPLE = 8192
 MAX_CELLS = 4096
+#: Characters of a cell's name that hold the length of its vectors, and that and its first pivot.
+WIDTH, TOP = 9, 14
 #: Block centres that are held together when pairs of blocks are looked for.
 CENTRES = 16384
 #: Radii of the levels. Unit vectors are at most 2 apart; below the last radius, points.
@@ -309,39 +319,156 @@ def _pivots(sample: np.ndarray, n: int) -> np.ndarray:
 def _plant(rows: pd.DataFrame) -> pd.DataFrame:
     tree = Tree(np.stack(rows["vector"].to_numpy()).astype(np.float64))
     root = tree.levels[0]
+    few = [level for level in tree.levels if len(level["at"]) <= NODES][-1]
     ids, weights = rows["class_id"].to_numpy(), rows["n"].to_numpy()
     blob = pickle.dumps((tree, ids[tree.order], weights[tree.order]), protocol=5)
     return pd.DataFrame(
         {
             "block": [rows["block"].iloc[0]], "centre": [root["centre"][0]],
-            "radius": [float(root["radius"][0])], "tree": [blob],
+            "radius": [float(root["radius"][0])],
+            "nodes": [few["centre"].ravel()], "radii": [few["radius"]], "tree": [blob],
         }
     )
 
 
+def _near_order(pivots: np.ndarray) -> np.ndarray:
+    """Rank of each pivot in an order in which near pivots are near each other.
+
+    The first pivots are centres of a cover of all, so that the nearest of the first 4, 16, 64,
+    ... pivots are the nodes above a pivot.
+    """
+    keys, size = [], 4
+    while size < len(pivots):
+        keys.append((pivots @ pivots[:size].T).argmax(1))
+        size *= 4
+    order = np.lexsort((np.arange(len(pivots)), *reversed(keys)))
+    rank = np.empty(len(pivots), np.int64)
+    rank[order] = np.arange(len(pivots))
+    return rank
+
+
+def _choose(rows: pd.DataFrame) -> pd.DataFrame:
+    """Up to FAN different vectors of a cell, drawn by hash."""
+    points = unit(np.stack(rows.sort_values("class_id")["vector"].to_numpy()))
+    return pd.DataFrame({"cell": [rows["cell"].iloc[0]], "pivots": [_pivots(points, FAN).ravel()]})
+
+
+def _deal_again(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+    """Some rows of a large cell, dealt to the cells around its pivots."""
+    if not len(rows):
+        return rows[["class_id", "n", "vector", "cell"]]
+    points = unit(np.stack(rows["vector"].to_numpy()))
+    some = np.zeros((0, points.shape[1]))
+    if len(pivots):
+        some = np.asarray(pivots["pivots"].iloc[0]).reshape(-1, points.shape[1])
+    if len(some) > 1:
+        nearest = _near_order(some)[(points @ some.T).argmax(1)]
+        parts = [f"{c}.{k:02d}" for c, k in zip(rows["cell"], nearest, strict=True)]
+    else:
+        # Vectors of one direction; the hash is all that tells them apart.
+        parts = [f"{c}.x{k}" for c, k in zip(rows["cell"], rows["salt"], strict=True)]
+    return rows[["class_id", "n", "vector"]].assign(cell=parts)
+
+
+def _in_small_cells(placed: DataFrame) -> DataFrame:
+    """Cells of more than a quarter of a block dealt to cells around pivots of their own, until
+    there are none. A cell that is hard to divide loses at least its pivots in each round."""
+    most = max(1, BLOCK // 4)
+    done = None
+    while True:
+        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+        # A cell cut by hash stays as it is.
+        large = written(sizes.where((F.col("size") > most) & ~F.col("cell").contains("x")), "large-cells")
+        if not large.limit(1).count():
+            return placed if done is None else done.union(placed)
+        rest = placed.join(large, "cell", "left_anti").select("class_id", "n", "vector", "cell")
+        done = rest if done is None else done.union(rest)
+        cuts = F.ceil(F.col("size") / most)
+        mine = placed.join(large, "cell").withColumn("salt", F.expr(f"pmod(class_id, ceil(size / {most}))"))
+        drawn = mine.where(F.expr(f"pmod(xxhash64(class_id), size) < {FAN_SAMPLE}"))
+        pivots = written(
+            drawn.select("cell", "class_id", "vector").groupBy("cell").applyInPandas(
+                _choose, "cell string, pivots array<double>"
+            ),
+            "pivots",
+        )
+        salted = pivots.join(large, "cell").select(
+            "cell", "pivots", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("salt")
+        )
+        placed = written(
+            mine.groupBy("cell", "salt").cogroup(salted.groupBy("cell", "salt")).applyInPandas(
+                _deal_again, "class_id long, n long, vector array<double>, cell string"
+            ),
+            "cells",
+        )
+
+
+def _in_blocks(placed: DataFrame) -> DataFrame:
+    """Rows with their ``block``: blocks are numbered from 0, and near cells share one."""
+    spark = placed.sparkSession
+    room = max(1, BLOCK - BLOCK // 4)
+    sizes = written(
+        placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+        .withColumn("top", F.substring("cell", 1, TOP)),
+        "cell-sizes",
+    )
+    # Top cells in order, with the rows before each: at most MAX_CELLS a length of vectors.
+    before, width, tops = 0, None, []
+    for top, size in sorted(map(tuple, sizes.groupBy("top").agg(F.sum("size")).collect())):
+        if top[:WIDTH] != width:  # blocks hold vectors of one length
+            before, width = -(-before // room) * room, top[:WIDTH]
+        tops.append((top, before))
+        before += size
+    firsts = spark.createDataFrame(tops, "top string, before long")
+    earlier = Window.partitionBy("top").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    where = (
+        sizes.withColumn("inside", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+        .join(F.broadcast(firsts), "top")
+        .select("cell", F.floor((F.col("before") + F.col("inside")) / room).cast("long").alias("block"))
+    )
+    return placed.join(where, "cell").select("class_id", "n", "vector", "block")
+
+
 def _meet(threshold: float):
+    """Compare the trees of a tile, which come in order: tile, side, block."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tile, held = None, []
         for batch in batches:
-            for one, two in zip(batch["tree"], batch["other"], strict=True):
-                a, ids_a, weight_a = pickle.loads(one)
-                same = two is None
-                b, ids_b, weight_b = (a, ids_a, weight_a) if same else pickle.loads(two)
-                na, nb, x, y = links(a, b, weight_a, weight_b, ids_a, ids_b, threshold)
-                ids, counts = (ids_a, na) if same else (np.r_[ids_a, ids_b], np.r_[na, nb])
-                some = counts > 0
-                size = int(some.sum()) + len(x)
-                yield pd.DataFrame(
-                    {
-                        "class_id": np.r_[ids[some], x],
-                        "n": np.r_[counts[some], np.zeros(len(x), np.int64)],
-                        "least": np.r_[np.full(int(some.sum()), -1), y],
-                        "tie": np.arange(size) >= int(some.sum()),
-                    }
-                )
+            for here, side, block, partners, blob in zip(
+                *(batch[c] for c in ("tile", "side", "block", "partners", "tree")), strict=True
+            ):
+                if here != tile:
+                    tile, held = here, []
+                own = pickle.loads(blob)
+                if side == 0:
+                    held.append((block, own))
+                    continue
+                wanted = set(partners)
+                for other, theirs in held:
+                    if other in wanted:
+                        yield _links_of(theirs, theirs if other == block else own, threshold)
 
     return run
 
 
+def _links_of(one: tuple, two: tuple, threshold: float) -> pd.DataFrame:
+    a, ids_a, weight_a = one
+    b, ids_b, weight_b = two
+    na, nb, x, y = links(a, b, weight_a, weight_b, ids_a, ids_b, threshold)
+    ids, counts = (ids_a, na) if a is b else (np.r_[ids_a, ids_b], np.r_[na, nb])
+    some = counts > 0
+    size = int(some.sum()) + len(x)
+    return pd.DataFrame(
+        {
+            "class_id": np.r_[ids[some], x],
+            "n": np.r_[counts[some], np.zeros(len(x), np.int64)],
+            "least": np.r_[np.full(int(some.sum()), -1), y],
+            "tie": np.arange(size) >= int(some.sum()),
+        }
+    )
+
+
 def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Link counts and ties of distinct vectors (class_id, n, vector).
 
@@ -357,56 +484,46 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pivots = {
         w: _pivots(unit(np.array([r[0] for r in drawn if len(r[0]) == w])), cells) for w in widths
     }
-    sent = spark.sparkContext.broadcast(pivots)
+    # At most MAX_CELLS vectors a length.
+    sent = spark.sparkContext.broadcast({w: (p, _near_order(p)) for w, p in pivots.items()})
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             widths = batch["vector"].map(len).to_numpy()
-            cell = np.empty(len(batch), np.int64)
+            cell = np.empty(len(batch), object)
             for width in np.unique(widths):
                 own = np.flatnonzero(widths == width)
-                near = sent.value.get(width)
-                nearest = 0
+                near, rank = sent.value.get(width, (None, None))
+                nearest = np.zeros(len(own), np.int64)
                 if near is not None:
                     points = unit(np.stack(batch["vector"].iloc[own].to_numpy()))
-                    nearest = (points @ near.T).argmax(1)
-                cell[own] = width * MAX_CELLS + nearest
+                    nearest = rank[(points @ near.T).argmax(1)]
+                cell[own] = [f"{width:0{WIDTH}d}.{k:0{TOP - WIDTH - 1}d}" for k in nearest]
             yield batch.assign(cell=cell)
 
     placed = written(
-        classes.mapInPandas(deal, "class_id long, n long, vector array<double>, cell long"), "cells"
+        classes.mapInPandas(deal, "class_id long, n long, vector array<double>, cell string"), "cells"
     )
-    # A cell larger than a block is cut by hash; its blocks meet each other like any others.
-    # Cells smaller than a block share one, for vectors of the same length.
-    sizes = {r[0]: r[1] for r in placed.groupBy("cell").count().collect()}  # at most MAX_CELLS a length
-    table, number, room, width = [], 0, 0, None
-    for cell, size in sorted(sizes.items()):
-        if cell // MAX_CELLS != width or size > room:
-            number, room, width = number + 1, BLOCK, cell // MAX_CELLS
-        cuts = -(-size // BLOCK)
-        table.append((cell, number, cuts))
-        room -= size
-        number += cuts - 1
-    where = spark.createDataFrame(table, "cell long, first_block long, cuts long")
     blocks = written(
-        placed.join(F.broadcast(where), "cell")
-        .select(
-            "class_id", "n", "vector",
-            (F.col("first_block") + F.expr("pmod(xxhash64(class_id), cuts)")).alias("block"),
-        )
-        .groupBy("block")
-        .applyInPandas(
-            _plant, "block long, centre array<double>, radius double, tree binary"
+        _in_blocks(_in_small_cells(placed)).groupBy("block").applyInPandas(
+            _plant,
+            "block long, centre array<double>, radius double, nodes array<double>,"
+            " radii array<double>, tree binary",
         ),
         "trees",
     )
-    pairs = written(_block_pairs(blocks, threshold), "block-pairs")
-    first = blocks.select(F.col("block").alias("one"), "tree")
-    second = blocks.select(F.col("block").alias("two"), F.col("tree").alias("other"))
+    pairs = written(_node_pairs(blocks, _block_pairs(blocks, threshold), threshold), "block-pairs")
+    # Tiles as large as leaves every core some of them.
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    side = min(SIDE, max(1, int((pairs.count() / (4 * tasks)) ** 0.5)))
+    tiled = pairs.select(F.expr(f"shiftleft(one div {side}, 31) + two div {side}").alias("tile"), "one", "two")
+    rows = tiled.select("tile", F.lit(0).alias("side"), F.col("one").alias("block"), F.array().cast("array<long>").alias("partners"))
+    columns = tiled.groupBy("tile", F.col("two").alias("block")).agg(F.collect_set("one").alias("partners"))
+    needed = rows.distinct().union(columns.select("tile", F.lit(1).alias("side"), "block", "partners"))
     return written(
-        pairs.join(first, "one").join(second, "two")
-        .select("tree", F.when(F.col("one") != F.col("two"), F.col("other")).alias("other"))
-        .repartition(max(1, spark.sparkContext.defaultParallelism), F.xxhash64("tree", "other"))
+        needed.join(blocks.select("block", "tree"), "block")
+        .select("tile", "side", "block", "partners", "tree")
+        .repartition(4 * tasks, "tile").sortWithinPartitions("tile", "side", "block")
         .mapInPandas(_meet(threshold), "class_id long, n long, least long, tie boolean"),
         "vector-links",
     )
@@ -420,7 +537,7 @@ def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     spark = blocks.sparkSession
     reach = float(np.sqrt(2.0 - 2.0 * threshold))
     roots = blocks.select("block", "centre", "radius")
-    top = roots.agg(F.max("block")).first()[0]
+    top = roots.agg(F.max("block")).first()[0]  # blocks are numbered without great gaps
     found = None
     for start in range(0, (top or 0) + 1, CENTRES):
         part = roots.where(F.col("block").between(start, start + CENTRES - 1)).collect()
@@ -446,6 +563,26 @@ def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     return found
 
 
+def _node_pairs(blocks: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of blocks that the nodes of an upper level of their trees do not rule out.
+
+    A block of several small cells is far wider than any of its nodes.
+    """
+    reach = float(np.sqrt(2.0 - 2.0 * threshold))
+
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            open_ = []
+            for a, r, b, t in zip(*(batch[c] for c in ("a", "r", "b", "t")), strict=True):
+                gaps = distances(a.reshape(len(r), -1), b.reshape(len(t), -1))
+                open_.append(bool((gaps <= r[:, None] + t + reach + SLACK).any()))
+            yield batch.loc[open_, ["one", "two"]]
+
+    first = blocks.select(F.col("block").alias("one"), F.col("nodes").alias("a"), F.col("radii").alias("r"))
+    second = blocks.select(F.col("block").alias("two"), F.col("nodes").alias("b"), F.col("radii").alias("t"))
+    return pairs.join(first, "one").join(second, "two").mapInPandas(test, "one long, two long")
+
+
 def linked(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:

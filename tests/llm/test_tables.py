@@ -74,6 +74,39 @@ def test_cover_tree_links(spark, monkeypatch, block):
     assert found == brute_links(rows, 0.95)
 
 
+def test_cover_tree_prunes_blocks(spark, monkeypatch):
+    """Of clustered vectors most pairs of blocks are never made; nothing is lost."""
+    monkeypatch.setattr(cover_tree, "BLOCK", 64)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(30, 24))
+    rows = [(i, [float(x) for x in centres[i % 30] + rng.normal(size=24) * 0.12]) for i in range(3000)]
+    # A cell far larger than a block whose vectors have one direction.
+    rows += [(3000 + i, [float(x) for x in centres[0] * (1 + i)]) for i in range(400)]
+    made, plain = [], cover_tree._node_pairs
+
+    def counted(blocks, pairs, threshold):
+        pairs = plain(blocks, pairs, threshold).cache()
+        made.append((blocks.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(cover_tree, "_node_pairs", counted)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((str(r[0]), r[1], str(r[2])) for r in cover_tree.linked(table).collect())
+    assert found == brute_links(rows, 0.95)
+    (blocks, pairs), = made
+    assert blocks >= 50 and pairs < blocks * (blocks + 1) / 2 * 0.25, made
+
+
+def test_near_order():
+    rng = np.random.default_rng(10)
+    points = cover_tree.unit(rng.normal(size=(8, 16))[rng.integers(0, 8, 400)] + rng.normal(size=(400, 16)) * 0.05)
+    pivots = cover_tree._pivots(points, 100)
+    rank = cover_tree._near_order(pivots)
+    assert sorted(rank.tolist()) == list(range(len(pivots)))
+    walk = pivots[np.argsort(rank)]
+    assert (walk[1:] * walk[:-1]).sum(1).mean() > (pivots[1:] * pivots[:-1]).sum(1).mean()
+
+
 def test_cover_tree_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert cover_tree.linked(table).count() == 0
