@@ -591,7 +591,8 @@ def linked(
     Vectors that are null, empty, zero or hold a null or non-finite component link with
     nothing and are components of their own. Equal vectors are linked with each other. Rows
     with the same key are different vectors for the counts; a null key is linked like any
-    other and named only where its component has no other key. Other columns are not read.
+    other and named only where its component has no other key. Keys must be whole numbers or text of
+    such. Other columns are not read.
     An empty table gives an empty result.
     """
     rows = vectors.select(

@@ -366,6 +366,7 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
     The model learns from the texts whose crc32 of the id (as text) modulo ``fold`` is not 1. A
     null or empty text is one end token. A null id counts as the empty text. Rows with the same
     id are texts of their own. Without training texts N and V are 0. Other columns are not read.
+    Ids must be whole numbers or text of such. One huge text is one block, which one task holds.
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -409,26 +410,3 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int =
         F.col("key").alias(key), (~F.col("learned")).alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), "base_score", "score",
     )
-
-
-def brute_scores(texts: list[tuple[bool, str | None]], strength: float = STRENGTH) -> list[tuple]:
-    """(n_tokens, n_known, train_tokens, base_score, score) of each text, straight from counts."""
-    from collections import Counter
-    from math import log10
-
-    lists = [[*words_of(text), None] for _, text in texts]
-    single, double = Counter(), Counter()
-    for (learn, _), words in zip(texts, lists, strict=True):
-        if learn:
-            single.update(words)
-            double.update(zip([None, *words], words, strict=False))
-    n, v = sum(single.values()), len(single)
-    out = []
-    for words in lists:
-        p = [(single[w] + 0.5) / (n + 0.5 * (v + 1)) for w in words]
-        bigram = [
-            (double[a, b] + strength * q) / (single[a] + strength)
-            for a, b, q in zip([None, *words], words, p, strict=False)
-        ]
-        out.append((len(words), sum(single[w] > 0 for w in words), n, sum(map(log10, p)), sum(map(log10, bigram))))
-    return out

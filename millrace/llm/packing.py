@@ -187,7 +187,8 @@ def pack(
     Returns per piece: doc_id, start (the document's ids before it), length, ids_crc32 (of its
     ids as little-endian unsigned 32-bit numbers), doc_tokens, sequence_id and offset. A
     document is its ids and the end id; a null or empty text is the end id alone. Rows with a
-    null or repeated key are packed as documents of their own. Other columns are not read.
+    null or repeated key are packed as documents of their own. Keys must be whole numbers or text
+    of such. Other columns are not read.
     ``tokenizer`` is a vocabulary file that every executor has. An empty table gives none.
     """
 

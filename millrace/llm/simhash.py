@@ -316,7 +316,8 @@ def deduplicated(
 ) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest key.
 
-    Of equal rows with that key one stays. Nulls are treated as in ``groups``.
+    Of equal rows with that key one stays; rows that differ in map columns only count as equal.
+    Nulls are treated as in ``groups``.
     """
     k, code = free_name(docs, "kept_key"), free_name(docs, "kept_code")
     hashable = [f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString()]
