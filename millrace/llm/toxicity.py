@@ -13,8 +13,9 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,6 +48,8 @@ SPREAD, DROPOUT = 6, 0.3
 DECAY = 1e-5
 #: Windows that one step of scoring holds, and bytes of words whose inputs a task keeps.
 STEP, CACHE = 2048, 96 << 20
+#: Words whose gate inputs are computed together.
+BLOCK = 1 << 13
 #: A longer word is read as several words of so many bytes.
 LONG_WORD = 1024
 THRESHOLD = 0.7
@@ -97,7 +100,7 @@ class Words:
     model: Model
     rows: dict[bytes, int] = field(default_factory=dict)
     known: list[int] = field(default_factory=list)
-    chars: list[list[int]] = field(default_factory=list)
+    chars: list[array] = field(default_factory=list)
     gates: dict[str, np.ndarray] = field(default_factory=dict)
     done: int = 0
     held: int = 0  # bytes of the words
@@ -121,8 +124,7 @@ class Words:
                     grown[: self.done] = self.gates[d][: self.done]
                 self.gates[d] = grown
         if n > self.done:
-            weights = self.model.weights
-            fresh = project(weights, word_inputs(weights, self.known[self.done :], self.chars[self.done :]))
+            fresh = gates_of(self.model.weights, self.known[self.done :], self.chars[self.done :])
             for d in "fb":
                 self.gates[d][self.done : n] = fresh[d]
             self.done = n
@@ -137,12 +139,12 @@ class Words:
                     out[i] = self.rows.setdefault(word, len(self.known))
                     if out[i] == len(self.known):
                         self.known.append(self.model.words.get(word, 0))
-                        self.chars.append(trigrams(word))
+                        self.chars.append(array("i", trigrams(word)))
                         self.held += 400 + 12 * len(word)
         return np.array(out, np.int64)
 
 
-def word_inputs(weights: dict, known: list[int], chars: list[list[int]]) -> np.ndarray:
+def word_inputs(weights: dict, known: Sequence[int], chars: Sequence[Sequence[int]]) -> np.ndarray:
     """Word vector and mean trigram vector of each word."""
     if not known:
         return np.zeros((0, WORD_DIM + CHAR_DIM), np.float32)
@@ -157,6 +159,16 @@ def project(weights: dict, inputs: np.ndarray) -> dict[str, np.ndarray]:
     return {d: inputs @ weights[f"w{d}"] + weights[f"b{d}"] for d in "fb"}
 
 
+def gates_of(weights: dict, known: Sequence[int], chars: Sequence[Sequence[int]]) -> dict[str, np.ndarray]:
+    """Gate inputs of words, BLOCK words at a time."""
+    out = {d: np.empty((len(known), GATES), np.float32) for d in "fb"}
+    for at in range(0, len(known), BLOCK):
+        some = slice(at, at + BLOCK)
+        for d, rows in project(weights, word_inputs(weights, known[some], chars[some])).items():
+            out[d][some] = rows
+    return out
+
+
 # --- network --------------------------------------------------------------------------------
 
 
@@ -323,9 +335,15 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
     label of a text says that its worst window is toxic or that none is. A fifth of the sample
     is kept for the calibration. With one label only, every score is that label's share.
     """
-    tokens = [tokens_of(text) for text, _ in samples]
     labels = np.array([label for _, label in samples], np.float32)
-    spread = Counter(word for text in tokens for word in set(text))
+    # Texts are split again for their numbers: the driver never holds the words of all texts.
+    spread: Counter[bytes] = Counter()
+    toxic: Counter[bytes] = Counter()
+    for text, label in samples:
+        some = set(tokens_of(text))
+        spread.update(some)
+        if label:
+            toxic.update(some)
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in spread.items() if n >= SPREAD), 1)}
     model = Model(start_weights(len(vocabulary) + 1, seed), vocabulary)
     if len(set(labels.tolist())) < 2:
@@ -333,26 +351,27 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
         model.slope, model.shift = 0.0, float(np.log(share / (1 - share)))
         return model
     words = Words(model)
-    texts = [words.number(text) for text in tokens]
+    texts = [words.number(tokens_of(text)).astype(np.int32) for text, _ in samples]
+    words.rows.clear()  # all words have their numbers
     # The first word input starts as the log odds of the word among the labels.
     odds = np.zeros(len(vocabulary) + 1, np.float32)
     base = np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
-    toxic = Counter(w for text, label in zip(tokens, labels, strict=True) if label for w in set(text))
     for w, i in vocabulary.items():
         ratio = np.log((toxic[w] + 0.5) / (spread[w] - toxic[w] + 0.5)) - base
         odds[i] = ratio * spread[w] / (spread[w] + 20)
+    del spread, toxic
     model.weights["word"][:, 0] = odds * 0.3
     fit = np.arange(len(texts)) % 5 != 4
     steps, live, owner = _grid([t for t, own in zip(texts, fit, strict=True) if own])
     y = labels[fit]
     sizes = np.fromiter(map(len, words.chars), np.int64, len(words.chars))
-    flat = np.fromiter((c for w in words.chars for c in w), np.int64, int(sizes.sum()))
+    flat = np.fromiter((c for w in words.chars for c in w), np.int32, int(sizes.sum()))
     begins = np.cumsum(sizes) - sizes
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
     random, count = np.random.default_rng(seed), 0
     epochs = max(EPOCHS, UPDATES // max(1, -(-int(fit.sum()) // BATCH)))
     for epoch in range(epochs):
-        gates = project(model.weights, word_inputs(model.weights, words.known, words.chars))
+        gates = gates_of(model.weights, words.known, words.chars)
         got = np.concatenate(
             [forward(model.weights, gates, steps[:, a : a + STEP], live[:, a : a + STEP])
              for a in range(0, steps.shape[1], STEP)]
@@ -378,6 +397,7 @@ def train(samples: list[tuple[str | None, int]], seed: int = 7) -> Model:
             np.add.at(grads["char"], flat[at], share)
             count += 1
             _adam(model.weights, grads, moments, count, RATE * (1 - epoch / epochs))
+    del gates
     held = [t for t, own in zip(texts, fit, strict=True) if not own]
     model.slope, model.shift = _calibrate(logits_of(model, words, held), labels[~fit])
     return model
