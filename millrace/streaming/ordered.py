@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-WAITING = "at long, tie long, value double"
-RECENT = "value double"
+# Rows lie in the state as packed columns, many to an entry: an entry costs much more than a row.
+WAITING = "at binary, tie binary, value binary"
+KEPT = "timer long, recent binary"
+PACKED = ("int64", "int64", "float64")
 
 
 class OrderedMeans(StatefulProcessor):
@@ -21,7 +23,7 @@ class OrderedMeans(StatefulProcessor):
     Rows wait in a list state. One timer per key stands at its earliest waiting row; when the
     watermark passes it, the rows up to the watermark leave in order, CHUNK at a time, and the
     timer moves to the earliest row that is left. Between timers only the last n - 1 values
-    stay beside the waiting rows.
+    stay beside the waiting rows. A missing value is NaN.
     """
 
     CHUNK = 10_000
@@ -33,67 +35,67 @@ class OrderedMeans(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", WAITING)
-        self.recent = handle.getListState("recent", RECENT)
-        self.timer = handle.getValueState("timer", "at long")
-
-    def _wake_at(self, micros: int) -> None:
-        """Let the timer stand at the earliest of its place and this time."""
-        # The watermark must have passed the whole millisecond.
-        at = micros // 1000
-        held = self.timer.get()
-        if held is not None:
-            if held[0] <= at:
-                return
-            self.handle.deleteTimer(held[0])
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
+        self.kept = handle.getValueState("kept", KEPT)
+
+    def _packed(self, columns: list[np.ndarray]) -> list[tuple]:
+        starts = range(0, len(columns[0]), self.CHUNK)
+        return [tuple(c[i:i + self.CHUNK].tobytes() for c in columns) for i in starts]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
         for frame in rows:
             if not len(frame):
                 continue
-            values = frame["held_value"]
-            self.waiting.appendList([
-                (int(at), int(tie), None if missing else float(v))
-                for at, tie, v, missing in zip(frame["held_at"], frame["held_tie"], values, values.isna())
-            ])
-            self._wake_at(int(frame["held_at"].min()))
+            held = ("held_at", "held_tie", "held_value")
+            columns = [frame[c].to_numpy(kind) for c, kind in zip(held, PACKED)]
+            self.waiting.appendList(self._packed(columns))
+            first = int(columns[0].min())
+            earliest = first if earliest is None else min(earliest, first)
+        if earliest is not None:
+            # The watermark must have passed the whole millisecond.
+            at = earliest // 1000
+            timer, recent = self.kept.get() or (None, b"")
+            if timer is None or at < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(at)
+                self.kept.update((at, recent))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        due, left = [], []
-        for row in self.waiting.get():
-            (due if row[0] <= until else left).append(tuple(row))
-        due.sort(key=lambda row: row[:2])
-        self.timer.clear()
-        if left:
-            self.waiting.put(left)
-            self._wake_at(min(row[0] for row in left))
+        entries = [tuple(row) for row in self.waiting.get()]
+        columns = [
+            np.frombuffer(b"".join(row[i] for row in entries), kind) for i, kind in enumerate(PACKED)
+        ]
+        is_due = columns[0] <= until
+        left = [c[~is_due] for c in columns]
+        at, tie, value = (c[is_due] for c in columns)
+        order = np.lexsort((tie, at))
+        at, tie, value = at[order], tie[order], value[order]
+        kept = self.kept.get()
+        window = np.concatenate([np.frombuffer(kept[1] if kept else b"", "float64"), value])
+        timer = None
+        if len(left[0]):
+            timer = int(left[0].min()) // 1000
+            self.waiting.put(self._packed(left))
+            self.handle.registerTimer(timer)
         else:
             self.waiting.clear()
-        window = deque((row[0] for row in self.recent.get()), maxlen=self.n)
-        out = []
-        for at, tie, value in due:
-            window.append(value)
-            if len(window) == self.n:
-                present = [v for v in window if v is not None]
-                mean = math.fsum(present) / len(present) if present else None
-                out.append((key[0], at, tie, value, mean))
-            if len(out) == self.CHUNK:
-                yield self._frame(out)
-                out = []
-        kept = list(window)[-(self.n - 1):] if self.n > 1 else []
-        if kept:
-            self.recent.put([(v,) for v in kept])
-        if out:
-            yield self._frame(out)
-
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=self.columns)
-        time = self.columns[1]
-        frame[time] = pd.to_datetime(frame[time], unit="us", utc=True)
-        return frame.astype({self.columns[3]: "float64", self.columns[4]: "float64"})
+        self.kept.update((timer, window[max(0, len(window) - (self.n - 1)):].tobytes()))
+        values = window.tolist()
+        whole = max(0, len(values) - self.n + 1)
+        skipped = len(at) - whole
+        for i in range(0, whole, self.CHUNK):
+            means = [self._mean(values[j:j + self.n]) for j in range(i, min(whole, i + self.CHUNK))]
+            rows = slice(skipped + i, skipped + i + len(means))
+            times = pd.DatetimeIndex(at[rows].view("datetime64[us]"), tz="UTC")
+            data = ([key[0]] * len(means), times, tie[rows], value[rows], np.array(means, "float64"))
+            yield pd.DataFrame(dict(zip(self.columns, data)))
+
+    def _mean(self, frame: list[float]) -> float:
+        present = [v for v in frame if v == v]
+        return math.fsum(present) / len(present) if present else math.nan
 
     def close(self) -> None:
         pass
