@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import spread_join, stream_anti_join
 from millrace.plans.registry import query
-from millrace.sources.replay import in_time_order
+from millrace.sources.replay import JOIN_ROWS, in_time_order, range_count
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table
 
@@ -70,8 +70,12 @@ def shipped_in_time(spark, sf_dir, how):
     """Items matched to orders placed up to 90 days before shipping, both watermarked."""
     shipped = table(spark, sf_dir, "lineitem").select(*ITEM)
     placed = table(spark, sf_dir, "orders").select(*ORDER)
+    # As many ranges on both sides, so that neither stream runs ahead and waits in the state.
+    slices = range_count([shipped, placed], JOIN_ROWS)
     return match_in_time(
-        in_time_order(shipped, "l_shipdate"), in_time_order(placed, "o_orderdate"), how
+        in_time_order(shipped, "l_shipdate", slices),
+        in_time_order(placed, "o_orderdate", slices),
+        how,
     )
 
 
@@ -152,7 +156,9 @@ def labels_in_time(spark, sf_dir, how):
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("labelled_id"), labelled.alias("labelled")
     )
-    documents, labels = in_time_order(documents, "written"), in_time_order(labels, "labelled")
+    slices = range_count([documents, labels], JOIN_ROWS)
+    documents = in_time_order(documents, "written", slices)
+    labels = in_time_order(labels, "labelled", slices)
     joined = spread_join(
         documents.withWatermark("written", "10 minutes"),
         labels.withWatermark("labelled", "10 minutes"),
