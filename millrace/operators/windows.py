@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 Measure = tuple[str, Column]
 
 COMBINE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-#: Time per chunk of a running sum.
+#: Time per chunk of a running sum, and changes that a task sums.
 CHUNK_SECONDS = 6 * 3600
+CHANGES_PER_TASK = 1_000_000
 # Partial counts are added up; the other functions combine with themselves.
 RECOMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
@@ -157,7 +158,16 @@ def windows_by_difference(
     which is then laid out window by window. Long series are summed in chunks of time: the
     chunks' own totals are few, and only these are added up from the beginning. Windows without
     a row are left out, and so are windows that end after ``until``.
+
+    The changes are dealt once, by key and chunk, to as many tasks as their number asks for, so
+    that a task's memory does not grow with the table; ``buckets`` are counted for it and should
+    be stored.
     """
+    spark = buckets.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        -(-2 * buckets.count() // CHANGES_PER_TASK),
+    )
     step, reach = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {width}")
     enter = buckets.select(
         (F.col("start") - reach + step).alias("start"), *keys, F.lit(1).alias("_rows"), *measures
@@ -167,16 +177,19 @@ def windows_by_difference(
         *[(-F.col(m)).alias(m) for m in measures],
     )
     totals = ["_rows", *measures]
-    changes = enter.unionByName(leave).groupBy("start", *keys).agg(
+    chunk = F.floor(F.unix_seconds(F.col("start").cast("timestamp")) / CHUNK_SECONDS)
+    changes = enter.unionByName(leave).withColumn("_chunk", chunk)
+    changes = changes.repartition(tasks, *keys, "_chunk").groupBy("start", *keys, "_chunk").agg(
         *[F.sum(c).alias(c) for c in totals]
     )
-    changes = changes.withColumn("_chunk", F.floor(F.unix_seconds(F.col("start").cast("timestamp")) / CHUNK_SECONDS))
     by = list(keys) or [F.lit(0)]
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(1, 1)
     chunks = changes.groupBy(*keys, "_chunk").agg(
         *[F.sum(c).alias(f"_sum{c}") for c in totals], F.min("start").alias("_first")
     )
+    if keys:
+        chunks = chunks.repartition(tasks, *keys)
     chunks = chunks.select(
         *keys, "_chunk", F.max("_first").over(ahead).alias("_next"),
         *[F.coalesce(F.sum(f"_sum{c}").over(before), F.lit(0)).alias(f"_from{c}") for c in totals],

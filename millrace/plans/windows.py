@@ -30,7 +30,7 @@ def arrivals(spark, sf_dir):
     second = F.col("conv_id") * 10 + F.col("turn")
     arrived = F.timestamp_seconds(second + F.lit(1_704_067_200))
     lines = turns.select(arrived.alias("arrived"), F.col("text").alias("value"))
-    return in_time_order(lines, "arrived")
+    return in_time_order(lines, "arrived", text="value")
 
 
 ARRIVALS_SQL = """(SELECT TIMESTAMP '2024-01-01 00:00:00'
