@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import spread_join, stream_anti_join
+from millrace.operators.joins import PACK_SETTINGS, spread_join, stream_anti_join
 from millrace.plans.registry import query
 from millrace.sources.replay import JOIN_ROWS, in_time_order, range_count
 from millrace.sources.tables import table, table_stream
@@ -52,6 +52,8 @@ def stream_static_anti(spark, sf_dir):
 
 ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 ORDER = ["o_orderkey", "o_custkey", "o_orderdate"]
+#: Rows of both sides in a bucket of a join that packs its state.
+BUCKET_ROWS = 128
 
 
 @query(
@@ -61,9 +63,11 @@ ORDER = ["o_orderkey", "o_custkey", "o_orderdate"]
 def stream_stream_inner(spark, sf_dir):
     """Without a watermark both sides are kept as state for as long as the query lives."""
     items = table_stream(spark, sf_dir, "lineitem").select(*ITEM)
-    orders = table_stream(spark, sf_dir, "orders").select(*ORDER)
-    joined = spread_join(items, orders, "l_orderkey", "o_orderkey")
-    return run_to_table(joined.drop("o_orderkey", "o_orderdate"))
+    orders = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rows = sum(table(spark, sf_dir, name).count() for name in ("lineitem", "orders"))
+    buckets = max(1, rows // BUCKET_ROWS)
+    joined = spread_join(items, orders, "l_orderkey", "o_orderkey", packed=buckets)
+    return run_to_table(joined.drop("o_orderkey"), settings=PACK_SETTINGS)
 
 
 def shipped_in_time(spark, sf_dir, how):

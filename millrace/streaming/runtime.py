@@ -45,6 +45,7 @@ def start(
     name: str | None = None,
     count_state: bool = False,
     idle_batches: bool = True,
+    settings: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a query on exactly one sink: a format, a batch writer or a row writer.
 
@@ -52,6 +53,7 @@ def start(
     ``count_state`` makes the progress report show how many rows the state holds.
     ``idle_batches`` lets a moved watermark close windows and expire state without new
     input; a query that outputs nothing on expiry, such as an inner join, can do without.
+    ``settings`` are further session options of this query.
     """
     if sum(sink is not None for sink in (format, writer, rows)) != 1:
         raise ValueError("give one of format, writer or rows")
@@ -71,7 +73,7 @@ def start(
     else:
         stream = stream.foreach(rows)
     # A query copies the session settings when it starts.
-    with scoped_conf(spark, state_settings(spark, count_state, idle_batches)):
+    with scoped_conf(spark, {**state_settings(spark, count_state, idle_batches), **(settings or {})}):
         return stream.start()
 
 

@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from millrace.operators import changes, windows
+from millrace.operators import changes, joins, windows
 from millrace.operators.aggregates import approx_distinct, numeric_aggregate, ratio_of_sums
 from millrace.operators.joins import heavy_keys, spread_join
 from millrace.operators.rolling import last_rows, rolling_mean
+from millrace.sources.replay import replay_batches
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.runtime import run_to_table, start
 
@@ -93,6 +94,37 @@ def test_spread_stream_join(spark):
     assert run_to_table(plain).count() == table(spark, SF, "lineitem").count()
 
 
+@pytest.mark.parametrize("hot", [None, {3: 0.3, None: 0.1}])
+def test_packed_join_over_several_batches(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(joins, "PACK_ROWS", 3)
+    monkeypatch.setattr(joins, "PACK_BYTES", 500)
+    rng = random.Random(5)
+
+    def made(count):
+        keys = [3, 3, None, *range(12)]
+        return [(rng.choice(keys), rng.choice([None, "a", "\u00e9"]), rng.randrange(9)) for _ in range(count)]
+
+    left, right = ([made(40), made(1), made(25)] for _ in range(2))
+    streams = [
+        replay_batches(spark, batches, schema, str(tmp_path / schema[0]))
+        for batches, schema in ((left, "k long, s string, n int"), (right, "rk long, rs string, rn int"))
+    ]
+    got = spread_join(
+        *streams, "k", "rk", hot=hot, row_id=["n"], partitions=8, within=F.expr("n <= rn"), packed=4
+    )
+    want = [x + y for x in sum(left, []) for y in sum(right, []) if None is not x[0] == y[0] and x[2] <= y[2]]
+    assert got.columns == ["k", "s", "n", "rk", "rs", "rn"]
+    assert rows(run_to_table(got)) == sorted(want, key=repr)
+
+
+def test_packed_join_refuses_what_it_cannot_do(skewed):
+    left, right = skewed
+    with pytest.raises(ValueError, match="left join"):
+        spread_join(left, right, "k", "rk", "left", packed=4)
+    with pytest.raises(ValueError, match="one type"):
+        spread_join(left, right.withColumn("rk", F.col("rk").cast("long")), "k", "rk", packed=4)
+
+
 # Which joins Spark accepts between a stream and a table, and between two streams.
 STREAM_TABLE = {"inner", "left", "left_semi", "left_anti"}
 TABLE_STREAM = {"inner", "right"}

@@ -13,6 +13,7 @@ from millrace.plans import joins
 from millrace.plans.registry import QUERIES
 from millrace.sources import replay
 from millrace.streaming.ordered import OrderedMeans
+from millrace.streaming.runtime import run_to_table
 
 DAY = 86_400
 
@@ -55,6 +56,24 @@ def test_both_sides_of_a_join_come_in_the_same_small_ranges(spark, tmp_path, mon
     assert sorted(row["l_linenumber"] for row in got) == sorted(want) and want
 
 
+def test_a_join_without_a_watermark_keeps_few_entries(spark, tmp_path, monkeypatch):
+    items, orders = write_orders(spark, tmp_path, random.Random(4))
+    monkeypatch.setattr(joins, "BUCKET_ROWS", 15, raising=False)
+    checkpoint = str(tmp_path / "checkpoint")
+
+    def recorded(df, **kwargs):
+        return run_to_table(df, path=str(tmp_path / "out"), checkpoint=checkpoint, **kwargs)
+
+    monkeypatch.setattr(joins, "run_to_table", recorded)
+    got = QUERIES["stream_stream_inner"](spark, str(tmp_path)).collect()
+    want = [(i[1], o[1]) for i in items for o in orders if i[0] == o[0]]
+    assert sorted((row["l_linenumber"], row["o_custkey"]) for row in got) == sorted(want)
+    # 225 rows in 15 buckets, which each side brings at once.
+    for side in ("left", "right"):
+        state = spark.read.format("statestore").option("joinSide", side).load(checkpoint)
+        assert 0 < state.count() <= 15
+
+
 def test_lines_are_replayed_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(replay, "RANGE_BYTES", 2_500)
     monkeypatch.setattr(replay, "FILE_BYTES", 500)
