@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    crc_remainder, free_name, hash_below, ragged_ranges, texts_in, words_of, written,
+    crc_remainder, hash_below, ragged_ranges, words_of, written,
 )
 
 #: A word in UTF-8, as ``words_of`` finds them.
@@ -47,13 +47,17 @@ UPDATES = 200
 SPREAD, DROPOUT = 6, 0.3
 DECAY = 1e-5
 #: Windows that one step of scoring holds, and bytes of words whose inputs a task keeps.
-STEP, CACHE = 2048, 96 << 20
+STEP, CACHE = 2048, 32 << 20
+#: Texts that a task takes from Arrow at a time.
+TEXTS = 256
 #: Words whose gate inputs are computed together.
 BLOCK = 1 << 13
 #: A longer word is read as several words of so many bytes.
 LONG_WORD = 1024
 THRESHOLD = 0.7
 GATES = 3 * HIDDEN
+#: Rows of the training sample before their texts are read.
+CHOSEN = pa.schema({"place": pa.int64(), "l_key": pa.string(), "y": pa.int32(), "cap": pa.int64()})
 
 
 # --- inputs ---------------------------------------------------------------------------------
@@ -95,7 +99,7 @@ class Model:
 
 @dataclass
 class Words:
-    """Row numbers of distinct words, and what each is made of."""
+    """Row numbers of distinct words, and what each is made of until its gates are known."""
 
     model: Model
     rows: dict[bytes, int] = field(default_factory=dict)
@@ -115,19 +119,19 @@ class Words:
             self.done = self.held = 0
 
     def projected(self) -> dict[str, np.ndarray]:
-        """Gate inputs of all words so far; each word's are computed once."""
-        n = len(self.known)
+        """Gate inputs of all words so far; each word's are computed once, and only they are kept."""
+        n = self.done + len(self.known)
         if not self.gates or n > len(self.gates["f"]):
             for d in "fb":
                 grown = np.zeros((max(1024, 2 * n), GATES), np.float32)
                 if d in self.gates:
                     grown[: self.done] = self.gates[d][: self.done]
                 self.gates[d] = grown
-        if n > self.done:
-            fresh = gates_of(self.model.weights, self.known[self.done :], self.chars[self.done :])
+        if self.known:
+            fresh = gates_of(self.model.weights, self.known, self.chars)
             for d in "fb":
                 self.gates[d][self.done : n] = fresh[d]
-            self.done = n
+            self.done, self.known, self.chars = n, [], []
         return self.gates
 
     def number(self, words: list[bytes]) -> np.ndarray:
@@ -136,8 +140,9 @@ class Words:
         if -1 in out:
             for i, word in enumerate(words):
                 if out[i] < 0:
-                    out[i] = self.rows.setdefault(word, len(self.known))
-                    if out[i] == len(self.known):
+                    fresh = self.done + len(self.known)
+                    out[i] = self.rows.setdefault(word, fresh)
+                    if out[i] == fresh:
                         self.known.append(self.model.words.get(word, 0))
                         self.chars.append(array("i", trigrams(word)))
                         self.held += 400 + 12 * len(word)
@@ -471,7 +476,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         drawn = sorted(map(tuple, some.select("place", "l_key", "chars").collect()))[:most]
         cap = even_share([chars for *_, chars in drawn], most * SAMPLE_CHARS)
         chosen += [(place, l_key, y, cap) for place, l_key, _ in drawn]
-    picked = docs.sparkSession.createDataFrame(chosen, "place long, l_key string, y int, cap long")
+    # As an Arrow table it reaches the executors without Python workers of theirs.
+    columns = zip(*chosen, strict=True) if chosen else [[]] * len(CHOSEN)
+    picked = docs.sparkSession.createDataFrame(pa.table([*map(pa.array, columns, CHOSEN.types)], CHOSEN))
     size, piece = F.length("body"), F.floor(F.col("cap") / PIECES)
     pieces = [
         F.substring(
@@ -550,23 +557,23 @@ def score_texts(model: Model, words: Words, texts: list[str | None]) -> np.ndarr
 def scored(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
     """``docs`` with the score of its whole text in ``name``.
 
-    Null and empty texts have one empty window and get its score. Other columns pass through
-    unread; a column called ``name`` is replaced.
+    Null and empty texts have one empty window and get its score. A column called ``name`` is
+    replaced. Only texts go to Python and only scores come back; other columns stay in Spark,
+    whatever their type.
     """
     own = [c for c in docs.columns if c.lower() != name.lower()]
-    body = free_name(docs, "scored_text")
-    rows = docs.select(*own, F.col(text).cast("string").alias(body))
-    schema = docs.select(*own, F.lit(0.0).alias(name)).schema
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # about 0.5 MB
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own_model = pickle.loads(sent.value)
         words = Words(own_model)
         for batch in batches:
-            scores = []
-            for at in range(0, batch.num_rows, 256):
-                scores.append(score_texts(own_model, words, texts_in(batch.slice(at, 256), body)))
-            columns = [*batch.columns[:-1], pa.array(np.concatenate(scores) if scores else [], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*own, name])
-
-    return rows.mapInArrow(run, schema)
+            scores = [
+                score_texts(own_model, words, batch.slice(at, TEXTS).to_pylist())
+                for at in range(0, len(batch), TEXTS)
+            ]
+            yield pa.array(np.concatenate(scores) if scores else [], pa.float64())
+
+    # Not deterministic to Spark, so that a filter on the score does not compute it again.
+    score = F.arrow_udf(run, "double").asNondeterministic()
+    return docs.select(*own, score(F.col(text).cast("string")).alias(name))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -742,3 +743,26 @@ def test_long_words_are_read_in_parts(toxic_model):
     assert one == two and max(map(len, words.rows)) <= toxicity.LONG_WORD
     short = "y" * 1500
     assert toxicity.tokens_of(short) == [b"y" * 1024, b"y" * 476]
+
+
+def test_toxicity_forgets_words_in_time(toxic_model):
+    """A task's memory is bounded, however many distinct words its texts have."""
+    texts = [" ".join(f"word{i}" for i in range(at, at + 1000)) for at in range(0, 160_000, 1000)]
+    words = toxicity.Words(toxic_model)
+    tracemalloc.start()
+    toxicity.score_texts(toxic_model, words, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert not words.chars  # what a word is made of goes once its gates are known
+
+
+def test_toxicity_sends_texts_alone_to_python(spark, toxic_model):
+    """Other columns stay in Spark: this type has no counterpart in Arrow."""
+    table = spark.createDataFrame([(1, "an idiot", 3), (2, None, 4)], "doc_id long, text string, n int")
+    table = table.selectExpr("doc_id", "text", "make_interval(0, n) as gap")
+    out = toxicity.scored(table, toxic_model).where("score <= 1")
+    found = {r[0]: (r[1], r[2]) for r in out.select("doc_id", "text", F.extract(F.lit("MONTH"), "gap")).collect()}
+    assert found == {1: ("an idiot", 3), 2: (None, 4)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
