@@ -48,6 +48,8 @@ SPREAD, DROPOUT = 6, 0.3
 DECAY = 1e-5
 #: Windows that one step of scoring holds, and bytes of words whose inputs a task keeps.
 STEP, CACHE = 2048, 32 << 20
+#: Windows are scored in a multiple of so many, so that a score does not depend on its neighbours.
+MULTIPLE = 16
 #: Texts that a task takes from Arrow at a time.
 TEXTS = 256
 #: Words whose gate inputs are computed together.
@@ -306,7 +308,10 @@ def logits_of(model: Model, words: Words, texts: list[np.ndarray]) -> np.ndarray
         steps, live, owner = _grid(some)
         for at in range(0, steps.shape[1], STEP):
             to = at + STEP
-            got = forward(model.weights, gates, steps[:, at:to], live[:, at:to])
+            n = len(owner[at:to])
+            # With empty windows up to a multiple: the last few would be rounded otherwise.
+            full = [np.pad(x[:, at:to], ((0, 0), (0, -n % MULTIPLE))) for x in (steps, live)]
+            got = forward(model.weights, gates, *full)[:n]
             np.maximum.at(best, group[owner[at:to]], got)
     return best
 
