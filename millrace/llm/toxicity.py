@@ -47,7 +47,7 @@ UPDATES = 200
 SPREAD, DROPOUT = 6, 0.3
 DECAY = 1e-5
 #: Windows that one step of scoring holds, and bytes of words whose inputs a task keeps.
-STEP, CACHE = 2048, 32 << 20
+STEP, CACHE = 2048, 64 << 20
 #: Windows are scored in a multiple of so many, so that a score does not depend on its neighbours.
 MULTIPLE = 16
 #: Texts that a task takes from Arrow at a time.
