@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from millrace.operators.timed_joins import Span, packed_timed_join
+
 # Repeating the right side for a hot key is only right when unmatched right rows are not kept.
 SALTABLE = ("inner", "left", "left_semi", "left_anti")
 MERGE_GROUPS = 512
@@ -155,7 +157,7 @@ def spread_join(
     hot: Mapping | None = None,
     row_id: Sequence[str] = (),
     partitions: int | None = None,
-    within: Column | None = None,
+    within: Column | Span | None = None,
     packed: int | None = None,
 ) -> DataFrame:
     """Join on one key; the left rows of ``hot`` keys are divided over several tasks.
@@ -171,9 +173,14 @@ def spread_join(
     micro-batch brings to a bucket are one entry, entries meet by bucket, and their rows by key.
     Choose some 100 to 200 rows of both sides to a bucket over the life of the query. Event
     times are not kept for a watermark.
+
+    With a :class:`Span` as ``within``, ``packed`` is for streams with watermarks and also for
+    left, semi and anti joins: the watermark cuts the state as in Spark's own join. A bucket is
+    then one entry, read and written in every micro-batch.
     """
     matches = F.col(left_key) == F.col(right_key)
-    if packed is not None:
+    span = within if isinstance(within, Span) else None
+    if packed is not None and span is None:
         if how != "inner":
             raise ValueError(f"rows cannot be packed in a {how} join")
         if left.schema[left_key].dataType != right.schema[right_key].dataType:
@@ -195,8 +202,12 @@ def spread_join(
         matches = matches & (F.col("_left_salt") == F.col("_right_salt"))
         left_place.append("_left_salt")
         right_place.append("_right_salt")
+    if packed is not None and span is not None:
+        places = list(zip(left_place, right_place, strict=True))
+        joined = packed_timed_join(left, right, places, span, how, packed)
+        return joined.drop("_left_salt", "_right_salt")
     if within is not None:
-        matches = matches & within
+        matches = matches & (within if span is None else span.condition())
     if packed is not None:
         packs = [
             _packed(
@@ -216,15 +227,27 @@ def spread_join(
 
 
 def stream_anti_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, within: Column
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    within: Column | Span,
+    packed: int | None = None,
 ) -> DataFrame:
     """Rows of a watermarked stream without a partner in another one, as a stream.
 
     Spark takes no anti join of two streams, since a row can be let go only when no partner can
     come any more. A left join keeps that state: ``within`` bounds the time of a partner, and
     once the watermark has passed it, a row that met none comes out with an empty right side.
-    Matched rows come out of the join at once and are dropped here.
+    Matched rows come out of the join at once and are dropped here. With a :class:`Span` the
+    rows may wait ``packed`` into that many buckets, as in :func:`spread_join`.
     """
+    if packed is not None:
+        if not isinstance(within, Span):
+            raise ValueError("rows that wait are packed for a span of times only")
+        return packed_timed_join(left, right, [(left_key, right_key)], within, "left_anti", packed)
+    if isinstance(within, Span):
+        within = within.condition()
     marked = right.withColumn("_partner", F.lit(True))
     joined = left.join(marked, (F.col(left_key) == F.col(right_key)) & within, "left")
     return joined.where(F.col("_partner").isNull()).select(*left.columns)

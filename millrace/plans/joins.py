@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import PACK_SETTINGS, spread_join, stream_anti_join
+from millrace.operators.timed_joins import Span
 from millrace.plans.registry import query
 from millrace.sources.replay import JOIN_ROWS, in_time_order, range_count
 from millrace.sources.tables import table, table_stream
@@ -54,6 +55,12 @@ ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 ORDER = ["o_orderkey", "o_custkey", "o_orderdate"]
 #: Rows of both sides in a bucket of a join that packs its state.
 BUCKET_ROWS = 128
+#: The same with a watermark, where few of them wait at once; and buckets of small tables.
+TIMED_ROWS = 250_000
+TIMED_BUCKETS = 96
+#: An order is placed at most so many milliseconds before an item of it is shipped.
+PACKED = ("inner",)
+IN_TIME_MS = 90 * 24 * 3600 * 1000
 
 
 @query(
@@ -80,22 +87,28 @@ def shipped_in_time(spark, sf_dir, how):
         in_time_order(shipped, "l_shipdate", slices),
         in_time_order(placed, "o_orderdate", slices),
         how,
+        max(TIMED_BUCKETS, (shipped.count() + placed.count()) // TIMED_ROWS),
     )
 
 
-def match_in_time(shipped, placed, how):
+def match_in_time(shipped, placed, how, buckets=TIMED_BUCKETS):
     shipped = shipped.withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
     placed = placed.withColumn("placed", F.col("o_orderdate").cast("timestamp"))
     shipped = shipped.drop("l_shipdate").withWatermark("shipped", "10 days")
     placed = placed.drop("o_orderdate").withWatermark("placed", "10 days")
-    within = F.expr("shipped BETWEEN placed AND placed + INTERVAL 90 DAYS")
+    within = Span("shipped", "placed", -IN_TIME_MS, 0)
+    buckets = buckets if how in PACKED else None
     if how == "left_anti":
-        joined = stream_anti_join(shipped, placed, "l_orderkey", "o_orderkey", within)
+        joined = stream_anti_join(shipped, placed, "l_orderkey", "o_orderkey", within, packed=buckets)
     else:
-        joined = spread_join(shipped, placed, "l_orderkey", "o_orderkey", how, within=within)
+        joined = spread_join(
+            shipped, placed, "l_orderkey", "o_orderkey", how, within=within, packed=buckets
+        )
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("shipped", "placed") if c in joined.columns}
     keeps_unmatched = how in ("left", "left_anti")
-    return run_to_table(joined.withColumns(times), idle_batches=keeps_unmatched)
+    return run_to_table(
+        joined.withColumns(times), idle_batches=keeps_unmatched, settings=PACK_SETTINGS
+    )
 
 
 IN_TIME = "l_orderkey = o_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 90 DAY"
