@@ -59,7 +59,7 @@ BUCKET_ROWS = 128
 TIMED_ROWS = 250_000
 TIMED_BUCKETS = 96
 #: An order is placed at most so many milliseconds before an item of it is shipped.
-PACKED = ("inner", "left_anti")
+PACKED = ("inner", "left_anti", "left_semi")
 IN_TIME_MS = 90 * 24 * 3600 * 1000
 
 
