@@ -59,7 +59,6 @@ BUCKET_ROWS = 128
 TIMED_ROWS = 250_000
 TIMED_BUCKETS = 96
 #: An order is placed at most so many milliseconds before an item of it is shipped.
-PACKED = ("inner", "left_anti", "left_semi")
 IN_TIME_MS = 90 * 24 * 3600 * 1000
 
 
@@ -97,7 +96,6 @@ def match_in_time(shipped, placed, how, buckets=TIMED_BUCKETS):
     shipped = shipped.drop("l_shipdate").withWatermark("shipped", "10 days")
     placed = placed.drop("o_orderdate").withWatermark("placed", "10 days")
     within = Span("shipped", "placed", -IN_TIME_MS, 0)
-    buckets = buckets if how in PACKED else None
     if how == "left_anti":
         joined = stream_anti_join(shipped, placed, "l_orderkey", "o_orderkey", within, packed=buckets)
     else:

@@ -77,7 +77,7 @@ def test_packed_join_refuses_keys_that_it_cannot_compare(spark, tmp_path, kind):
         spread_join(left, right, "lk", "rk", within=SPAN, packed=3)
 
 
-@pytest.mark.parametrize("name", ["interval", "anti", "semi"])
+@pytest.mark.parametrize("name", ["interval", "anti", "semi", "left"])
 def test_rows_that_wait_are_one_entry_a_bucket(spark, tmp_path, monkeypatch, name):
     rng = random.Random(7)
     items = [(k % 60, k, 1, 2, 800_000_000 + rng.randrange(400) * DAY) for k in range(600)]
