@@ -49,6 +49,10 @@ RADII = (1.0, 0.5, 0.25, 0.125)
 SLACK = 1e-7
 #: Pairs that one numpy step compares.
 STEP = 1 << 18
+#: Rows and columns of a product of matrices that stays in a core's cache.
+PATCH = (256, 1024)
+#: Points of a wide node, at most, that are compared without the levels between.
+FEW = 8
 
 
 # --- one tree -------------------------------------------------------------------------------
@@ -209,7 +213,7 @@ def traverse(
             big = np.flatnonzero((wide > STEP) | (level == 0))
             for i in big:
                 got = _children(one, two, level, a[i], b[i], reach, same)
-                stack += [(level + 1, p, q) for p, q in got]
+                stack += list(got)
             small = np.setdiff1d(np.arange(len(a)), big)
             a, b, n, m, wide = a[small], b[small], n[small], m[small], wide[small]
             if not len(a):
@@ -224,25 +228,100 @@ def traverse(
         stack.append((level + 1, p, q))
 
 
+def _open_pairs(
+    one: dict, rows: np.ndarray, two: dict, columns: np.ndarray, reach: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of two levels that their radii do not rule out, and some that rounding
+    leaves in; those are bounded in double precision when their turn comes.
+
+    Products of matrices in single precision, a patch at a time, with nodes of about equal radii
+    side by side; most patches are ruled out by their largest product.
+    """
+    rows = rows[np.argsort(one["radius"][rows], kind="stable")]
+    columns = columns[np.argsort(two["radius"][columns], kind="stable")]
+    us, vs = one["centre"][rows].astype(np.float32), two["centre"][columns].astype(np.float32)
+    wide_u, wide_v = one["radius"][rows], two["radius"][columns]
+    # What single precision may add to a product of unit vectors, and some more.
+    rounding = (us.shape[1] + 8) * 2.0**-23
+    patch = np.empty(min(PATCH[0], len(us)) * min(PATCH[1], len(vs)), np.float32)
+    for i in range(0, len(us), PATCH[0]):
+        part = us[i : i + PATCH[0]]
+        for j in range(0, len(vs), PATCH[1]):
+            other = vs[j : j + PATCH[1]]
+            out = patch[: len(part) * len(other)].reshape(len(part), len(other))
+            dots = np.matmul(part, other.T, out=out)
+            far = wide_u[i + len(part) - 1] + wide_v[j + len(other) - 1] + (reach + 2 * SLACK)
+            # gap <= far, squared: 2 - 2 * dot <= far^2.
+            least = 1.0 - far * far / 2 - rounding
+            if dots.max() < least:
+                continue
+            p, q = np.nonzero(dots >= np.float32(least - rounding))
+            far = wide_u[i + p] + wide_v[j + q] + (reach + 2 * SLACK)
+            near = dots[p, q] >= 1.0 - far * far / 2 - rounding
+            yield rows[i + p[near]], columns[j + q[near]]
+
+
+def _split(tree: Tree, level: int, node: int, reach: float) -> tuple[np.ndarray, ...]:
+    """Children of a node; points, and for each the child it stands for.
+
+    A child of few points that lie farther apart than links reach is better known by its points.
+    """
+    here, below = tree.levels[level], tree.levels[level + 1]
+    kids = np.arange(here["child_from"][node], here["child_to"][node])
+    size = below["to"][kids] - below["from"][kids]
+    loose = (size == 1) | (size <= FEW) & (below["radius"][kids] > reach)
+    points = ragged_ranges(below["from"][kids[loose]], size[loose])
+    return kids[~loose], points, np.repeat(kids[loose], size[loose])
+
+
 def _children(
     one: Tree, two: Tree, level: int, a: int, b: int, reach: float, same: bool
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of children of two nodes that their radii do not rule out, in blocks."""
-    x, y = one.levels[level], two.levels[level]
-    below, beside = one.levels[level + 1], two.levels[level + 1]
-    lo, hi = y["child_from"][b], y["child_to"][b]
-    for at in range(x["child_from"][a], x["child_to"][a], 512):
-        to = min(at + 512, x["child_to"][a])
-        dots = below["centre"][at:to] @ beside["centre"][lo:hi].T
-        far = below["radius"][at:to, None] + beside["radius"][None, lo:hi] + (reach + 2 * SLACK)
-        # gap <= far, squared: 2 - 2 * dot <= far^2.
-        p, q = np.nonzero(2.0 - 2.0 * dots <= far * far)
-        p, q = p + at, q + lo
-        if same:
-            once = p <= q
-            p, q = p[once], q[once]
-        if len(p):
-            yield p, q
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Pairs of children of two nodes, with their level, that may have links.
+
+    Unrelated vectors have little use for the levels between, where a child of few points is about
+    as wide as all are apart. Two such children are compared by their points at once.
+    """
+    u, points_u, child_u = _split(one, level, a, reach)
+    v, points_v, child_v = _split(two, level, b, reach)
+    last, next_ = len(one.levels) - 1, level + 1
+    x, y = one.levels[next_], two.levels[next_]
+    p_one, p_two = one.levels[last], two.levels[last]
+    for at, pairs, by_points in (
+        (last, _open_pairs(p_one, points_u, p_two, points_v, reach), None),
+        (next_, _open_pairs(x, u, y, v, reach), None),
+        (next_, _open_pairs(x, u, p_two, points_v, reach), (None, (points_v, child_v))),
+        (next_, _open_pairs(p_one, points_u, y, v, reach), ((points_u, child_u), None)),
+    ):
+        found, size = [], 0
+        for p, q in pairs:
+            if by_points is not None:
+                p, q = (
+                    n if known is None else known[1][np.searchsorted(known[0], n)]
+                    for n, known in zip((p, q), by_points, strict=True)
+                )
+            if same:
+                once = p < q if at == last else p <= q
+                p, q = p[once], q[once]
+            found.append((p, q))
+            size += len(p)
+            if size > STEP:
+                found = [tuple(map(np.concatenate, zip(*found, strict=True)))]
+                if by_points is None:
+                    yield at, *found.pop()
+                else:
+                    found = [_distinct(*found[0])]
+                size = 0
+        if any(len(p) for p, _ in found):
+            p, q = map(np.concatenate, zip(*found, strict=True))
+            yield at, *(_distinct(p, q) if by_points is not None else (p, q))
+
+
+def _distinct(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of children once, which may have met by several of their points."""
+    wide = int(q.max(initial=0)) + 1
+    code = np.unique(p * wide + q)
+    return code // wide, code % wide
 
 
 def links(
@@ -268,6 +347,8 @@ def links(
             np.add.at(more_two, b, weight_one[a])
             np.add.at(more_two, b + 1, -weight_one[a])
             tied.append((ids_one[a], ids_two[b]))
+            if sum(len(p) for p, _ in tied) > STEP:
+                tied = [forest(*map(np.concatenate, zip(*tied, strict=True)))]
             continue
         x, y = one.levels[level], two.levels[level]
         fa, ta, fb, tb = x["from"][a], x["to"][a], y["from"][b], y["to"][b]

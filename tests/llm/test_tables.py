@@ -132,6 +132,44 @@ def test_trees_agree_with_all_pairs():
             assert np.array_equal(got[0], (close @ wa)[one.order])
 
 
+def test_unrelated_vectors_are_compared_by_their_points():
+    rng = np.random.default_rng(3)
+    a, b = (cover_tree.Tree(rng.normal(size=(1500, 64))) for _ in range(2))
+    # Not by nodes that are about as wide as all vectors are apart.
+    made = sum(len(pairs[-1]) for pairs in cover_tree._children(a, b, 0, 0, 0, 0.3162, False))
+    assert made < 100
+
+
+@pytest.mark.parametrize("patch, few, step", [((7, 13), 3, 5), ((256, 1024), 8, 1 << 18)])
+def test_trees_of_groups_of_all_widths_agree_with_all_pairs(monkeypatch, patch, few, step):
+    for name, value in (("PATCH", patch), ("FEW", few), ("STEP", step)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(4)
+    spreads = [rng.choice([0.005, 0.03, 0.06, 0.1, 0.4]) for _ in range(60)]
+    base = rng.normal(size=(60, 16))
+
+    def made(n):
+        return np.concatenate([
+            base[k] + rng.normal(size=(rng.choice([1, 2, 3, 9, n]), 16)) * spreads[k] for k in range(60)
+        ])
+
+    a, b = made(20), made(14)
+    one, two = cover_tree.Tree(a), cover_tree.Tree(b)
+    wa, wb = rng.integers(1, 5, len(a)), rng.integers(1, 5, len(b))
+    for t in (0.95, 0.7):
+        na, nb, x, y = cover_tree.links(one, two, wa[one.order], wb[two.order], one.order, two.order + len(a), t)
+        close = cover_tree.unit(a) @ cover_tree.unit(b).T >= t
+        assert np.array_equal(na, (close @ wb)[one.order]) and np.array_equal(nb, (wa @ close)[two.order])
+        p, q = np.nonzero(close)
+        want = cover_tree.forest(p, q + len(a))
+        tied = cover_tree.forest(x, y)
+        assert all(map(np.array_equal, tied, want)) and len(p)
+        got = cover_tree.links(one, one, wa[one.order], wa[one.order], one.order, one.order, t)
+        close = cover_tree.unit(a) @ cover_tree.unit(a).T >= t
+        np.fill_diagonal(close, False)
+        assert np.array_equal(got[0], (close @ wa)[one.order])
+
+
 # --- components -----------------------------------------------------------------------------
 
 
