@@ -56,7 +56,7 @@ ORDER = ["o_orderkey", "o_custkey", "o_orderdate"]
 #: Rows of both sides in a bucket of a join that packs its state.
 BUCKET_ROWS = 128
 #: The same with a watermark, where few of them wait at once; and buckets of small tables.
-TIMED_ROWS = 250_000
+TIMED_ROWS = 500_000
 TIMED_BUCKETS = 96
 #: An order is placed at most so many milliseconds before an item of it is shipped.
 IN_TIME_MS = 90 * 24 * 3600 * 1000
